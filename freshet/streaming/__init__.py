@@ -1,0 +1 @@
+"""No streaming operators: the workload is a bounded batch."""
