@@ -9,18 +9,27 @@ bounded by the length of the record in days, whatever the skew of the hourly inp
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 
-BY_REACH = Window.partitionBy("reach_id")
-BY_WATER_YEAR = Window.partitionBy("reach_id", "water_year")
-
-# Date order within a reach. Leading with the water year changes nothing in the
-# order, and lets windows per reach and per water year share one sort.
-REACH_ORDER = BY_REACH.orderBy("water_year", "date")
-YEAR_ORDER = BY_WATER_YEAR.orderBy("date")
-
 ALL_ROWS = (Window.unboundedPreceding, Window.unboundedFollowing)
 ROWS_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
+def by_reach() -> WindowSpec:
+    return Window.partitionBy("reach_id")
+
+
+def reach_order() -> WindowSpec:
+    """Date order within a reach.
+
+    Leading with the water year changes nothing in the order, and lets windows per
+    reach and per water year share one sort.
+    """
+    return Window.partitionBy("reach_id").orderBy("water_year", "date")
+
+
+def year_order() -> WindowSpec:
+    return Window.partitionBy("reach_id", "water_year").orderBy("date")
+
+
 def series_order(frame: DataFrame) -> WindowSpec:
     """Date order per reach, by way of the water year where the frame has been sorted so."""
-    return REACH_ORDER if "water_year" in frame.columns else BY_REACH.orderBy("date")
+    return reach_order() if "water_year" in frame.columns else by_reach().orderBy("date")

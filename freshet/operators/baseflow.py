@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.operators import ALL_ROWS, BY_REACH, ROWS_SO_FAR, series_order
+from freshet.operators import ALL_ROWS, by_reach, ROWS_SO_FAR, series_order
 
 # Fixed values.
 FILTER_CONSTANT = 0.925
@@ -37,7 +37,7 @@ def strict_baseflow(daily: DataFrame) -> DataFrame:
     order = series_order(daily)
     flow = F.col("streamflow")
     before, after = F.lag(flow).over(order), F.lead(flow).over(order)
-    level = F.expr(f"percentile(streamflow, {MAJOR_EVENT_QUANTILE})").over(BY_REACH)
+    level = F.expr(f"percentile(streamflow, {MAJOR_EVENT_QUANTILE})").over(by_reach())
     rises = F.coalesce(flow >= before, F.lit(True))
     rises_next = F.coalesce(after >= flow, F.lit(True))
     any_within = lambda flag, first, last: F.coalesce(

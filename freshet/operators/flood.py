@@ -1,19 +1,21 @@
 """Start of the flood season from 180-day means on a full daily calendar."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from freshet.functions.numeric import round_half_even
-from freshet.operators import ALL_ROWS, BY_REACH, series_order
+from freshet.operators import ALL_ROWS, by_reach, series_order
 
 # Fixed values.
 SEASON_DAYS = 180
 SEASON_MIN_FLOWS = 150
 FIRST_YEAR, LAST_YEAR = 1980, 2021
 
-# Leading with the calendar year changes nothing in the date order, and lets the
-# aggregate per year reuse the sort of the windows.
-CALENDAR_ORDER = BY_REACH.orderBy("year", "date")
+
+def calendar_order() -> WindowSpec:
+    """Date order that leads with the calendar year, so that the aggregate per year
+    reuses the sort of the windows."""
+    return by_reach().orderBy("year", "date")
 
 
 def fill_calendar(daily: DataFrame) -> DataFrame:
@@ -40,9 +42,9 @@ def season_means(daily: DataFrame) -> DataFrame:
     window would run past the record.
     """
     filled = fill_calendar(daily).withColumn("year", F.year("date"))
-    window = CALENDAR_ORDER.rowsBetween(0, SEASON_DAYS - 1)
+    window = calendar_order().rowsBetween(0, SEASON_DAYS - 1)
     flow = F.col("streamflow")
-    last = F.max("date").over(CALENDAR_ORDER.rowsBetween(*ALL_ROWS))
+    last = F.max("date").over(calendar_order().rowsBetween(*ALL_ROWS))
     complete = (F.count(flow).over(window) >= SEASON_MIN_FLOWS) & (
         F.date_add("date", SEASON_DAYS - 1) <= last
     )

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.calendar import days_in_year, water_year
-from freshet.operators import ALL_ROWS, BY_REACH, REACH_ORDER, YEAR_ORDER
+from freshet.operators import ALL_ROWS, by_reach, reach_order, year_order
 
 
 def tag_water_years(daily: DataFrame, starting_month: int = 10) -> DataFrame:
@@ -24,11 +24,11 @@ def trim_water_years(daily: DataFrame, starting_month: int = 10) -> DataFrame:
     years in between stay, and the new end years are not looked at again. All three
     windows run on one shuffle and one sort per reach.
     """
-    whole = REACH_ORDER.rowsBetween(*ALL_ROWS)
+    whole = reach_order().rowsBetween(*ALL_ROWS)
     return (
         tag_water_years(daily, starting_month)
         .withColumns({"_first": F.min("water_year").over(whole), "_last": F.max("water_year").over(whole)})
-        .withColumn("_days", F.count(F.lit(1)).over(YEAR_ORDER.rowsBetween(*ALL_ROWS)))
+        .withColumn("_days", F.count(F.lit(1)).over(year_order().rowsBetween(*ALL_ROWS)))
         .where(~_is_short_end())
         .select(*daily.columns, "water_year")
     )
@@ -44,7 +44,7 @@ def reach_status(daily: DataFrame, starting_month: int = 10) -> DataFrame:
         F.count(F.lit(1)).alias("_days"), F.count("streamflow").alias("_flows")
     )
     ends = years.withColumns(
-        {"_first": F.min("water_year").over(BY_REACH), "_last": F.max("water_year").over(BY_REACH)}
+        {"_first": F.min("water_year").over(by_reach()), "_last": F.max("water_year").over(by_reach())}
     )
     fewest = F.min(F.when(~_is_short_end(), F.col("_flows")))
     return ends.groupBy("reach_id").agg(F.coalesce(fewest > 0, F.lit(False)).alias("computed"))

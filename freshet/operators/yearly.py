@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.calendar import day_of_numbered_year
 from freshet.functions.numeric import clamp
-from freshet.operators import ALL_ROWS, BY_REACH, REACH_ORDER, ROWS_SO_FAR, YEAR_ORDER
+from freshet.operators import ALL_ROWS, by_reach, reach_order, ROWS_SO_FAR, year_order
 
 # Fixed values.
 ZERO_FLOW = 0.001
@@ -24,7 +24,7 @@ FLASHINESS_PERIODS = [(1980, 1989), (1990, 1999), (2000, 2009), (2010, 2022)]
 
 def seven_day_means(trimmed: DataFrame) -> DataFrame:
     """Trailing mean over seven rows, across year ends, null unless all seven have a flow."""
-    frame = REACH_ORDER.rowsBetween(1 - WEEK, 0)
+    frame = reach_order().rowsBetween(1 - WEEK, 0)
     flow = F.col("streamflow")
     return trimmed.withColumn("mean_7", F.when(F.count(flow).over(frame) == WEEK, F.avg(flow).over(frame)))
 
@@ -39,8 +39,8 @@ def flow_marks(trimmed: DataFrame, low_ratio: float = LOW_FLOW_RATIO, high_ratio
     return (
         trimmed.withColumns(
             {
-                "_low_limit": F.avg(flow).over(BY_REACH) * low_ratio,
-                "_high_limit": F.greatest(F.median(flow).over(BY_REACH) * high_ratio, F.lit(ZERO_FLOW)),
+                "_low_limit": F.avg(flow).over(by_reach()) * low_ratio,
+                "_high_limit": F.greatest(F.median(flow).over(by_reach()) * high_ratio, F.lit(ZERO_FLOW)),
             }
         )
         .withColumns(
@@ -56,14 +56,14 @@ def flow_marks(trimmed: DataFrame, low_ratio: float = LOW_FLOW_RATIO, high_ratio
 
 def starts_run(flag: str) -> Column:
     """True on the first row of each run of set flags within a reach."""
-    return F.col(flag) & ~F.coalesce(F.lag(flag).over(REACH_ORDER), F.lit(False))
+    return F.col(flag) & ~F.coalesce(F.lag(flag).over(reach_order()), F.lit(False))
 
 
 def event_durations(marked: DataFrame, flag: str) -> DataFrame:
     """Every run of consecutive flagged rows with its first date and its length."""
     return (
         marked.withColumn("_start", starts_run(flag).cast("long"))
-        .withColumn("event", F.sum("_start").over(REACH_ORDER.rowsBetween(*ROWS_SO_FAR)))
+        .withColumn("event", F.sum("_start").over(reach_order().rowsBetween(*ROWS_SO_FAR)))
         .where(F.col(flag))
         .groupBy("reach_id", "event")
         .agg(F.min("date").alias("start_date"), F.count(F.lit(1)).alias("duration"))
@@ -75,9 +75,9 @@ def water_year_frame(trimmed: DataFrame) -> DataFrame:
     flow = F.col("streamflow")
     days = flow_marks(seven_day_means(trimmed)).withColumns(
         {
-            "_change": F.abs(flow - F.lag(flow).over(YEAR_ORDER)),
-            "_so_far": F.sum(flow).over(YEAR_ORDER.rowsBetween(*ROWS_SO_FAR)),
-            "_in_year": F.sum(flow).over(YEAR_ORDER.rowsBetween(*ALL_ROWS)),
+            "_change": F.abs(flow - F.lag(flow).over(year_order())),
+            "_so_far": F.sum(flow).over(year_order().rowsBetween(*ROWS_SO_FAR)),
+            "_in_year": F.sum(flow).over(year_order().rowsBetween(*ALL_ROWS)),
             "_low_start": starts_run("is_low"),
             "_high_start": starts_run("is_high"),
         }

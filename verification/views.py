@@ -4,9 +4,11 @@
 1995-01-02 .. 2001-11-04 with return flag, line number or supplier as the reach.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from freshet.functions.calendar import water_year
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -64,6 +66,19 @@ def daily_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_gappy(spark, sf_dir).withColumn("streamflow", F.when(flow <= 40, flow))
 
 
+def daily_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each of six reaches lacks every flow of one water year."""
+    blank = water_year(F.col("date")) == F.col("reach_id") + 1995
+    return daily_gappy(spark, sf_dir).withColumn("streamflow", F.when(~blank, F.col("streamflow")))
+
+
+def daily_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 30-row mean with a yearly wave, which has the long recessions noise lacks."""
+    month = Window.partitionBy("reach_id").orderBy("date").rowsBetween(-29, 0)
+    wave = 10 * F.cos(F.dayofyear("date") * 0.0172)
+    return daily_dense(spark, sf_dir).withColumn("streamflow", F.avg("streamflow").over(month) + wave)
+
+
 def _sql_daily(reach: str) -> str:
     return (
         f"SELECT CAST({reach} AS BIGINT) AS reach_id, CAST(l_shipdate AS DATE) AS date, "
@@ -88,6 +103,15 @@ SQL_VIEWS = {
         "SELECT reach_id, date, greatest(streamflow - 1.5, 0) AS streamflow FROM "
         f"({_sql_daily('l_linenumber')})"
     ),
+    "daily_blank": (
+        "SELECT reach_id, date, CASE WHEN year(date) + CASE WHEN month(date) >= 10 THEN 1 ELSE 0 END "
+        f"<> reach_id + 1995 THEN streamflow END AS streamflow FROM ({_sql_daily('l_linenumber')})"
+    ),
+    "daily_smooth": (
+        "SELECT reach_id, date, avg(streamflow) OVER (PARTITION BY reach_id ORDER BY date ROWS BETWEEN 29 PRECEDING "
+        "AND CURRENT ROW) + 10 * cos(dayofyear(date) * 0.0172) AS streamflow FROM "
+        f"({_sql_daily('ascii(l_returnflag)')})"
+    ),
     "daily_missing": (
         "SELECT reach_id, date, CASE WHEN streamflow <= 40 THEN streamflow END AS streamflow FROM "
         f"({_sql_daily('l_linenumber')})"
