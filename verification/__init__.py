@@ -1 +1,7 @@
 """Queries on the driver's tables and the SQL they are checked against."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -207,28 +207,6 @@ ECKHARDT = (
     "SELECT f.reach_id, f.i, least(f.q, (0.2 * 0.98 * w.b + 0.02 * 0.8 * f.q) / (1 - 0.98 * 0.8)) FROM eck w JOIN flows f ON f.reach_id = w.reach_id AND f.i = w.i + 1)",
 )
 
-# All 999 candidates advance together as lists, one row per reach and day.
-GRID = "list_transform(range(1, 1000), lambda k: k / 1000.0)"
-CALIBRATION = (
-    f"days AS (SELECT l.reach_id, l.i, l.q, l.recedes, r.recession AS a FROM late l JOIN recession r USING (reach_id) WHERE r.recession IS NOT NULL)",
-    "spread AS (SELECT reach_id, count(*) AS n, coalesce(var_pop(q) FILTER (recedes) * count(*) FILTER (recedes), 0) AS ss_rec, "
-    "coalesce(var_pop(q) FILTER (NOT recedes) * count(*) FILTER (NOT recedes), 0) AS ss_oth FROM days GROUP BY 1)",
-    f"cand AS (SELECT d.reach_id, k.m, d.i, least(d.q, b.b) AS b, CASE WHEN d.recedes THEN pow(d.q - b.b, 2) ELSE 0 END AS rec, "
-    f"CASE WHEN d.recedes THEN 0 ELSE pow(d.q - b.b, 2) END AS oth, 0 AS held FROM days d JOIN back b USING (reach_id, i), "
-    f"(SELECT unnest({GRID}) AS m) k WHERE d.i = 1 UNION ALL "
-    "SELECT reach_id, m, i, b, rec + CASE WHEN recedes THEN pow(q - b, 2) ELSE 0 END, oth + CASE WHEN recedes THEN 0 ELSE pow(q - b, 2) END, "
-    "held + CASE WHEN raw > q THEN 1 ELSE 0 END FROM (SELECT *, least(q, raw) AS b FROM (SELECT d.reach_id, w.m, d.i, d.q, d.recedes, w.rec, w.oth, w.held, "
-    "(1 - w.m) * d.a / (1 - d.a * w.m) * w.b + (1 - d.a) * w.m / (1 - d.a * w.m) * d.q AS raw "
-    "FROM cand w JOIN days d ON d.reach_id = w.reach_id AND d.i = w.i + 1)))",
-    "loss AS (SELECT reach_id, m, 1 - (1 - (rec / (ss_rec + 1e-10) + 1e-10) / (oth / (ss_oth + 1e-10) + 1e-10)) * (1 - held / n) AS loss "
-    "FROM cand JOIN spread USING (reach_id) WHERE i = n)",
-    "best AS (SELECT reach_id, m FROM (SELECT *, row_number() OVER (PARTITION BY reach_id ORDER BY loss, m) AS rn FROM loss) WHERE rn = 1)",
-    "eckc AS (SELECT d.reach_id, d.i, b.b, d.q FROM days d JOIN back b USING (reach_id, i) WHERE d.i = 1 UNION ALL "
-    "SELECT d.reach_id, d.i, least(d.q, (1 - m) * d.a / (1 - d.a * m) * w.b + (1 - d.a) * m / (1 - d.a * m) * d.q), d.q "
-    "FROM eckc w JOIN days d ON d.reach_id = w.reach_id AND d.i = w.i + 1 JOIN best ON best.reach_id = d.reach_id)",
-    "bfi AS (SELECT reach_id, sum(b) / sum(q) AS baseflow_index FROM eckc GROUP BY 1)",
-)
-
 
 def _flood(extra: str = "") -> str:
     return (
@@ -308,6 +286,9 @@ ORACLES = {
     "round(CAST(CAST(CASE WHEN value < 100 THEN value / 100 END AS FLOAT) AS DOUBLE), 4) AS velocity, CAST(NULL AS DOUBLE) AS \"qBtmVertRunoff\", "
     "round(CAST(CAST(CASE WHEN value < 300 THEN value END AS FLOAT) AS DOUBLE), 4) AS \"qBucket\", CAST(NULL AS DOUBLE) AS \"qSfcLatRunoff\", "
     "CAST(NULL AS DOUBLE) AS q_lateral FROM events",
+    "hourly_csv": "SELECT user_id AS feature_id, ts AS time, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS streamflow FROM events",
+    "text_records": _trim("daily_gappy", MONTHS.format(t="trimmed"))
+    + "SELECT reach_id, CAST(month AS INTEGER) AS month, mean AS monthwise_mean, cov AS monthwise_cov FROM months",
     "reach_list_select": _with("hourly") + "SELECT * FROM src WHERE feature_id IN (1, 2, 3, 5, 8, 13)",
     "reach_table_select": _with("hourly") + "SELECT * FROM src WHERE feature_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",
     "reach_slice_select": _with("hourly", "ranked AS (SELECT *, dense_rank() OVER (ORDER BY feature_id) - 1 AS pos FROM src)")
@@ -371,8 +352,6 @@ ORACLES = {
     + "SELECT reach_id, date, " + R6("b", "baseflow") + " FROM back JOIN flows USING (reach_id, i)",
     "eckhardt_fixed": _trim("daily_dense", *BASE[:1], *LYNE_HOLLICK, *ECKHARDT)
     + "SELECT reach_id, date, " + R6("b", "baseflow") + " FROM eck JOIN flows USING (reach_id, i)",
-    "baseflow_index": _trim("daily_smooth", *BASE, *LYNE_HOLLICK, *CALIBRATION)
-    + "SELECT reach_id, " + R6("baseflow_index", "baseflow_index") + " FROM bfi",
     "sanitize_record": _with("daily_missing")
     + "SELECT reach_id, date, streamflow AS scalar, CASE WHEN streamflow IS NULL THEN -99.0 ELSE streamflow END AS element, "
     "streamflow AS nested, strftime(CAST(date AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS moment FROM src",
@@ -386,3 +365,7 @@ ORACLES = {
     "indices_record_sparse_long": _record("daily_sparse"),
     "indices_record_blank_long": _record("daily_blank"),
 }
+
+ORACLES["retrospective_table"] = ORACLES["retrospective_rows"]
+ORACLES["zarr_scan"] = ORACLES["chunk_roundtrip"]
+ORACLES["indices_records_table"] = ORACLES["indices_record_long"]

@@ -10,7 +10,10 @@ from freshet.operators import baseflow, daily, duration_curve, flood, grid, inge
 from freshet.operators.sanitize import sanitize_records
 from freshet.operators.water_years import reach_status, trim_water_years
 from freshet.plans.indices import indices_table
+from freshet.session import scratch_path
+from freshet.sources import sinks, tables, zarr
 from verification import views
+from verification.zarr_files import write_grid
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,10 +59,9 @@ def daily_mean_with_missing(spark, sf_dir):
     return daily.daily_means(ingest.fills_to_null(marked)).select("reach_id", "date", r6("streamflow"))
 
 
-@query
-def retrospective_rows(spark, sf_dir):
+def _raw_rows(spark, sf_dir):
     value = F.col("value")
-    raw = views.table(spark, sf_dir, "events").select(
+    return views.table(spark, sf_dir, "events").select(
         F.col("user_id").cast("int").alias("feature_id"),
         F.col("ts").alias("time"),
         F.when(value >= 1, value).otherwise(-999900.0).alias("streamflow"),
@@ -67,10 +69,17 @@ def retrospective_rows(spark, sf_dir):
         F.when(value < 300, value).otherwise(-999900000.0).alias("qBucket"),
         "event_type",
     )
-    rows = ingest.retrospective(raw)
+
+
+def _four_digits(rows):
     return rows.select("feature_id", "time", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in rows.columns[2:]])
 
 
+@query
+def retrospective_rows(spark, sf_dir):
+    return _four_digits(ingest.retrospective(_raw_rows(spark, sf_dir)))
+
+
 @query
 def reach_list_select(spark, sf_dir):
     return selection.select(
@@ -105,6 +114,49 @@ def series_union(spark, sf_dir):
     return views.daily_dense(spark, sf_dir).unionByName(views.daily_gappy(spark, sf_dir))
 
 
+# Sinks and sources: written below the scratch folder and read back.
+
+
+@query
+def retrospective_table(spark, sf_dir):
+    path = scratch_path(spark, "retrospective")
+    rows = ingest.retrospective(_raw_rows(spark, sf_dir))
+    sinks.write_retrospective(rows, path, run_id="first")
+    sinks.write_retrospective(rows, path, run_id="second")
+    return _four_digits(sinks.read_retrospective(spark, path, "second"))
+
+
+@query
+def hourly_csv(spark, sf_dir):
+    path = scratch_path(spark, "hourly")
+    rows = views.hourly(spark, sf_dir).withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    sinks.write_text(rows.select(F.lit(0).alias("index"), "*"), path, fmt="csv")
+    return _four_digits(tables.read_hourly_csv(spark, path)).select("feature_id", "time", "streamflow")
+
+
+@query
+def text_records(spark, sf_dir):
+    path = scratch_path(spark, "records")
+    stats = monthly.monthwise_stats(trimmed(views.daily_gappy, spark, sf_dir))
+    sinks.write_text(stats, path, shards=4)
+    return spark.read.schema(stats.schema).json(path)
+
+
+@query
+def indices_records_table(spark, sf_dir):
+    path = scratch_path(spark, "indices")
+    sinks.write_indices(indices_table(views.daily_gappy(spark, sf_dir)), path)
+    return _long_record(spark.read.parquet(path))
+
+
+@query
+def zarr_scan(spark, sf_dir):
+    path = scratch_path(spark, "grid.zarr")
+    write_grid(views.cells(spark, sf_dir), path, time_size=168, feature_size=50)
+    zarr.register(spark)
+    return spark.read.format("zarr_grid").load(path)
+
+
 # Grid chunks.
 
 
