@@ -20,33 +20,33 @@ def flow_percentiles(daily: DataFrame, levels: list[int] = LEVELS) -> DataFrame:
     are sorted as one array, as long as its record has days, and only the picks stay.
     """
     return _picked(
-        daily.groupBy("reach_id").agg(F.array_sort(F.collect_list("streamflow")).alias("_flows")), levels
+        daily.groupBy("reach_id").agg(F.sort_array(F.collect_list("streamflow")).alias("_flows")), levels
     )
 
 
 def _picked(flows: DataFrame, levels: list[int] = LEVELS) -> DataFrame:
     ordered = F.col("_flows")
-    fractions = F.array(*[F.lit(level / 100) for level in levels])
     return flows.select(
         *[c for c in flows.columns if c != "_flows"],
-        F.transform(fractions, lambda p: weibull_quantile(ordered, p)).alias("percentiles"),
+        F.transform(F.lit([level / 100 for level in levels]), lambda p: weibull_quantile(ordered, p)).alias("percentiles"),
         F.get(ordered, F.lit(0)).alias("min_flow"),
         F.get(ordered, F.size(ordered) - 1).alias("max_flow"),
     )
 
 
-def at_level(level: int, levels: list[int] = LEVELS) -> Column:
-    return F.col("percentiles")[levels.index(level)]
+def _at(levels: list[int]) -> str:
+    """SQL list of the percentiles at some of the levels."""
+    return ", ".join(f"percentiles[{LEVELS.index(level)}]" for level in levels)
 
 
 def duration_vector() -> Column:
     """Minimum, eleven percentiles, maximum."""
-    return F.array(F.col("min_flow"), *[at_level(p) for p in VECTOR_LEVELS], F.col("max_flow"))
+    return F.expr(f"array(min_flow, {_at(VECTOR_LEVELS)}, max_flow)")
 
 
 def variability_index() -> Column:
     """Sample standard deviation of the log10 of 19 percentiles, low ones lifted."""
-    logs = F.array(*[F.log10(F.greatest(at_level(p), F.lit(LOWEST_FLOW))) for p in VARIABILITY_LEVELS])
+    logs = F.transform(F.expr(f"array({_at(VARIABILITY_LEVELS)})"), lambda q: F.log10(F.greatest(q, F.lit(LOWEST_FLOW))))
     count = len(VARIABILITY_LEVELS)
     mean = F.aggregate(logs, F.lit(0.0), lambda total, x: total + x) / count
     spread = F.aggregate(logs, F.lit(0.0), lambda total, x: total + (x - mean) * (x - mean))
@@ -56,8 +56,8 @@ def variability_index() -> Column:
 def duration_slope() -> Column:
     """Slope of the log flow-duration curve between the two slope levels."""
     low, high = SLOPE_LEVELS
-    rise = F.ln(floor_or_null(at_level(high), LOWEST_FLOW)) - F.ln(floor_or_null(at_level(low), LOWEST_FLOW))
-    return rise / (high - low)
+    at = lambda level: F.ln(floor_or_null(F.expr(_at([level])), LOWEST_FLOW))
+    return (at(high) - at(low)) / (high - low)
 
 
 def duration_curve(daily: DataFrame) -> DataFrame:
@@ -86,8 +86,8 @@ def months_and_curve(daily: DataFrame) -> DataFrame:
     )
     stats = F.struct("month", "monthwise_mean", "monthwise_cov")
     reaches = months.groupBy("reach_id").agg(
-        F.array_sort(F.collect_list(stats)).alias("m"),
-        F.array_sort(F.flatten(F.collect_list("flows"))).alias("_flows"),
+        F.sort_array(F.collect_list(stats)).alias("m"),
+        F.sort_array(F.flatten(F.collect_list("flows"))).alias("_flows"),
     )
     return _picked(reaches).select(
         "reach_id",

@@ -11,6 +11,9 @@ SEASON_DAYS = 180
 SEASON_MIN_FLOWS = 150
 FIRST_YEAR, LAST_YEAR = 1980, 2021
 
+# Factors of SEASON_DAYS, see ``_sums_ahead``.
+STRETCHES = (6, 6, 5)
+
 
 def calendar_order() -> WindowSpec:
     """Date order that leads with the calendar year, so that the aggregate per year
@@ -35,21 +38,40 @@ def fill_calendar(daily: DataFrame) -> DataFrame:
     )
 
 
+def _sums_ahead(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """Replace columns by their sums over the next ``SEASON_DAYS`` rows, this one included.
+
+    A sliding frame would add up 180 values for every row. Sums of short stretches are
+    combined into longer ones instead, some 20 steps per row. Unlike running totals,
+    whose rounding depends on what came before, equal stretches give equal sums, so
+    ties stay ties. Rows too near the end hold partial sums or null.
+    """
+    order = calendar_order()
+    length, rest = STRETCHES[0], STRETCHES[1:]
+    frame = frame.withColumns({c: F.sum(c).over(order.rowsBetween(0, length - 1)) for c in columns})
+    for factor in rest:
+        parts = {c: [F.col(c), *[F.lead(c, length * k).over(order) for k in range(1, factor)]] for c in columns}
+        frame = frame.withColumns({c: sum(p[1:], p[0]) for c, p in parts.items()})
+        length *= factor
+    return frame
+
+
 def season_means(daily: DataFrame) -> DataFrame:
     """Mean of the 180 days that start on each date.
 
     Null with fewer than 150 flows in the window, and on the last 179 dates, where the
     window would run past the record.
     """
-    filled = fill_calendar(daily).withColumn("year", F.year("date"))
-    window = calendar_order().rowsBetween(0, SEASON_DAYS - 1)
     flow = F.col("streamflow")
-    last = F.max("date").over(calendar_order().rowsBetween(*ALL_ROWS))
-    complete = (F.count(flow).over(window) >= SEASON_MIN_FLOWS) & (
-        F.date_add("date", SEASON_DAYS - 1) <= last
+    days = (
+        fill_calendar(daily)
+        .withColumn("year", F.year("date"))
+        .withColumn("_last", F.max("date").over(calendar_order().rowsBetween(*ALL_ROWS)))
+        .withColumns({"_sum": F.coalesce(flow, F.lit(0.0)), "_count": flow.isNotNull().cast("int")})
     )
-    return filled.select(
-        "reach_id", "year", "date", F.when(complete, F.avg(flow).over(window)).alias("season_mean")
+    complete = (F.col("_count") >= SEASON_MIN_FLOWS) & (F.date_add("date", SEASON_DAYS - 1) <= F.col("_last"))
+    return _sums_ahead(days, ["_sum", "_count"]).select(
+        "reach_id", "year", "date", F.when(complete, F.col("_sum") / F.col("_count")).alias("season_mean")
     )
 
 

@@ -38,10 +38,10 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
         cells.join(features, "feature_id").join(times, "time")
         .select(t.alias("time_chunk"), f.alias("feature_chunk"), F.struct(index.alias("_i"), *names).alias("_cell"))
         .groupBy("time_chunk", "feature_chunk")
-        .agg(F.array_sort(F.collect_list("_cell")).alias("_cells"))
+        .agg(F.sort_array(F.collect_list("_cell")).alias("_cells"))
     )
     coordinate = lambda frame, column, at, chunk, out: frame.groupBy(chunk).agg(
-        F.array_sort(F.collect_list(F.struct(at, column))).getField(column).alias(out)
+        F.sort_array(F.collect_list(F.struct(at, column))).getField(column).alias(out)
     )
     time_axis = coordinate(times, "time", "_t", t.alias("time_chunk"), "times")
     feature_axis = coordinate(features, "feature_id", "_f", f.alias("feature_chunk"), "feature_ids")
@@ -96,12 +96,11 @@ def grid_summary(rows: DataFrame) -> DataFrame:
 
     Distinct coordinates are counted through a shuffle on each, never in one task.
     """
-    shares = [
-        F.avg(F.coalesce(F.isnan(name), F.lit(True)).cast("double")).alias(f"{name}_missing")
-        if dict(rows.dtypes)[name] in ("float", "double")
-        else F.avg(F.col(name).isNull().cast("double")).alias(f"{name}_missing")
-        for name in _variables(rows)
-    ]
+    def missing(name: str) -> Column:
+        floating = rows.schema[name].dataType.typeName() in ("float", "double")
+        return F.col(name).isNull() | F.isnan(name) if floating else F.col(name).isNull()
+
+    shares = [F.avg(missing(name).cast("double")).alias(f"{name}_missing") for name in _variables(rows)]
     return rows.agg(
         F.countDistinct("feature_id").alias("feature_count"),
         F.countDistinct("time").alias("time_count"),

@@ -25,7 +25,7 @@ def monthwise_stats(daily: DataFrame) -> DataFrame:
 
 def monthwise_arrays(stats: DataFrame) -> DataFrame:
     """One row per reach; arrays hold the months present, in month order."""
-    ordered = F.array_sort(F.collect_list(F.struct("month", "monthwise_mean", "monthwise_cov")))
+    ordered = F.sort_array(F.collect_list(F.struct("month", "monthwise_mean", "monthwise_cov")))
     return stats.groupBy("reach_id").agg(ordered.alias("m")).select(
         "reach_id", "m.monthwise_mean", "m.monthwise_cov"
     )
