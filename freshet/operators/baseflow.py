@@ -139,13 +139,15 @@ def _calibrated_maximum(flow: np.ndarray, recedes: np.ndarray, first: float, rec
     held_back = np.zeros(CANDIDATES)
     miss = {True: np.zeros(CANDIDATES), False: np.zeros(CANDIDATES)}
     miss[bool(recedes[0])] += (flow[0] - base) ** 2
+    gap = np.empty(CANDIDATES)
     for today, receding in zip(flow[1:].tolist(), recedes[1:].tolist()):
-        base = carry * base + share * today
-        over = base > today
-        held_back += over
-        base[over] = today
-        gap = today - base
-        miss[receding] += gap * gap
+        base *= carry
+        base += np.multiply(share, today, out=gap)
+        held_back += base > today
+        np.minimum(base, today, out=base)
+        np.subtract(today, base, out=gap)
+        gap *= gap
+        miss[receding] += gap
 
     def efficiency(receding: bool) -> np.ndarray:
         days = flow[recedes == receding]

@@ -9,6 +9,10 @@ from freshet.schemas import FLOW_VARIABLES
 # Block size of the production run.
 TIME_SIZE, FEATURE_SIZE = 672, 2000
 
+# Coordinates up to this many (64 MB of them) go to every task; longer ones are joined
+# by shuffle.
+BROADCAST_COORDINATES = 4_000_000
+
 
 def _variables(frame: DataFrame) -> list[str]:
     return [name for name in FLOW_VARIABLES if name in frame.columns]
@@ -25,7 +29,13 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
     names = _variables(rows)
     times = dense_positions(rows, "time").withColumnRenamed("position", "_t")
     features = dense_positions(rows, "feature_id").withColumnRenamed("position", "_f")
-    feature_count = features.count()
+    time_count, feature_count = times.count(), features.count()
+
+    def sized(axis: DataFrame, count: int) -> DataFrame:
+        return F.broadcast(axis) if count <= BROADCAST_COORDINATES else axis
+
+    by_time = lambda axis: sized(axis, time_count)
+    by_feature = lambda axis: sized(axis, feature_count)
 
     once = lambda name: F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("repeated grid cell"))).otherwise(
         F.first(name)
@@ -35,7 +45,7 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
     width = F.least(F.lit(feature_size), F.lit(feature_count) - f * feature_size)
     index = (F.col("_t") % time_size * width + F.col("_f") % feature_size).cast("int")
     bodies = (
-        cells.join(features, "feature_id").join(times, "time")
+        cells.join(by_feature(features), "feature_id").join(by_time(times), "time")
         .select(t.alias("time_chunk"), f.alias("feature_chunk"), F.struct(index.alias("_i"), *names).alias("_cell"))
         .groupBy("time_chunk", "feature_chunk")
         .agg(F.sort_array(F.collect_list("_cell")).alias("_cells"))
@@ -45,7 +55,7 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
     )
     time_axis = coordinate(times, "time", "_t", t.alias("time_chunk"), "times")
     feature_axis = coordinate(features, "feature_id", "_f", f.alias("feature_chunk"), "feature_ids")
-    whole = bodies.join(time_axis, "time_chunk").join(feature_axis, "feature_chunk")
+    whole = bodies.join(by_time(time_axis), "time_chunk").join(by_feature(feature_axis), "feature_chunk")
     size = F.size("times") * F.size("feature_ids")
     return whole.select(
         "time_chunk", "feature_chunk", "times", "feature_ids",

@@ -147,10 +147,10 @@ def dense_positions(frame: DataFrame, column: str) -> DataFrame:
         .checkpoint()
         .select(column, F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND(2**33 - 1).alias("_row"))
     )
-    sizes = sorted((r[0], r[1]) for r in placed.groupBy("_part").count().collect())
+    sizes = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
     starts, total = [], 0
-    for part, count in sizes:
-        starts.append((part, total))
-        total += count
-    offsets = frame.sparkSession.createDataFrame(starts, "_part long, _start long")
-    return placed.join(offsets, "_part").select(column, (F.col("_start") + F.col("_row")).alias("position"))
+    for part in range(max(sizes, default=0) + 1):
+        starts.append(total)
+        total += sizes.get(part, 0)
+    start = F.get(F.expr(f"array({', '.join(f'{s}L' for s in starts)})"), F.col("_part").cast("int"))
+    return placed.select(column, (start + F.col("_row")).alias("position"))

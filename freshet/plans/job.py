@@ -52,12 +52,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--indices-out", required=True)
     parser.add_argument("--mode", choices=["append", "overwrite"], default="append")
     parser.add_argument("--run-id", default=None)
+    parser.add_argument("--shuffle-partitions", type=int, default=None,
+                        help="upper bound; adaptive execution merges small ones")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> str:
     args = parse(argv)
-    spark = build_session("freshet-indices")
+    conf = {}
+    if args.shuffle_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(args.shuffle_partitions)
+    spark = build_session("freshet-indices", **conf)
     options, mode = {}, args.select
     if args.format == "zarr_grid" and mode == "slice":
         # A grid knows its positions: the slice is cut from the block list.

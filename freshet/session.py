@@ -13,6 +13,8 @@ def build_session(app_name: str = "freshet", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Room for the days of one reach, so that windows need not spill for each.
+        .config("spark.sql.windowExec.buffer.in.memory.threshold", "32768")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

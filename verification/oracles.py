@@ -289,7 +289,7 @@ ORACLES = {
     "hourly_csv": "SELECT user_id AS feature_id, ts AS time, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS streamflow FROM events",
     "text_records": _trim("daily_gappy", MONTHS.format(t="trimmed"))
     + "SELECT reach_id, CAST(month AS INTEGER) AS month, mean AS monthwise_mean, cov AS monthwise_cov FROM months",
-    "reach_list_select": _with("hourly") + "SELECT * FROM src WHERE feature_id IN (1, 2, 3, 5, 8, 13)",
+    "reach_list_select": _with("hourly") + "SELECT * FROM src WHERE feature_id IN (SELECT s_suppkey FROM supplier ORDER BY s_acctbal DESC, s_suppkey LIMIT 20)",
     "reach_table_select": _with("hourly") + "SELECT * FROM src WHERE feature_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",
     "reach_slice_select": _with("hourly", "ranked AS (SELECT *, dense_rank() OVER (ORDER BY feature_id) - 1 AS pos FROM src)")
     + "SELECT feature_id, time, streamflow FROM ranked WHERE pos >= 5",

@@ -82,9 +82,10 @@ def retrospective_rows(spark, sf_dir):
 
 @query
 def reach_list_select(spark, sf_dir):
-    return selection.select(
-        views.hourly(spark, sf_dir), "reach_list", ids=[1, 2, 3, 5, 8, 13], on_missing="ignore"
-    )
+    """A list of twenty reaches, here the suppliers with the highest balance."""
+    best = views.table(spark, sf_dir, "supplier").orderBy(F.desc("s_acctbal"), "s_suppkey")
+    ids = [row["s_suppkey"] for row in best.select("s_suppkey").take(20)]
+    return selection.select(views.hourly(spark, sf_dir), "reach_list", ids=ids, on_missing="ignore")
 
 
 @query
