@@ -180,7 +180,7 @@ SEASON = CALENDAR + (
 )
 
 BASE = (
-    "flows AS (SELECT reach_id, date, streamflow AS q, row_number() OVER (PARTITION BY reach_id ORDER BY date) AS i FROM trimmed WHERE streamflow IS NOT NULL)",
+    "flows AS MATERIALIZED (SELECT reach_id, date, streamflow AS q, row_number() OVER (PARTITION BY reach_id ORDER BY date) AS i FROM trimmed WHERE streamflow IS NOT NULL)",
     "near AS (SELECT *, lag(q) OVER w AS before, lead(q) OVER w AS after, lead(q, 2) OVER w AS after2, "
     "quantile_cont(q, 0.9) OVER (PARTITION BY reach_id) AS big FROM flows WINDOW w AS (PARTITION BY reach_id ORDER BY date))",
     "wet1 AS (SELECT *, (after - before) / 2 AS slope, coalesce((after - before) / 2 >= 0, true) AS wet, "
@@ -208,6 +208,32 @@ ECKHARDT = (
 )
 
 
+# Keyed recursion: one row per reach and candidate, advanced a day at a time.
+CALIBRATION = (
+    "days AS MATERIALIZED (SELECT l.reach_id, l.i, l.q, l.recedes, r.recession AS a FROM late l JOIN recession r USING (reach_id) "
+    "WHERE r.recession IS NOT NULL)",
+    "spread AS MATERIALIZED (SELECT reach_id, count(*) AS n, coalesce(var_pop(q) FILTER (recedes) * count(*) FILTER (recedes), 0) AS ss_rec, "
+    "coalesce(var_pop(q) FILTER (NOT recedes) * count(*) FILTER (NOT recedes), 0) AS ss_oth FROM days GROUP BY 1)",
+    "firsts AS MATERIALIZED (SELECT reach_id, b FROM back WHERE i = 1)",
+    "cand(reach_id, m, i, b, rec, oth, held) USING KEY (reach_id, m) AS (SELECT d.reach_id, CAST(k / 1000.0 AS DOUBLE), d.i, least(d.q, b.b), "
+    "CASE WHEN d.recedes THEN pow(d.q - b.b, 2) ELSE 0 END, CASE WHEN d.recedes THEN 0 ELSE pow(d.q - b.b, 2) END, 0 "
+    "FROM days d JOIN firsts b USING (reach_id), range(1, 1000) r(k) WHERE d.i = 1 UNION "
+    "SELECT reach_id, m, i, least(q, raw), rec + CASE WHEN recedes THEN pow(q - least(q, raw), 2) ELSE 0 END, "
+    "oth + CASE WHEN recedes THEN 0 ELSE pow(q - least(q, raw), 2) END, held + CASE WHEN raw > q THEN 1 ELSE 0 END "
+    "FROM (SELECT d.reach_id, w.m, d.i, d.q, d.recedes, w.rec, w.oth, w.held, "
+    "(1 - w.m) * d.a / (1 - d.a * w.m) * w.b + (1 - d.a) * w.m / (1 - d.a * w.m) * d.q AS raw "
+    "FROM cand w JOIN days d ON d.reach_id = w.reach_id AND d.i = w.i + 1))",
+    "loss AS (SELECT reach_id, m, 1 - (1 - (rec / (ss_rec + 1e-10) + 1e-10) / (oth / (ss_oth + 1e-10) + 1e-10)) * (1 - held / n) AS loss "
+    "FROM cand JOIN spread USING (reach_id) WHERE i = n)",
+    "best AS MATERIALIZED (SELECT reach_id, m FROM (SELECT *, row_number() OVER (PARTITION BY reach_id ORDER BY loss, m) AS rn FROM loss) WHERE rn = 1)",
+    "total(reach_id, i, b, sum_b) USING KEY (reach_id) AS (SELECT reach_id, 1, b, b FROM firsts UNION "
+    "SELECT reach_id, i, least(q, raw), sum_b + least(q, raw) FROM (SELECT d.reach_id, d.i, d.q, w.sum_b, "
+    "(1 - m) * d.a / (1 - d.a * m) * w.b + (1 - d.a) * m / (1 - d.a * m) * d.q AS raw "
+    "FROM total w JOIN days d ON d.reach_id = w.reach_id AND d.i = w.i + 1 JOIN best ON best.reach_id = d.reach_id))",
+    "bfi AS (SELECT t.reach_id, t.sum_b / f.q AS baseflow_index FROM total t JOIN (SELECT reach_id, sum(q) AS q FROM days GROUP BY 1) f USING (reach_id))",
+)
+
+
 def _flood(extra: str = "") -> str:
     return (
         "flood AS (SELECT reach_id, CAST(round_even(median(dayofyear(start_date)), 0) AS INTEGER) AS start_date_flood_season "
@@ -237,7 +263,7 @@ def _long(name: str, position: str, value: str, source: str) -> str:
 
 
 def _record(view: str) -> str:
-    """All indices but the baseflow index, one row per reach, index and position."""
+    """All indices, one row per reach, index and position."""
     numbered = "(SELECT *, row_number() OVER (PARTITION BY reach_id ORDER BY month) - 1 AS pos FROM months)"
     parts = [
         _long("monthwise_mean", "pos", "coalesce(mean, -99)", numbered),
@@ -248,6 +274,7 @@ def _record(view: str) -> str:
         _long("flashiness_index", "position", "coalesce(v, -99)", "periods"),
         _long("sevenQ10", "0", "seven_q10", "q10"),
         _long("mean_annual_7_day_min", "0", "avg(min_7)", "usable GROUP BY 1"),
+        _long("baseflow_index", "0", "baseflow_index", "bfi"),
         _long("zero_flow_days_n", "0", "zero_flow_days_n", "zero"),
         _long("low_flow_days_n", "0", "low_flow_days_n", "low"),
         _long("duration_low_flow_event", "0", "duration_low_flow_event", "low"),
@@ -260,6 +287,7 @@ def _record(view: str) -> str:
     steps = (
         *STATUS, MONTHS.format(t="trimmed"), *_percentiles("trimmed"), VECTOR, VARIABILITY, SLOPE, *FLASH, _periods(PERIODS),
         WEEK, WEEK_YEARS, USABLE, _probability(0.1), *MOMENTS, *QUANTILE, *MARKS, ZERO, *LOW, *HIGH, *HALF, HALF_SUMMARY, *SEASON, _flood(),
+        *BASE, *LYNE_HOLLICK, *CALIBRATION,
         "record AS (" + " UNION ALL ".join(parts) + ")",
         "failed AS (SELECT reach_id, name, unnest(range(0, size)) AS position, CAST(-99 AS DOUBLE) AS value FROM status, (VALUES "
         "('monthwise_mean', 12), ('monthwise_cov', 12), ('nth_percentile_flows', 13), ('flashiness_index', 5), ('half_flow_date', 2)) l(name, size) "
@@ -352,6 +380,8 @@ ORACLES = {
     + "SELECT reach_id, date, " + R6("b", "baseflow") + " FROM back JOIN flows USING (reach_id, i)",
     "eckhardt_fixed": _trim("daily_dense", *BASE[:1], *LYNE_HOLLICK, *ECKHARDT)
     + "SELECT reach_id, date, " + R6("b", "baseflow") + " FROM eck JOIN flows USING (reach_id, i)",
+    "baseflow_index": _trim("daily_smooth", *BASE, *LYNE_HOLLICK, *CALIBRATION)
+    + "SELECT reach_id, " + R6("baseflow_index", "baseflow_index") + " FROM bfi",
     "sanitize_record": _with("daily_missing")
     + "SELECT reach_id, date, streamflow AS scalar, CASE WHEN streamflow IS NULL THEN -99.0 ELSE streamflow END AS element, "
     "streamflow AS nested, strftime(CAST(date AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS moment FROM src",

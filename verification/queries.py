@@ -459,11 +459,9 @@ def sanitize_record(spark, sf_dir):
 
 
 def _long_record(records: DataFrame) -> DataFrame:
-    """One row per reach, index and position, without the baseflow index."""
+    """One row per reach, index and position."""
     parts = []
     for field in records.schema.fields[1:]:
-        if field.name == "baseflow_index":
-            continue
         value = F.col(field.name)
         values = value if field.dataType.typeName() == "array" else F.array(value.cast("double"))
         parts.append(F.struct(F.lit(field.name).alias("name"), values.alias("values")))
