@@ -9,7 +9,8 @@ from freshet.schemas import FLOW_VARIABLES
 # Block size of the production run.
 TIME_SIZE, FEATURE_SIZE = 672, 2000
 
-# Coordinates up to this many (64 MB of them) go to every task; longer ones are joined
+# Coordinates up to this many (some 200 MB as a hash table) go to every executor; longer
+# ones are joined
 # by shuffle.
 BROADCAST_COORDINATES = 4_000_000
 
