@@ -10,8 +10,7 @@ from freshet.schemas import FLOW_VARIABLES
 TIME_SIZE, FEATURE_SIZE = 672, 2000
 
 # Coordinates up to this many (some 200 MB as a hash table) go to every executor; longer
-# ones are joined
-# by shuffle.
+# ones are joined by shuffle.
 BROADCAST_COORDINATES = 4_000_000
 
 
