@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import decontam, langid, packing, quality, secrets, simhash
+from freshet.llm import chat, decontam, langid, packing, quality, secrets, sharding, simhash, warc
 from freshet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,20 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_sharding(spark, sf_dir):
+    placed = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24)
+    return placed.select(
+        "row.doc_id",
+        "size",
+        F.crc32(F.coalesce("row.text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op2_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -31,6 +45,16 @@ def op3_quality(spark, sf_dir):
     return quality.assess(table(spark, sf_dir, "documents"), trusted).select("row.doc_id", "quality.*")
 
 
+@query
+def op4_chat(spark, sf_dir):
+    trap = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], "conv_id long, turn long, role string, text string")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    nodes, places = chat.prefix_tree(turns, tokenizer)
+    return chat.read_back(nodes, places, tokenizer)
+
+
 @query
 def op6_decontamination(spark, sf_dir):
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -60,7 +84,42 @@ def op9_language(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_warc(spark, sf_dir):
+    index = warc.archive_and_index(warc.dated(table(spark, sf_dir, "pages")))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
+
+
 ORACLES: dict[str, str] = {
+    "op4_chat": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(15 + length(role) + length(text) + length(text) - length(replace(replace(text, chr(92), ''), '<', '')))::BIGINT AS formatted_chars
+        FROM turns GROUP BY conv_id
+    """,
+    "op10_warc": r"""
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+                regexp_replace(url, '#.*$', '') AS url
+            FROM pages),
+        marked AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS stored
+            FROM payloads)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN stored = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN stored <> page_id THEN stored END AS refers_to,
+            array_to_string(list_reverse(string_split(regexp_replace(regexp_extract(url, '^[a-z]+://([^/?]*)', 1), '^www\.', ''), '.')), ',')
+                || ')' || CASE WHEN regexp_extract(url, '^[a-z]+://[^/?]*([^?]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '^[a-z]+://[^/?]*([^?]*)', 1) END
+                || regexp_extract(url, '(\?.+)?$', 1) AS url_key,
+            strftime(make_timestamp(1704067200000000 + page_id * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
+        FROM marked
+    """,
     "op6_decontamination": """
         WITH words AS (
             SELECT 'd' AS side, doc_id AS id, regexp_extract_all(
