@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import chat, decontam, langid, packing, quality, secrets, sharding, simhash, warc
+from freshet.llm import chat, decontam, html_text, langid, packing, quality, secrets, sharding, simhash, warc
 from freshet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,12 @@ def op4_chat(spark, sf_dir):
     return chat.read_back(nodes, places, tokenizer)
 
 
+@query
+def op5_html_text(spark, sf_dir):
+    texts = table(spark, sf_dir, "pages").select("page_id", "url", html_text.extracted("html").alias("text"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query
 def op6_decontamination(spark, sf_dir):
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -15,6 +15,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Patterns and least lengths of the base kinds, prefixes of checksummed tokens.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -116,10 +117,11 @@ def redact(text: str | None, spans: list[Span]) -> str | None:
     return "".join([*parts, text[at:]])
 
 
+_SPAN_TYPE = T.ArrayType(T.StructType().add("start", T.LongType()).add("end", T.LongType()).add("kind", T.StringType()))
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
 
-@F.arrow_udf("array<struct<start:long,end:long,kind:string>>")
+@F.arrow_udf(_SPAN_TYPE)
 def _spans(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     words = automaton()
     for array in texts:
@@ -127,7 +129,7 @@ def _spans(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([[dict(zip(("start", "end", "kind"), s, strict=True)) for s in spans] for spans in found], _SPANS)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _redacted(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     words = automaton()
     for array in texts:

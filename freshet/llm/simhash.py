@@ -14,6 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.llm.common import materialized, utf8
 from freshet.llm.components import components
@@ -47,7 +48,7 @@ def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def _fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for array in texts:
         values = (simhash(t.as_py()) for t in array)
