@@ -165,14 +165,14 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = SHINGLE_WORD
     return F.concat(*found) if found else F.array().cast(_MATCHES)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, width: int = SHINGLE_WORDS, containment: float = CONTAINMENT) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, width: int = SHINGLE_WORDS, containment: float = CONTAINMENT, block_characters: int = BLOCK_CHARACTERS) -> DataFrame:
     """``doc_id, item_id, n_shared, n_shingles, containment`` for every document that contains an item.
 
     Words are lower-cased (A-Z) runs without ASCII white space. Null, empty and wordless
     texts contain nothing and items of that kind are contained nowhere; texts of fewer
     words than a shingle are one shingle. Repeated rows give repeated pairs.
     """
-    rows = docs.select("doc_id", F.explode(contained_items(docs, items, width, containment)).alias("hit"))
+    rows = docs.select("doc_id", F.explode(contained_items(docs, items, width, containment, block_characters)).alias("hit"))
     return rows.select("doc_id", "hit.*").withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 

@@ -6,8 +6,8 @@ the bucket of its length, so no sequence crosses documents and none is padded. S
 bucket share one length and form batches without attention masks.
 """
 
+import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,8 @@ END_ID = 0
 
 #: A single space between visible characters; byte-level pre-tokenisers always cut before it.
 _SAFE_CUT = regex.compile(r"(?<=\S) (?=\S)")
-_BATCH_CHARACTERS = 4_000_000
+_BATCH_CHARACTERS = 500_000
+_BATCH_CHUNKS = 4_000
 
 
 class CachedTokenizer:
@@ -35,11 +36,13 @@ class CachedTokenizer:
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of the tokenizer's own would cost memory and gain nothing.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._ids: dict[str, list[int]] = {}
+        self._ids: dict[str, bytes] = {}
 
     @staticmethod
     def _chunks(text: str) -> list[str]:
@@ -53,10 +56,12 @@ class CachedTokenizer:
         if len(self._ids) > VOCABULARY_WORDS:
             self._ids.clear()
         unknown = list({c for chunks in cut for c in chunks} - self._ids.keys())
-        encoded = self._tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        self._ids.update(zip(unknown, (e.ids for e in encoded), strict=True))
+        for start in range(0, len(unknown), _BATCH_CHUNKS):
+            part = unknown[start : start + _BATCH_CHUNKS]
+            encoded = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self._ids.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(part, encoded, strict=True))
         for chunks in cut:
-            yield np.fromiter(chain.from_iterable(map(self._ids.__getitem__, chunks)), np.uint32)
+            yield np.frombuffer(b"".join(map(self._ids.__getitem__, chunks)), "<u4")
 
 
 def piece_lengths(length: int, sequence: int = SEQUENCE) -> list[int]:
@@ -89,7 +94,7 @@ def _pack(tokenizer_path: str, sequence: int, end_id: int):
         for group in texts_of(batches):
             columns = [[] for _ in range(7)]
             for (doc_id, _), ids in zip(group, tokenizer.encode([t for _, t in group]), strict=True):
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                ids = np.append(ids, np.array([end_id], "<u4"))
                 start = 0
                 for length in piece_lengths(len(ids), sequence):
                     bucket = length.bit_length() - 1

@@ -31,7 +31,7 @@ CHECKED_WORDS = ["ghp_", "gho_", "ghu_", "ghs_", "ghr_", "npm_"]
 KINDS = ["assign", "access", "hex", "github", "npm"]
 BASE_KINDS = KINDS[:3]
 
-HEX_STRIDE = 16
+HEX_STRIDE = HEX_LENGTH // 2
 _HEX_PAIR = re.compile(r"[0-9a-f]{2,}")
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -58,17 +58,18 @@ def automaton() -> ahocorasick.Automaton:
 
 def _hex_runs(text: str) -> Iterator[Span]:
     done = 0
-    for pair in _HEX_PAIR.finditer(text[::HEX_STRIDE]):
-        inside = pair.start() * HEX_STRIDE
-        if inside < done:
-            continue
-        start = inside
-        while start > 0 and text[start - 1] in "0123456789abcdef":
-            start -= 1
-        run = HEX_RUN.match(text, start)
-        done = run.end()
-        if done - start >= HEX_LENGTH:
-            yield start, done, "hex"
+    for stretch in _HEX_PAIR.finditer(text[::HEX_STRIDE]):
+        # Any two neighbours of the stretch may belong to a run; looking from the first will do.
+        for place in range(stretch.start(), stretch.end() - 1):
+            inside = place * HEX_STRIDE
+            if inside < done:
+                continue
+            start = inside
+            while start > done and text[start - 1] in "0123456789abcdef":
+                start -= 1
+            done = HEX_RUN.match(text, start).end()
+            if done - start >= HEX_LENGTH:
+                yield start, done, "hex"
 
 
 def find_secrets(text: str | None, words: ahocorasick.Automaton) -> list[Span]:

@@ -74,6 +74,11 @@ def covering_masks(radius: int = RADIUS) -> list[int]:
     return masks
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    # Of a signed number numpy would count the bits of its absolute value.
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _spanning_links(members: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Links that connect what pairs within the radius connect: a forest, not all pairs."""
     links, rest = [], members
@@ -81,7 +86,7 @@ def _spanning_links(members: np.ndarray, radius: int) -> list[tuple[np.ndarray,
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             head = queue.pop()
-            near = np.bitwise_count(rest ^ head) <= radius
+            near = _distance(rest, head) <= radius
             found, rest = rest[near], rest[~near]
             if len(found):
                 links.append((np.full(len(found), head), found))
@@ -130,7 +135,7 @@ def _bucket_links(radius: int, limit: int):
         sizes = np.diff(starts)
         first = starts[:-1][sizes == 2]
         a, b = fp[first], fp[first + 1]
-        near = np.bitwise_count(a ^ b) <= radius
+        near = _distance(a, b) <= radius
         if near.any():
             yield out(-1, a[near], b[near])
         for i in np.flatnonzero(sizes > 2):
