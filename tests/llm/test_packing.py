@@ -1,3 +1,5 @@
+import functools
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -17,13 +19,19 @@ def tokenizer():
     return tokenizer
 
 
+@functools.cache
+def both():
+    whole = Tokenizer.from_file(PATH)
+    whole.encode_special_tokens = True
+    return whole, packing.CachedTokenizer(PATH)
+
+
 @given(st.lists(st.text(alphabet=" \n\t\r\x0b\x1c\x85  ab'sé1,.<|>漢"), max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_cached_tokenizer_equals_the_tokenizer(texts):
-    whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
+    whole, cached = both()
     texts = [*texts, "two  spaces", " lead", "trail ", "<|endoftext|> x", "it's we'll don't", "a \n b"]
-    got = [ids.tolist() for ids in packing.CachedTokenizer(PATH).encode(texts)]
+    got = [ids.tolist() for ids in cached.encode(texts)]
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
