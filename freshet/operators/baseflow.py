@@ -59,7 +59,7 @@ def strict_baseflow(daily: DataFrame) -> DataFrame:
 
 def _recession_rates() -> Column:
     """Ascending relative rates of fall on baseflow-only days, as an aggregate."""
-    return F.sort_array(F.collect_list(F.when(F.col("strict"), -F.col("slope") / F.col("streamflow"))))
+    return F.sort_array(F.collect_list(F.when(F.col("strict"), F.try_divide(-F.col("slope"), F.col("streamflow")))))
 
 
 def _recession(rates: str) -> Column:

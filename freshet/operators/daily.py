@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from freshet.functions.missing import null_if_nan
 
@@ -14,8 +15,12 @@ def daily_means(hourly: DataFrame, value: str = "streamflow") -> DataFrame:
     a reach id form one series of their own.
     """
     flow = null_if_nan(F.col(value).cast("double"))
+    time = F.col("time")
+    if isinstance(hourly.schema["time"].dataType, TimestampType):
+        # Days are UTC days, whatever zone the session shows times in.
+        time = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.unix_micros(time) / 86_400_000_000).cast("int"))
     return (
-        hourly.groupBy(F.col("feature_id").alias("reach_id"), F.to_date("time").alias("date"))
+        hourly.groupBy(F.col("feature_id").alias("reach_id"), F.to_date(time).alias("date"))
         .agg(F.when(F.count(F.lit(1)) == F.count(flow), F.avg(flow)).alias("streamflow"))
     )
 

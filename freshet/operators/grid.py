@@ -1,6 +1,6 @@
 """Chunked grids: one row per (time, feature) block, and its long form."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from freshet.operators.selection import dense_positions
@@ -22,11 +22,15 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
     """Assemble long rows into chunks of at most ``time_size`` x ``feature_size`` cells.
 
     Chunk columns: ``time_chunk, feature_chunk, times, feature_ids`` and one array per
-    variable in row-major (time, feature) order, null where a cell has no row. Cells
-    combine before chunks do, so a chunk never gathers more than its cells; a repeated
-    cell is an error, as a grid has no place for it.
+    variable in row-major (time, feature) order, null where a cell has no row. All blocks
+    of the two axes are there, also those without any row, so the cells do not depend on
+    the block size. Cells combine before chunks do, so a chunk never gathers more than its
+    cells; a repeated cell or one without a coordinate is an error, as a grid has no place
+    for it.
     """
     names = _variables(rows)
+    placed = lambda name: F.coalesce(F.col(name), F.raise_error(F.lit(f"grid cell without {name}")).cast(rows.schema[name].dataType))
+    rows = rows.select(placed("time").alias("time"), placed("feature_id").alias("feature_id"), *names)
     times = dense_positions(rows, "time").withColumnRenamed("position", "_t")
     features = dense_positions(rows, "feature_id").withColumnRenamed("position", "_f")
     time_count, feature_count = times.count(), features.count()
@@ -55,7 +59,9 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
     )
     time_axis = coordinate(times, "time", "_t", t.alias("time_chunk"), "times")
     feature_axis = coordinate(features, "feature_id", "_f", f.alias("feature_chunk"), "feature_ids")
-    whole = bodies.join(by_time(time_axis), "time_chunk").join(by_feature(feature_axis), "feature_chunk")
+    last_feature = (max(feature_count, 1) - 1) // feature_size
+    every = time_axis.withColumn("feature_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last_feature).cast("long"))))
+    whole = every.join(by_feature(feature_axis), "feature_chunk").join(bodies, ["time_chunk", "feature_chunk"], "left")
     size = F.size("times") * F.size("feature_ids")
     return whole.select(
         "time_chunk", "feature_chunk", "times", "feature_ids",
@@ -71,27 +77,49 @@ def _dense(cells: Column, name: str, size: Column, kind) -> Column:
         cells,
         lambda cell, at: F.concat(F.array(cell[name]), gap(following(at) - cell["_i"] - 1)),
     )
-    return F.concat(gap(F.get(cells, F.lit(0)).getField("_i")), F.flatten(spread))
+    filled = F.concat(gap(F.get(cells, F.lit(0)).getField("_i")), F.flatten(spread))
+    return F.coalesce(filled, gap(size))
 
 
 def split_chunks(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable chunks and broken ones.
 
-    A chunk is broken when a variable does not hold one value per cell; a run goes on
-    without it. Chunks without cells are neither.
+    A chunk is broken when a variable does not hold one value per cell. Chunks without
+    cells are neither.
     """
+    filled = chunks.where(_has_cells())
+    return filled.where(_is_whole(chunks)), filled.where(~_is_whole(chunks))
+
+
+def _has_cells() -> Column:
+    return F.coalesce(F.size("times") * F.size("feature_ids"), F.lit(1)) > 0
+
+
+def _is_whole(chunks: DataFrame) -> Column:
     size = F.size("times") * F.size("feature_ids")
     whole = F.lit(True)
     for name in _variables(chunks):
         whole = whole & F.coalesce(F.size(name) == size, F.lit(False))
-    filled = chunks.where(F.coalesce(size, F.lit(1)) > 0)
-    return filled.where(F.coalesce(whole, F.lit(False))), filled.where(~F.coalesce(whole, F.lit(False)))
+    return F.coalesce(whole, F.lit(False))
+
 
+def flatten_chunks(chunks: DataFrame, on_bad_chunk: str = "raise", left_out: Observation | None = None) -> DataFrame:
+    """Long rows ``feature_id, time, variables`` of all cells; narrow, no shuffle.
 
-def flatten_chunks(chunks: DataFrame) -> DataFrame:
-    """Long rows ``feature_id, time, variables`` of all cells; narrow, no shuffle."""
+    A broken chunk is an error, or is left out with ``on_bad_chunk="skip"``; ``left_out``
+    then tells the number of such ``chunks`` once the rows have been computed.
+    """
     names = _variables(chunks)
-    good, _ = split_chunks(chunks)
+    filled, whole = chunks.where(_has_cells()), _is_whole(chunks)
+    if on_bad_chunk == "raise":
+        place = F.concat_ws(", ", *[F.col(c).cast("string") for c in ("time_chunk", "feature_chunk") if c in chunks.columns])
+        good = filled.where(whole | F.raise_error(F.concat(F.lit("broken chunk "), place)).cast("boolean"))
+    elif on_bad_chunk == "skip":
+        if left_out is not None:
+            filled = filled.observe(left_out, F.count_if(~whole).alias("chunks"))
+        good = filled.where(whole)
+    else:
+        raise ValueError(f"unknown handling of broken chunks {on_bad_chunk!r}")
     exploded = good.select("times", "feature_ids", F.posexplode(F.arrays_zip(*names)).alias("_i", "_cell"))
     width = F.size("feature_ids")
     return exploded.select(

@@ -96,8 +96,10 @@ def select_positions(rows: DataFrame, column: str, start: int = 0, stop: int | N
 
     Positions count the distinct values in ascending order. The two end values are
     looked up first, so the selection itself is a plain range filter that reaches the
-    scan. A negative end counts from the back.
+    scan. A negative end counts from the back. Rows without a value are left out.
     """
+    # A row without a value has no position, whatever the bounds.
+    rows = rows.where(F.col(column).isNotNull())
     if start < 0 or (stop is not None and stop < 0):
         size = rows.select(column).where(F.col(column).isNotNull()).distinct().count()
         start = max(start + size, 0) if start < 0 else start
@@ -128,7 +130,9 @@ def select(rows: DataFrame, mode: str | None, *, ids: list[int] | None = None, s
     if mode == "slice":
         return select_positions(rows, "feature_id", start, stop)
     if mode == "reach_list":
-        return select_reaches(rows, ids or [], on_missing=on_missing)
+        if not ids:
+            raise ValueError("a reach list must name reaches")
+        return select_reaches(rows, ids, on_missing=on_missing)
     raise ValueError(f"unknown selection mode {mode!r}")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from freshet.operators.daily import daily_means
 from freshet.operators.ingest import retrospective
-from freshet.operators.selection import select
+from freshet.operators.selection import select_positions, select_reaches
 from freshet.plans.indices import indices_table
 from freshet.session import build_session
 from freshet.sources import sinks, tables, zarr
@@ -25,18 +25,28 @@ def read_input(spark: SparkSession, path: str, fmt: str, **options) -> DataFrame
     return spark.read.format(fmt).options(**options).load(path)
 
 
-def run(rows: DataFrame, retro_path: str, indices_path: str, mode: str = "append", run_id: str | None = None) -> str:
+def run(
+    rows: DataFrame,
+    retro_target: str,
+    indices_target: str,
+    mode: str = "append",
+    run_id: str | None = None,
+    empty_year: str = "skip",
+) -> str:
     """Write both tables from one read of the input; returns the run id.
 
+    Targets are paths or table names. ``overwrite`` with a run id repeats that run in both
+    tables and leaves all others.
+
     The hourly rows are written first, without a shuffle. The indices are then built
     from the three columns they need of this run's files, so the grid is read once and
     rows of earlier runs stay out. The written files also cut the lineage: a lost
     executor repeats work from there, not from the grid.
     """
     run_id = run_id or uuid.uuid4().hex
-    sinks.write_retrospective(retrospective(rows), retro_path, mode, run_id)
-    written = sinks.read_retrospective(rows.sparkSession, retro_path, run_id)
-    sinks.write_indices(indices_table(daily_means(written)), indices_path, mode)
+    sinks.write_retrospective(retrospective(rows), retro_target, mode, run_id)
+    written = sinks.read_retrospective(rows.sparkSession, retro_target, run_id)
+    sinks.write_indices(indices_table(daily_means(written), empty_year), indices_target, mode, run_id)
     return run_id
 
 
@@ -47,9 +57,15 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--select", choices=["slice", "reach_list"], default=None)
     parser.add_argument("--start", type=int, default=0)
     parser.add_argument("--stop", type=int, default=None)
+    parser.add_argument("--time-start", type=int, default=0, help="position of the first time")
+    parser.add_argument("--time-stop", type=int, default=None)
     parser.add_argument("--reaches", type=int, nargs="*", default=[])
-    parser.add_argument("--retro-out", required=True)
-    parser.add_argument("--indices-out", required=True)
+    parser.add_argument("--on-missing", choices=["raise", "ignore"], default="raise", help="reaches that the input lacks")
+    parser.add_argument("--on-bad-block", choices=["raise", "skip"], default="raise", help="broken blocks of a grid")
+    parser.add_argument("--empty-year", choices=["skip", "first_date"], default="skip", help="years without a flood season mean")
+    parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="further reader option")
+    parser.add_argument("--retro-out", required=True, help="path or table name")
+    parser.add_argument("--indices-out", required=True, help="path or table name")
     parser.add_argument("--mode", choices=["append", "overwrite"], default="append")
     parser.add_argument("--run-id", default=None)
     parser.add_argument("--shuffle-partitions", type=int, default=None,
@@ -63,14 +79,28 @@ def main(argv: list[str] | None = None) -> str:
     if args.shuffle_partitions:
         conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(args.shuffle_partitions)
     spark = build_session("freshet-indices", **conf)
-    options, mode = {}, args.select
-    if args.format == "zarr_grid" and mode == "slice":
-        # A grid knows its positions: the slice is cut from the block list.
-        options = {"feature_start": args.start} | ({} if args.stop is None else {"feature_stop": args.stop})
-        mode = None
+    options = dict(option.split("=", 1) for option in args.option)
+    if args.select == "reach_list" and not args.reaches:
+        raise ValueError("--select reach_list needs --reaches")
+    sliced = args.select == "slice"
+    if args.format == "zarr_grid":
+        # A grid knows its positions: slices are cut from the block list.
+        options["on_bad_block"] = args.on_bad_block
+        spans = {"time": (args.time_start, args.time_stop)} | ({"feature": (args.start, args.stop)} if sliced else {})
+        for name, (start, stop) in spans.items():
+            options |= {f"{name}_start": start} | ({} if stop is None else {f"{name}_stop": stop})
     rows = read_input(spark, args.input, args.format, **options)
-    rows = select(rows, mode, ids=args.reaches, start=args.start, stop=args.stop)
-    return run(rows, args.retro_out, args.indices_out, args.mode, args.run_id)
+    if args.format != "zarr_grid":
+        if (args.time_start, args.time_stop) != (0, None):
+            rows = select_positions(rows, "time", args.time_start, args.time_stop)
+        if sliced:
+            rows = select_positions(rows, "feature_id", args.start, args.stop)
+    if args.select == "reach_list":
+        if args.format == "zarr_grid" and args.on_missing == "raise":
+            zarr.check_reaches(args.input, args.reaches)
+            args.on_missing = "ignore"
+        rows = select_reaches(rows, args.reaches, on_missing=args.on_missing)
+    return run(rows, args.retro_out, args.indices_out, args.mode, args.run_id, args.empty_year)
 
 
 if __name__ == "__main__":

@@ -1,4 +1,11 @@
-"""Schema-checked sinks."""
+"""Schema-checked sinks.
+
+Both tables of a run are partitioned by ``run_id``. A target is a path, or the name of a
+table, which is created if needed. ``append`` adds rows; ``overwrite`` replaces all rows of
+the one run and touches no other.
+"""
+
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +16,7 @@ from freshet.schemas import INDICES_SCHEMA, RETRO_SCHEMA
 STORED_SCHEMA = StructType(
     [*RETRO_SCHEMA.fields, StructField("run_id", StringType()), StructField("year", IntegerType())]
 )
+STORED_INDICES_SCHEMA = StructType([*INDICES_SCHEMA.fields, StructField("run_id", StringType())])
 
 
 def _shaped(frame: DataFrame, schema: StructType) -> DataFrame:
@@ -26,31 +34,57 @@ def _shaped(frame: DataFrame, schema: StructType) -> DataFrame:
     return frame.select(*out)
 
 
-def write_retrospective(rows: DataFrame, path: str, mode: str = "append", run_id: str = "0") -> None:
-    """Write hourly rows, partitioned by run and year, creating the table if needed.
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
+def _write_run(frame: DataFrame, target: str, mode: str, run_id: str, partitions: list[str]) -> None:
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"a run id names a folder; {run_id!r} has other characters than letters, digits, _ . -")
+    if _is_path(target):
+        # The run's folder is written by itself, so an overwrite replaces it whole, with
+        # all the partitions that the repeated run no longer has.
+        frame.write.mode(mode).partitionBy(*partitions).parquet(f"{target.rstrip('/')}/run_id={run_id}")
+        return
+    spark = frame.sparkSession
+    whole = frame.withColumn("run_id", F.lit(run_id)).select(*[c for c in frame.columns if c not in partitions], "run_id", *partitions)
+    if not spark.catalog.tableExists(target):
+        whole.limit(0).write.format("parquet").partitionBy("run_id", *partitions).saveAsTable(target)
+    if mode == "append":
+        whole.write.mode("append").format("parquet").partitionBy("run_id", *partitions).saveAsTable(target)
+        return
+    whole.drop("run_id").createOrReplaceTempView("_run_rows")
+    spec = ", ".join([f"run_id = '{run_id}'", *partitions])
+    spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({spec}) SELECT * FROM _run_rows")
+    spark.catalog.dropTempView("_run_rows")
 
-    ``append`` adds rows, as each run of the batch does. With ``overwrite`` only the
-    partitions of this run are replaced, so a repeated run does not double its rows.
-    Narrow: rows are written where they are.
-    """
-    shaped = _shaped(rows, RETRO_SCHEMA).withColumn("run_id", F.lit(run_id)).withColumn("year", F.year("time"))
-    writer = shaped.write.mode(mode).partitionBy("run_id", "year")
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
 
+def _read_run(spark: SparkSession, target: str, schema: StructType, run_id: str | None) -> DataFrame:
+    rows = spark.read.schema(schema).parquet(target) if _is_path(target) else spark.table(target)
+    return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
-def read_retrospective(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+
+def write_retrospective(rows: DataFrame, target: str, mode: str = "append", run_id: str = "0") -> None:
+    """Write hourly rows, partitioned by run and year; narrow, rows are written where they are."""
+    shaped = _shaped(rows, RETRO_SCHEMA).withColumn("year", F.year("time"))
+    _write_run(shaped, target, mode, run_id, ["year"])
+
+
+def read_retrospective(spark: SparkSession, target: str, run_id: str | None = None) -> DataFrame:
     """Hourly rows of one run or of all; the run is pruned by folder."""
-    rows = spark.read.schema(STORED_SCHEMA).parquet(path)
-    if run_id is not None:
-        rows = rows.where(F.col("run_id") == run_id)
-    return rows.select(*RETRO_SCHEMA.names)
+    return _read_run(spark, target, STORED_SCHEMA, run_id).select(*RETRO_SCHEMA.names)
+
+
+def write_indices(records: DataFrame, target: str, mode: str = "append", run_id: str = "0") -> None:
+    """Write index records, partitioned by run; the reach id is required."""
+    _write_run(_shaped(records, INDICES_SCHEMA), target, mode, run_id, [])
 
 
-def write_indices(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Write index records, creating the table if needed; the reach id is required."""
-    _shaped(records, INDICES_SCHEMA).write.mode(mode).parquet(path)
+def read_indices(spark: SparkSession, target: str, run_id: str | None = None) -> DataFrame:
+    """Index records of one run or of all."""
+    return _read_run(spark, target, STORED_INDICES_SCHEMA, run_id).select(*INDICES_SCHEMA.names)
 
 
 def write_text(records: DataFrame, path: str, shards: int | None = None, fmt: str = "json", mode: str = "append") -> None:

@@ -1,5 +1,7 @@
 """In-memory rows and CSV files of hourly or daily series."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,14 +15,23 @@ def from_records(spark: SparkSession, records: list[dict], schema: StructType =
 
 
 def _read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Read by column name as text and cast, so a leading index column is ignored."""
-    text = spark.read.option("header", True).csv(path)
-    return text.select(
-        *[
+    """Read by column name as text and cast, so a leading index column is ignored.
+
+    Each file's own header counts: files are grouped by their header line, and every group
+    is read with it. Headers are few, however many the files are.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    heads = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("head"))
+    groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).orderBy("head").collect()
+    frames = []
+    for group in groups:
+        text = spark.read.option("header", True).option("enforceSchema", False).csv(group["files"])
+        columns = [
             (F.col(f.name).cast(f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
-    )
+        frames.append(text.select(*columns))
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
 
 
 def read_hourly_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:

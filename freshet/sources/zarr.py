@@ -1,8 +1,11 @@
-"""Zarr v2 grids on mounted folders as a Spark data source.
+"""Zarr v2 grids in shared folders or object stores as a Spark data source.
 
 ``spark.read.format("zarr_grid").load(path)`` gives long rows ``feature_id, time,
-variables``. Tasks read whole storage blocks; nothing but the metadata is read on the
-driver. Blocks may be uncompressed or zlib, gzip, bz2, lzma or zstd.
+variables``. Tasks read whole storage blocks of the variables of the schema, so name those
+that are needed with the option ``variables``. The driver reads the metadata, and the
+coordinates where there are filters on them: blocks outside are not read at all. Blocks
+may be uncompressed or zlib, gzip, bz2, lzma or zstd. A variable's block without a file
+holds fill values; a missing coordinate block or array is an error.
 """
 
 import bz2
@@ -11,13 +14,14 @@ import itertools
 import json
 import logging
 import lzma
-import os
 import re
 import zlib
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
@@ -44,11 +48,24 @@ DECODERS = {
 }
 
 
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI or plain path, and the path on it."""
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+    return fs.LocalFileSystem(), path
+
+
+def _content(system: fs.FileSystem, path: str) -> bytes:
+    with system.open_input_stream(path, compression=None) as stream:
+        return stream.read()
+
+
 @dataclass
 class GridArray:
-    """One array of the store: its layout, attributes and block files."""
+    """One array of the store: its place, layout, attributes and block files."""
 
-    path: str
+    store: str
+    name: str
     layout: dict
     attributes: dict
 
@@ -64,15 +81,22 @@ class GridArray:
     def dimensions(self) -> tuple[str, ...]:
         return tuple(self.attributes.get("_ARRAY_DIMENSIONS", ()))
 
+    def _absent(self, system: fs.FileSystem, folder: str, block: str) -> np.ndarray:
+        """What stands for a block without a file; only a variable in a readable store may lack one."""
+        if self.name in DIMENSIONS:
+            raise FileNotFoundError(f"coordinate block {folder}/{block} is not there")
+        if system.get_file_info(folder).type != fs.FileType.Directory:
+            raise FileNotFoundError(f"array {folder} is not there")
+        fill = self.layout.get("fill_value")
+        return np.full(self.blocks, 0 if fill is None else fill).astype(np.dtype(self.layout["dtype"]))
+
     def _block(self, index: tuple[int, ...]) -> np.ndarray:
-        kind = np.dtype(self.layout["dtype"])
-        name = self.layout.get("dimension_separator", ".").join(map(str, index))
-        file = os.path.join(self.path, name)
-        if not os.path.exists(file):
-            fill = self.layout.get("fill_value")
-            return np.full(self.blocks, 0 if fill is None else fill).astype(kind)
-        with open(file, "rb") as handle:
-            data = handle.read()
+        system, root = file_system(self.store)
+        folder, block = f"{root}/{self.name}", self.layout.get("dimension_separator", ".").join(map(str, index))
+        try:
+            data = _content(system, f"{folder}/{block}")
+        except FileNotFoundError:
+            return self._absent(system, folder, block)
         if self.layout.get("filters"):
             raise ValueError(f"filters are not supported: {self.layout['filters']}")
         codec = (self.layout.get("compressor") or {}).get("id")
@@ -80,6 +104,7 @@ class GridArray:
             if codec not in DECODERS:
                 raise ValueError(f"compression {codec!r} is not supported")
             data = DECODERS[codec](data)
+        kind = np.dtype(self.layout["dtype"])
         return np.frombuffer(data, kind).reshape(self.blocks, order=self.layout.get("order", "C"))
 
     def read(self, *ranges: tuple[int, int]) -> np.ndarray:
@@ -95,9 +120,8 @@ class GridArray:
             out[tuple(target)] = self._block(index)[tuple(source)]
         return out
 
-    def decoded(self, *ranges: tuple[int, int]) -> np.ndarray:
+    def decoded(self, raw: np.ndarray) -> np.ndarray:
         """Values as doubles: fill numbers to NaN, then scale and offset."""
-        raw = self.read(*ranges)
         values = raw.astype(float)
         for key in ("_FillValue", "missing_value"):
             if key in self.attributes:
@@ -113,22 +137,33 @@ class GridArray:
 
 def open_store(path: str) -> dict[str, GridArray]:
     """All arrays of a store, from its consolidated metadata if there is any."""
-    consolidated = os.path.join(path, ".zmetadata")
-    if os.path.exists(consolidated):
-        with open(consolidated) as handle:
-            entries = json.load(handle)["metadata"]
+    path = path.rstrip("/")
+    system, root = file_system(path)
+    if system.get_file_info(f"{root}/.zmetadata").type == fs.FileType.File:
+        entries = json.loads(_content(system, f"{root}/.zmetadata"))["metadata"]
     else:
         entries = {}
-        for name in os.listdir(path):
+        for folder in system.get_file_info(fs.FileSelector(root)):
             for part in (".zarray", ".zattrs"):
-                file = os.path.join(path, name, part)
-                if os.path.exists(file):
-                    with open(file) as handle:
-                        entries[f"{name}/{part}"] = json.load(handle)
+                file = f"{folder.path}/{part}"
+                if system.get_file_info(file).type == fs.FileType.File:
+                    entries[f"{folder.base_name}/{part}"] = json.loads(_content(system, file))
     names = [key.removesuffix("/.zarray") for key in entries if key.endswith("/.zarray")]
-    return {
-        n: GridArray(os.path.join(path, n), entries[f"{n}/.zarray"], entries.get(f"{n}/.zattrs", {})) for n in names
-    }
+    return {n: GridArray(path, n, entries[f"{n}/.zarray"], entries.get(f"{n}/.zattrs", {})) for n in names}
+
+
+def grid_sizes(path: str) -> dict[str, int]:
+    """Length of each dimension, from the metadata alone."""
+    arrays = open_store(path)
+    return {name: arrays[name].shape[0] for name in DIMENSIONS}
+
+
+def check_reaches(path: str, ids: list[int]) -> None:
+    """Raises ``KeyError`` for reaches that the grid lacks; reads the reach coordinate and no cell."""
+    axis = open_store(path)["feature_id"]
+    absent = sorted(set(ids) - set(axis.read((0, axis.shape[0])).tolist()))
+    if absent:
+        raise KeyError(f"reaches not in the data: {absent[:20]}")
 
 
 @dataclass
@@ -139,6 +174,13 @@ class GridBlock(InputPartition):
     features: tuple[int, int]
 
 
+def _stored(value) -> int:
+    """A filter's value as the coordinates hold it: times in microseconds."""
+    if isinstance(value, datetime):
+        return round((value.replace(tzinfo=value.tzinfo or timezone.utc) - datetime(1970, 1, 1, tzinfo=timezone.utc)) / timedelta(microseconds=1))
+    return value
+
+
 class ZarrGridReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.arrays = open_store(options["path"])
@@ -147,11 +189,10 @@ class ZarrGridReader(DataSourceReader):
         self.kept = []
 
     def pushFilters(self, filters):
-        """Feature filters are tried on the coordinates before any variable is read."""
+        """Comparisons of the coordinates are tried before any variable is read."""
+        comparisons = (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)
         for candidate in filters:
-            if isinstance(candidate, (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) and (
-                candidate.attribute == ("feature_id",)
-            ):
+            if isinstance(candidate, comparisons) and candidate.attribute in (("feature_id",), ("time",)):
                 self.kept.append(candidate)
             yield candidate
 
@@ -172,43 +213,53 @@ class ZarrGridReader(DataSourceReader):
             edges = [start, *range((start // size + 1) * size, stop, size), stop]
             return [(a, b) for a, b in zip(edges, edges[1:]) if a < b]
 
-        return [
-            GridBlock(t, f)
-            for t in cuts("time", int(self.options.get("time_size", block["time"])))
-            for f in cuts("feature_id", int(self.options.get("feature_size", block["feature_id"])) * group)
-        ]
+        times = cuts("time", int(self.options.get("time_size", block["time"])))
+        features = cuts("feature_id", int(self.options.get("feature_size", block["feature_id"])) * group)
+        if self.kept:
+            # Blocks without a wanted coordinate are never planned.
+            times = [t for t in times if self._wanted("time", self._coordinates("time", t)).any()]
+            features = [f for f in features if self._wanted("feature_id", self._coordinates("feature_id", f)).any()]
+        return [GridBlock(t, f) for t in times for f in features] or [GridBlock((0, 0), (0, 0))]
+
+    def _coordinates(self, dimension: str, span: tuple[int, int]) -> np.ndarray:
+        axis = self.arrays[dimension]
+        return axis.micros(*span) if dimension == "time" else axis.read(span).astype(np.int64)
 
-    def _wanted(self, ids: np.ndarray) -> np.ndarray:
-        keep = np.ones(len(ids), bool)
+    def _wanted(self, dimension: str, values: np.ndarray) -> np.ndarray:
+        keep = np.ones(len(values), bool)
         for test in self.kept:
+            if test.attribute != (dimension,):
+                continue
+            if isinstance(test, In):
+                keep &= np.isin(values, [_stored(v) for v in test.value])
+                continue
+            value = _stored(test.value)
             if isinstance(test, EqualTo):
-                keep &= ids == test.value
-            elif isinstance(test, In):
-                keep &= np.isin(ids, list(test.value))
+                keep &= values == value
             elif isinstance(test, GreaterThan):
-                keep &= ids > test.value
+                keep &= values > value
             elif isinstance(test, GreaterThanOrEqual):
-                keep &= ids >= test.value
+                keep &= values >= value
             elif isinstance(test, LessThan):
-                keep &= ids < test.value
+                keep &= values < value
             else:
-                keep &= ids <= test.value
+                keep &= values <= value
         return keep
 
     def read(self, partition: GridBlock):
         try:
-            ids = self.arrays["feature_id"].read(partition.features).astype(np.int64)
-            keep = self._wanted(ids)
-            if not keep.any():
+            ids = self._coordinates("feature_id", partition.features)
+            times = self._coordinates("time", partition.times)
+            keep, hours = self._wanted("feature_id", ids), np.flatnonzero(self._wanted("time", times))
+            if not keep.any() or not len(hours):
                 return
-            ids = ids[keep]
-            times = self.arrays["time"].micros(*partition.times)
+            ids, times = ids[keep], times[hours]
             ranges = {"time": partition.times, "feature_id": partition.features}
-            values = []
+            stored = []
             for name in self.names:
                 array = self.arrays[name]
-                cells = array.decoded(*[ranges[d] for d in array.dimensions])
-                values.append((cells if array.dimensions == DIMENSIONS else cells.T)[:, keep])
+                cells = array.read(*[ranges[d] for d in array.dimensions])
+                stored.append((cells if array.dimensions == DIMENSIONS else cells.T)[hours][:, keep])
         except Exception:
             if self.options.get("on_bad_block", "raise") != "skip":
                 raise
@@ -222,7 +273,8 @@ class ZarrGridReader(DataSourceReader):
                 [
                     pa.array(np.tile(ids, count)),
                     pa.array(np.repeat(times[part], len(ids)), pa.timestamp("us")),
-                    *[pa.array(v[part].ravel(), from_pandas=True) for v in values],
+                    # Cells stay as stored until their stretch of times is sent.
+                    *[pa.array(self.arrays[n].decoded(v[part]).ravel(), from_pandas=True) for n, v in zip(self.names, stored)],
                 ],
                 names=["feature_id", "time", *self.names],
             )
@@ -251,6 +303,6 @@ class ZarrGridSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known and let feature filters reach it."""
+    """Make the format known and let filters on the coordinates reach it."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ZarrGridSource)

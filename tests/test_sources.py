@@ -4,12 +4,14 @@ from datetime import datetime
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from freshet.operators.daily import daily_means, first_rows
 from freshet.operators.grid import flatten_chunks, grid_summary, split_chunks, to_chunks
 from freshet.operators.ingest import retrospective
 from freshet.operators.sanitize import sanitize_records
+from freshet.operators.selection import select
 from freshet.plans import job
 from freshet.schemas import FLOW_VARIABLES, INDICES_SCHEMA, RETRO_SCHEMA
 from freshet.sources import sinks, tables, zarr
@@ -107,7 +109,26 @@ def test_broken_chunks_are_set_aside(spark):
     )
     good, bad = split_chunks(broken)
     assert (good.count(), bad.count()) == (6, 3)
-    assert flatten_chunks(broken).count() == 45 - 4 * 5
+    with pytest.raises(Exception, match="broken chunk 1"):
+        flatten_chunks(broken).collect()
+    left_out = Observation()
+    assert flatten_chunks(broken, "skip", left_out).count() == 45 - 4 * 5
+    assert left_out.get["chunks"] == 3
+
+
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_cells_do_not_depend_on_the_block_size(spark, size):
+    rows = grid_rows(spark).where("(hour(time) + feature_id) % 3 = 0")
+    want = rows.select("time").distinct().count() * rows.select("feature_id").distinct().count()
+    assert flatten_chunks(to_chunks(rows, size, size)).count() == want
+
+
+@pytest.mark.parametrize("column", ["time", "feature_id"])
+def test_cell_without_coordinate_is_an_error(spark, column):
+    rows = grid_rows(spark)
+    lost = rows.limit(1).withColumn(column, F.lit(None).cast(rows.schema[column].dataType))
+    with pytest.raises(Exception, match=f"without {column}"):
+        to_chunks(rows.union(lost), 4, 2).collect()
 
 
 def test_grid_summary(spark):
@@ -143,6 +164,52 @@ def test_zarr_positions_and_filters(spark, store):
     assert load(spark, store, feature_start=-1).count() == 9
 
 
+def blocks_read(monkeypatch, frame):
+    """Block files that the reader's tasks open for a frame, run in this process."""
+    opened = []
+    read = zarr._content
+    monkeypatch.setattr(zarr, "_content", lambda system, path: opened.append(path) or read(system, path))
+    reader = frame
+    for partition in reader.partitions():
+        list(reader.read(partition))
+    return [p for p in opened if "streamflow/" in p or "velocity/" in p]
+
+
+def test_zarr_reads_only_the_blocks_it_needs(spark, store, monkeypatch):
+    from pyspark.sql.datasource import EqualTo, In, LessThan
+
+    source = zarr.ZarrGridSource({"path": store, "variables": "streamflow"})
+    reader = source.reader(source.schema())
+    list(reader.pushFilters([In(("feature_id",), (7, 17)), LessThan(("time",), datetime(1979, 2, 1, 3))]))
+    assert [p.rsplit("/", 2)[1:] for p in blocks_read(monkeypatch, reader)] == [["streamflow", "0.0"]]
+    reader = source.reader(source.schema())
+    list(reader.pushFilters([EqualTo(("feature_id",), 99)]))
+    assert blocks_read(monkeypatch, reader) == []
+
+
+def test_zarr_time_filters(spark, store):
+    for where in ("time < '1979-02-01 03:00:00'", "time = timestamp_ntz'1979-02-01 05:00:00' and feature_id > 20", "time in (timestamp_ntz'1979-02-01 04:00:00') or feature_id = 7"):
+        assert as_set(load(spark, store).where(where)) == as_set(grid_rows(spark).where(where))
+    assert load(spark, store).where("feature_id = 12345").count() == 0
+
+
+def test_zarr_by_uri_and_absent_parts(spark, tmp_path):
+    path = str(tmp_path / "shared.zarr")
+    write_grid(grid_rows(spark), f"file://{path}", time_size=4, feature_size=2)
+    assert as_set(load(spark, f"file://{path}")) == as_set(grid_rows(spark))
+    assert zarr.grid_sizes(path) == {"time": 9, "feature_id": 5}
+    zarr.check_reaches(path, [7, 47])
+    with pytest.raises(KeyError):
+        zarr.check_reaches(path, [7, 8])
+    os.rename(os.path.join(path, "velocity"), os.path.join(path, "unmounted"))
+    with pytest.raises(Exception, match="velocity is not there"):
+        load(spark, path).count()
+    os.rename(os.path.join(path, "unmounted"), os.path.join(path, "velocity"))
+    os.remove(os.path.join(path, "time", "1"))
+    with pytest.raises(Exception, match="coordinate block"):
+        load(spark, path).count()
+
+
 def test_zarr_other_block_sizes(spark, store):
     assert as_set(load(spark, store, time_size=3, feature_size=5)) == as_set(grid_rows(spark))
     assert load(spark, store, blocks_per_task=3).count() == 45
@@ -191,6 +258,35 @@ def test_retrospective_append_and_repeat(spark, tmp_path):
     assert sinks.read_retrospective(spark, path).count() == 90
 
 
+def test_overwrite_replaces_one_run_with_all_its_years(spark, tmp_path):
+    path = str(tmp_path / "retro")
+    two_years = retrospective(grid_rows(spark).unionByName(grid_rows(spark).withColumn("time", F.timestamp_add("YEAR", F.lit(1), "time").cast("timestamp_ntz"))))
+    for run_id in ("a", "b"):
+        sinks.write_retrospective(two_years, path, mode="overwrite", run_id=run_id)
+    sinks.write_retrospective(two_years.where("year(time) = 1980"), path, mode="overwrite", run_id="a")
+    assert as_set(sinks.read_retrospective(spark, path, "a").select(F.year("time")).distinct()) == {(1980,)}
+    assert sinks.read_retrospective(spark, path, "b").count() == 90
+    with pytest.raises(ValueError):
+        sinks.write_retrospective(two_years, path, run_id="a/b")
+    with pytest.raises(ValueError):
+        sinks.write_retrospective(two_years, path, mode="replace")
+
+
+def test_named_tables(spark):
+    rows = retrospective(grid_rows(spark))
+    name = f"retro_{os.getpid()}"
+    try:
+        sinks.write_retrospective(rows, name, run_id="a")
+        sinks.write_retrospective(rows, name, run_id="a")
+        sinks.write_retrospective(rows, name, mode="overwrite", run_id="b")
+        assert (sinks.read_retrospective(spark, name).count(), sinks.read_retrospective(spark, name, "a").count()) == (135, 90)
+        sinks.write_retrospective(rows.where("feature_id = 7"), name, mode="overwrite", run_id="a")
+        assert as_set(sinks.read_retrospective(spark, name, "a")) == as_set(rows.where("feature_id = 7"))
+        assert as_set(sinks.read_retrospective(spark, name, "b")) == as_set(rows)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_required_reach_id(spark, tmp_path):
     record = spark.createDataFrame([(None,) * len(INDICES_SCHEMA)], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in INDICES_SCHEMA))
     with pytest.raises(Exception, match="reach_id is required"):
@@ -208,6 +304,42 @@ def test_csv_with_index_column(spark, tmp_path):
     assert row["time"] == datetime(2000, 1, 1, 5) and row["streamflow"] == 2.5 and row["velocity"] is None
 
 
+def test_csv_files_with_their_own_headers(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("feature_id,time,streamflow,velocity\n3,2000-01-01 05:00:00,2.5,0.5\n")
+    (folder / "b.csv").write_text(",velocity,time,streamflow,feature_id\n0,0.25,2000-01-01 06:00:00,1.5,4\n")
+    (folder / "c.csv").write_text("feature_id,time,qBucket\n5,2000-01-01 07:00:00,9\n")
+    rows = {r["feature_id"]: (r["streamflow"], r["velocity"], r["qBucket"]) for r in tables.read_hourly_csv(spark, str(folder)).collect()}
+    assert rows == {3: (2.5, 0.5, None), 4: (1.5, 0.25, None), 5: (None, None, 9.0)}
+
+
+def test_records_in_memory(spark):
+    rows = tables.from_records(spark, [{"feature_id": 1, "time": datetime(2000, 1, 1), "streamflow": 2.0}, {"feature_id": 2}])
+    assert rows.schema == RETRO_SCHEMA and [r["streamflow"] for r in rows.orderBy("feature_id").collect()] == [2.0, None]
+
+
+def test_null_ids_have_no_position(spark):
+    rows = hours(spark, [(None, datetime(2000, 1, 1), 1.0), (1, datetime(2000, 1, 1), 2.0), (2, datetime(2000, 1, 1), 3.0)])
+    for start, stop, want in ((0, None, {1, 2}), (0, 5, {1, 2}), (0, 1, {1}), (1, None, {2}), (-1, None, {2})):
+        assert {r["feature_id"] for r in select(rows, "slice", start=start, stop=stop).collect()} == want
+    for ids in (None, []):
+        with pytest.raises(ValueError):
+            select(rows, "reach_list", ids=ids)
+
+
+def test_days_are_utc_days_in_any_session_zone(spark):
+    rows = spark.createDataFrame([(1, 946_684_800 - 1800, 1.0), (1, 946_684_800 + 1800, 3.0)], "feature_id long, s long, streamflow double")
+    rows = rows.select("feature_id", F.timestamp_seconds("s").alias("time"), "streamflow")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = {str(r["date"]): r["streamflow"] for r in daily_means(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {"1999-12-31": 1.0, "2000-01-01": 3.0}
+
+
 def test_text_shards(spark, tmp_path):
     path = tmp_path / "text"
     sinks.write_text(grid_rows(spark), str(path), shards=2)
@@ -243,7 +375,36 @@ def test_job_end_to_end(spark, tmp_path):
     args = ["--input", source, "--format", "parquet", "--retro-out", out[0], "--indices-out", out[1], "--select", "slice", "--start", "1"]
     run_id = job.main(args)
     assert sinks.read_retrospective(spark, out[0], run_id).count() == 2 * 4 * 730
-    records = {r["reach_id"]: r for r in spark.read.parquet(out[1]).collect()}
+    records = {r["reach_id"]: r for r in sinks.read_indices(spark, out[1]).collect()}
     assert set(records) == {2, 3}
     assert records[2]["monthwise_mean"][0] > 0 and len(records[2]["nth_percentile_flows"]) == 13
     assert records[3]["monthwise_mean"] == [-99.0] * 12 and records[3]["zero_flow_days_n"] is None
+
+
+    # A second slice is a run of its own; repeating the first replaces only the first.
+    again = args[:-1] + ["0", "--stop", "1", "--mode", "overwrite", "--run-id", "other"]
+    job.main(again)
+    job.main(args[:-1] + ["2", "--mode", "overwrite", "--run-id", run_id, "--time-stop", "1460"])
+    assert {r["reach_id"] for r in sinks.read_indices(spark, out[1], "other").collect()} == {1}
+    assert {r["reach_id"] for r in sinks.read_indices(spark, out[1], run_id).collect()} == {3}
+    hours_left = sinks.read_retrospective(spark, out[0], run_id)
+    assert hours_left.count() == 1460 and sinks.read_retrospective(spark, out[0], "other").count() == 4 * 730
+
+
+def test_job_options(spark, tmp_path):
+    store = str(tmp_path / "job.zarr")
+    write_grid(grid_rows(spark), store, time_size=4, feature_size=2)
+    with open(os.path.join(store, "velocity", "0.0"), "wb") as handle:
+        handle.write(b"broken")
+    args = ["--input", store, "--retro-out", str(tmp_path / "r"), "--indices-out", str(tmp_path / "i"), "--run-id", "x", "--mode", "overwrite"]
+    with pytest.raises(Exception):
+        job.main(args)
+    job.main([*args, "--on-bad-block", "skip", "--time-stop", "5", "--empty-year", "first_date", "--option", "blocks_per_task=1"])
+    assert sinks.read_retrospective(spark, str(tmp_path / "r"), "x").count() == 25 - 8
+    listed = [*args, "--on-bad-block", "skip", "--select", "reach_list", "--reaches", "7", "999"]
+    with pytest.raises(KeyError):
+        job.main(listed)
+    job.main([*listed, "--on-missing", "ignore"])
+    assert sinks.read_retrospective(spark, str(tmp_path / "r"), "x").count() == 5
+    with pytest.raises(ValueError):
+        job.main([*args, "--select", "reach_list"])

@@ -1,14 +1,15 @@
 """Writes grids as Zarr files, so that the Zarr source has something to read in checks."""
 
 import json
-import os
 import zlib
 
 import numpy as np
+from pyarrow import fs
 from pyspark.sql import DataFrame
 
 from freshet.operators.grid import to_chunks
 from freshet.schemas import FLOW_VARIABLES
+from freshet.sources.zarr import file_system
 
 FILL = -999900.0
 
@@ -21,16 +22,24 @@ def _layout(shape, chunks, dtype, dimensions, **attributes):
     return layout, {"_ARRAY_DIMENSIONS": dimensions, **attributes}
 
 
-def _save(path: str, values: np.ndarray) -> None:
-    with open(path, "wb") as handle:
-        handle.write(zlib.compress(np.ascontiguousarray(values).tobytes(), 1))
+def _write(system: fs.FileSystem, path: str, data: bytes) -> None:
+    with system.open_output_stream(path, compression=None) as stream:
+        stream.write(data)
+
+
+def _save(system: fs.FileSystem, path: str, values: np.ndarray) -> None:
+    _write(system, path, zlib.compress(np.ascontiguousarray(values).tobytes(), 1))
 
 
 def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int) -> None:
-    """One file per chunk and variable, written by the task that holds the chunk."""
+    """One file per chunk and variable, written by the task that holds the chunk.
+
+    ``path`` is a URI or a path that all machines share.
+    """
+    system, root = file_system(path)
     names = [n for n in FLOW_VARIABLES if n in rows.columns]
     for name in [*names, "time", "feature_id"]:
-        os.makedirs(f"{path}/{name}")
+        system.create_dir(f"{root}/{name}", recursive=True)
 
     def save_chunks(chunks):
         for chunk in chunks:
@@ -39,15 +48,15 @@ def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int) ->
             times[: len(chunk["times"])] = np.array(chunk["times"], "datetime64[us]").astype("<i8") // 60_000_000
             ids = np.zeros(feature_size, "<i8")
             ids[: len(chunk["feature_ids"])] = chunk["feature_ids"]
-            _save(f"{path}/time/{t}", times)
-            _save(f"{path}/feature_id/{f}", ids)
+            _save(system, f"{root}/time/{t}", times)
+            _save(system, f"{root}/feature_id/{f}", ids)
             for name in names:
                 block = np.full((time_size, feature_size), FILL)
                 cells = np.array([FILL if v is None else v for v in chunk[name]])
                 block[: len(chunk["times"]), : len(chunk["feature_ids"])] = cells.reshape(
                     len(chunk["times"]), len(chunk["feature_ids"])
                 )
-                _save(f"{path}/{name}/{t}.{f}", block)
+                _save(system, f"{root}/{name}/{t}.{f}", block)
 
     to_chunks(rows, time_size, feature_size).foreachPartition(save_chunks)
     times = rows.select("time").distinct().count()
@@ -63,5 +72,4 @@ def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int) ->
     metadata = {}
     for name, (layout, attributes) in arrays.items():
         metadata[f"{name}/.zarray"], metadata[f"{name}/.zattrs"] = layout, attributes
-    with open(f"{path}/.zmetadata", "w") as handle:
-        json.dump({"zarr_consolidated_format": 1, "metadata": metadata}, handle)
+    _write(system, f"{root}/.zmetadata", json.dumps({"zarr_consolidated_format": 1, "metadata": metadata}).encode())
