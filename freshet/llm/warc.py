@@ -29,6 +29,8 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 64_000_000
 RUN_RECORDS = 100_000
 READ_BYTES = 1 << 20
+#: Payloads with copies are broadcast up to this many (some 100 bytes each), and joined by a shuffle beyond.
+BROADCAST_PAYLOADS = 500_000
 #: Archives are read by at most so many tasks.
 READ_TASKS = 100_000
 
@@ -211,6 +213,9 @@ def write_archives(captures: DataFrame, root: str, archive_bytes: int = ARCHIVE_
         .where("copies > 1")
         .select("digest", "stored")
     )
+    stored = materialized(stored, "stored-payloads")
+    if stored.limit(BROADCAST_PAYLOADS + 1).count() <= BROADCAST_PAYLOADS:
+        stored = F.broadcast(stored)
     marked = rows.join(stored, "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("stored")), F.col("stored")))
     return materialized(marked.mapInArrow(_write(root, archive_bytes), "file string, bytes long"), "archives")
 

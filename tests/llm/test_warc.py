@@ -70,8 +70,9 @@ def expected(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("archive_bytes", [3_000, 64_000_000])
-def test_index_of_archives(spark, rows, archive_bytes):
+@pytest.mark.parametrize("archive_bytes, broadcast", [(3_000, 500_000), (64_000_000, 0)])
+def test_index_of_archives(spark, rows, archive_bytes, broadcast, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_PAYLOADS", broadcast)
     pages = spark.createDataFrame(rows, PAGES).repartition(3).withColumn("digest", F.lit("clash"))
     index = warc.archive_and_index(warc.dated(pages), archive_bytes)
     found = index.collect()
