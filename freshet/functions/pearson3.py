@@ -55,9 +55,11 @@ def _gamma_cdf(shape: np.ndarray, x: np.ndarray, log_norm: np.ndarray) -> np.nda
             c = np.where(np.abs(c) < 1e-300, 1e-300, c)
             change = c * d
             h *= change
-            if (np.abs(change - 1) < 1e-15).all() or k > 100_000:
+            settled = np.abs(change - 1) < 1e-15
+            if settled.all() or k > 100_000:
                 break
-        out[right] = 1 - h * scale[right]
+        # What has not settled by then is no value.
+        out[right] = np.where(settled, 1 - h * scale[right], np.nan)
     return out
 
 
@@ -88,7 +90,7 @@ def _gamma_quantile(shape: np.ndarray, p: np.ndarray) -> np.ndarray:
         x = proposal
         if done.all():
             break
-    return x
+    return np.where(done, x, np.nan)
 
 
 def pearson3_quantile(p: np.ndarray, skew: np.ndarray) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -31,7 +32,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if configured is None and current is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="freshet-"))
     elif current is None:

@@ -37,6 +37,7 @@ R2 = lambda x: f"round_even(({x}) * 100, 0) / 100"
 # whatever the last bit of a sum is.
 R6 = lambda x, name: f"round(CAST({x} AS DOUBLE) + 1e-9, 6) AS {name}"
 
+# Percentile levels, as text of the list.
 LEVELS = "[2,5,10,15,20,25,30,33,35,40,45,50,55,60,65,66,70,75,80,85,90,95,99]"
 SORTED = "sorted AS (SELECT reach_id, list_sort(list(streamflow)) AS v, count(*) AS n FROM {t} WHERE streamflow IS NOT NULL GROUP BY 1)"
 PERCENTILES = (
@@ -262,8 +263,8 @@ def _long(name: str, position: str, value: str, source: str) -> str:
     return f"SELECT reach_id, '{name}' AS name, CAST({position} AS BIGINT) AS position, CAST({value} AS DOUBLE) AS value FROM {source}"
 
 
-def _record(view: str) -> str:
-    """All indices, one row per reach, index and position."""
+def _record_steps(view: str) -> str:
+    """Ends with ``placed``: all indices, one row per reach, index and position."""
     numbered = "(SELECT *, row_number() OVER (PARTITION BY reach_id ORDER BY month) - 1 AS pos FROM months)"
     parts = [
         _long("monthwise_mean", "pos", "coalesce(mean, -99)", numbered),
@@ -293,14 +294,48 @@ def _record(view: str) -> str:
         "('monthwise_mean', 12), ('monthwise_cov', 12), ('nth_percentile_flows', 13), ('flashiness_index', 5), ('half_flow_date', 2)) l(name, size) "
         "WHERE NOT computed)",
     )
-    return _trim(view, *steps) + (
-        "SELECT reach_id, name, position, round(value + 1e-9, 6) AS value FROM (SELECT r.* FROM record r JOIN status USING (reach_id) "
-        "WHERE computed AND value IS NOT NULL UNION ALL SELECT * FROM failed)"
+    placed = (
+        "placed AS (SELECT reach_id, name, position, round(value + 1e-9, 6) AS value FROM (SELECT r.* FROM record r "
+        "JOIN status USING (reach_id) WHERE computed AND value IS NOT NULL UNION ALL SELECT * FROM failed))"
     )
+    return _trim(view, *steps, placed)
+
+
+def _record(view: str) -> str:
+    return _record_steps(view) + "SELECT * FROM placed"
+
+
+# The record's fields that are lists, and those that are single numbers.
+LIST_FIELDS = ["monthwise_mean", "monthwise_cov", "nth_percentile_flows", "flashiness_index", "half_flow_date"]
+NUMBER_FIELDS = [
+    "variability_index", "slope_fdc", "sevenQ10", "mean_annual_7_day_min", "baseflow_index", "zero_flow_days_n", "low_flow_days_n",
+    "duration_low_flow_event", "high_flow_days_n", "duration_high_flow_event", "start_date_flood_season",
+]
+
+
+def _wide_record(view: str) -> str:
+    """One row per reach, lists as lists."""
+    lists = [f"list(value ORDER BY position) FILTER (name = '{n}') AS {n}" for n in LIST_FIELDS]
+    numbers = [f"max(value) FILTER (name = '{n}')" + ("::INTEGER" if n.startswith("start") else "") + f" AS {n}" for n in NUMBER_FIELDS]
+    return _record_steps(view) + f"SELECT reach_id, {', '.join([*lists, *numbers])} FROM placed GROUP BY reach_id"
+
+
 
 
 REACH_RANK = "ids AS (SELECT DISTINCT feature_id FROM src)"
 
+SPARSE_GRID = (
+    _with("sparse_cells", "grid AS (SELECT * FROM (SELECT DISTINCT feature_id FROM src), (SELECT DISTINCT time FROM src))")
+    + "SELECT feature_id, time, streamflow, velocity FROM grid LEFT JOIN src USING (feature_id, time)"
+)
+FIRST_DATE = (
+    "kept_years AS (SELECT reach_id, low, high, min(date) AS first FROM (SELECT reach_id, min(year) AS low, max(year) AS high FROM starts GROUP BY 1) "
+    "JOIN season USING (reach_id) WHERE year(date) = low GROUP BY ALL), "
+    "all_years AS (SELECT reach_id, first, unnest(range(CAST(low AS BIGINT), CAST(high AS BIGINT) + 1)) AS year FROM kept_years), "
+    "first_date AS (SELECT a.reach_id, CAST(round_even(median(dayofyear(coalesce(s.start_date, a.first))), 0) AS INTEGER) AS start_date_flood_season "
+    "FROM all_years a LEFT JOIN starts s ON s.reach_id = a.reach_id AND s.year = a.year GROUP BY 1)"
+)
+
 ORACLES = {
     "daily_mean": _with("hourly")
     + "SELECT feature_id AS reach_id, CAST(time AS DATE) AS date, "
@@ -324,7 +359,7 @@ ORACLES = {
     "time_slice_select": _with("cells", "ranked AS (SELECT *, dense_rank() OVER (ORDER BY time) - 1 AS pos FROM src)")
     + "SELECT feature_id, time, streamflow, velocity FROM ranked WHERE pos < 15",
     "first_rows_per_reach": _with("hourly", "ranked AS (SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY time, streamflow) AS pos FROM src)")
-    + "SELECT feature_id, time, streamflow FROM ranked WHERE pos <= 120",
+    + "SELECT feature_id, time, streamflow FROM ranked WHERE pos <= 40",
     "series_union": "SELECT * FROM (" + SQL_VIEWS["daily_dense"] + ") UNION ALL SELECT * FROM (" + SQL_VIEWS["daily_gappy"] + ")",
     "water_years": _with("daily_dense")
     + "SELECT reach_id, date, CAST(year(date) + CASE WHEN month(date) >= 10 THEN 1 ELSE 0 END AS INTEGER) AS water_year, "
@@ -342,17 +377,18 @@ ORACLES = {
     + "SELECT reach_id, " + R6("variability_index", "variability_index") + " FROM vi",
     "fdc_slope": _trim("daily_sparse", *_percentiles("trimmed"), SLOPE) + "SELECT reach_id, " + R6("slope_fdc", "slope_fdc") + " FROM slope",
     "flashiness_yearly": _trim("daily_gappy", *FLASH) + "SELECT reach_id, water_year, " + R6("fi", "flashiness") + " FROM flash",
-    "flashiness_yearly_missing": _trim("daily_missing", *FLASH) + "SELECT reach_id, water_year, " + R6("fi", "flashiness") + " FROM flash",
+    "flashiness_yearly_missing": _trim("daily_missing_early", *FLASH) + "SELECT reach_id, water_year, " + R6("fi", "flashiness") + " FROM flash",
     "flashiness_periods": _trim("daily_gappy", *FLASH, _periods(PERIODS))
     + "SELECT reach_id, CAST(position AS INTEGER) AS position, " + R6("v", "value") + " FROM periods",
     "flashiness_periods_late": _trim("daily_gappy", *FLASH, _periods(LATE_PERIODS))
     + "SELECT reach_id, CAST(position AS INTEGER) AS position, " + R6("v", "value") + " FROM periods",
     "seven_day_mean": _trim("daily_missing", WEEK) + "SELECT reach_id, date, " + R6("mean_7", "mean_7") + " FROM week",
     "seven_day_min": _trim("daily_missing", WEEK, WEEK_YEARS) + "SELECT reach_id, water_year, days, null_7, " + R6("min_7", "min_7") + " FROM week_years",
-    "mam7": _trim("daily_missing", ALL_REACHES, WEEK, WEEK_YEARS, USABLE)
+    "mam7": _trim("daily_missing_early", ALL_REACHES, WEEK, WEEK_YEARS, USABLE)
     + "SELECT reach_id, " + R6("avg(min_7)", "mean_annual_7_day_min") + " FROM reaches LEFT JOIN usable USING (reach_id) GROUP BY 1",
     "zero_year_probability": _trim("daily_rare_zero", _probability(0.1)) + "SELECT reach_id, " + R6("p", "probability") + " FROM prob",
     "zero_year_probability_wide": _trim("daily_rare_zero", _probability(0.9)) + "SELECT reach_id, " + R6("p", "probability") + " FROM prob",
+    "zero_year_probability_mixed": _trim("daily_rare_zero", _probability(0.6)) + "SELECT reach_id, " + R6("p", "probability") + " FROM prob",
     "lp3_moments": _trim("daily_gappy", ALL_REACHES, WEEK, WEEK_YEARS, USABLE, *MOMENTS)
     + "SELECT reach_id, coalesce(n, 0) AS n, " + R6("mean_log", "mean_log") + ", " + R6("sd_log", "sd_log") + ", " + R6("skew_log", "skew_log")
     + " FROM reaches LEFT JOIN moments USING (reach_id)",
@@ -387,11 +423,31 @@ ORACLES = {
     "streamflow AS nested, strftime(CAST(date AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S') AS moment FROM src",
     "chunk_roundtrip": _with("cells", "grid AS (SELECT * FROM (SELECT DISTINCT feature_id FROM src), (SELECT DISTINCT time FROM src))")
     + "SELECT feature_id, time, streamflow, velocity FROM grid LEFT JOIN src USING (feature_id, time)",
-    "grid_summary": _with("cells")
+    "grid_summary": _with("cells_missing")
     + "SELECT count(DISTINCT feature_id) AS feature_count, count(DISTINCT time) AS time_count, min(feature_id) AS first_feature, max(feature_id) AS last_feature, "
     "min(time) AS first_time, max(time) AS last_time, " + R6("avg(CASE WHEN streamflow IS NULL THEN 1 ELSE 0 END)", "streamflow_missing") + ", "
     + R6("avg(CASE WHEN velocity IS NULL THEN 1 ELSE 0 END)", "velocity_missing") + " FROM src",
+    "indices_record": _wide_record("daily_gappy"),
     "indices_record_long": _record("daily_gappy"),
+    "reach_list_checked": _with("hourly")
+    + "SELECT * FROM src WHERE feature_id IN (SELECT feature_id FROM src GROUP BY 1 ORDER BY round(sum(streamflow), 3) DESC, feature_id LIMIT 20)",
+    "retrospective_overwrite": "WITH runs AS (SELECT user_id AS feature_id, CAST(ts + to_years(CAST(user_id % 3 AS INTEGER)) AS TIMESTAMP) AS time FROM events) "
+    "SELECT 'first' AS run, * FROM runs WHERE feature_id % 3 = 1 UNION ALL SELECT 'second', * FROM runs",
+    "indices_overwrite": _record_steps("daily_gappy")
+    + "SELECT 'first' AS run, * FROM placed WHERE reach_id < 3 UNION ALL SELECT 'second', * FROM placed",
+    "daily_csv": _with("daily_dense") + "SELECT reach_id, date, " + R6("streamflow", "streamflow") + " FROM src",
+    "flood_season_first_date": _trim("daily_missing", *SEASON, FIRST_DATE, _flood())
+    + "SELECT reach_id, start_date_flood_season, 'skip' AS mode FROM flood UNION ALL SELECT reach_id, start_date_flood_season, 'first_date' FROM first_date",
+    "chunk_roundtrip_small_blocks": SPARSE_GRID,
+    "chunk_roundtrip_large_blocks": SPARSE_GRID,
+    "broken_chunks": _with(
+        "cells",
+        "times AS (SELECT time, (dense_rank() OVER (ORDER BY time) - 1) // 48 % 2 AS odd FROM (SELECT DISTINCT time FROM src))",
+        "places AS (SELECT * FROM (SELECT DISTINCT feature_id FROM src), times)",
+        "grid AS (SELECT feature_id, time, odd, streamflow FROM places LEFT JOIN src USING (feature_id, time))",
+    )
+    + "SELECT feature_id % 10 AS part, count(*) FILTER (odd = 0) AS cells, count(streamflow) FILTER (odd = 0) AS filled, "
+    "count(*) FILTER (odd = 1) AS broken FROM grid GROUP BY 1",
     "indices_record_sparse_long": _record("daily_sparse"),
     "indices_record_blank_long": _record("daily_blank"),
 }

@@ -88,6 +88,14 @@ def reach_list_select(spark, sf_dir):
     return selection.select(views.hourly(spark, sf_dir), "reach_list", ids=ids, on_missing="ignore")
 
 
+@query
+def reach_list_checked(spark, sf_dir):
+    """Twenty reaches that are there, with the default check of the labels."""
+    hours = views.hourly(spark, sf_dir)
+    best = hours.groupBy("feature_id").agg(F.sum("streamflow").alias("total")).orderBy(F.desc(F.round("total", 3)), "feature_id")
+    return selection.select(hours, "reach_list", ids=[row["feature_id"] for row in best.take(20)])
+
+
 @query
 def reach_table_select(spark, sf_dir):
     wanted = views.table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
@@ -107,7 +115,7 @@ def time_slice_select(spark, sf_dir):
 
 @query
 def first_rows_per_reach(spark, sf_dir):
-    return daily.first_rows(views.hourly(spark, sf_dir), 120, "streamflow")
+    return daily.first_rows(views.hourly(spark, sf_dir), 40, "streamflow")
 
 
 @query
@@ -127,6 +135,41 @@ def retrospective_table(spark, sf_dir):
     return _four_digits(sinks.read_retrospective(spark, path, "second"))
 
 
+@query
+def retrospective_overwrite(spark, sf_dir):
+    """Two runs; the first is repeated with fewer months, and both are read back."""
+    path = scratch_path(spark, "retrospective")
+    rows = ingest.retrospective(_raw_rows(spark, sf_dir))
+    stretched = rows.withColumn("time", F.timestamp_add("YEAR", (F.col("feature_id") % 3).cast("int"), "time").cast("timestamp_ntz"))
+    for run_id in ("first", "second"):
+        sinks.write_retrospective(stretched, path, mode="overwrite", run_id=run_id)
+    sinks.write_retrospective(stretched.where("feature_id % 3 = 1"), path, mode="overwrite", run_id="first")
+    runs = [sinks.read_retrospective(spark, path, r).select(F.lit(r).alias("run"), "feature_id", "time") for r in ("first", "second")]
+    return runs[0].unionByName(runs[1])
+
+
+@query
+def indices_overwrite(spark, sf_dir):
+    """Two runs of index records; the first is repeated with fewer reaches."""
+    path = scratch_path(spark, "indices")
+    records = indices_table(views.daily_gappy(spark, sf_dir)).persist()
+    for run_id in ("first", "second"):
+        sinks.write_indices(records, path, mode="overwrite", run_id=run_id)
+    sinks.write_indices(records.where("reach_id < 3"), path, mode="overwrite", run_id="first")
+    runs = [_long_record(sinks.read_indices(spark, path, r)).select(F.lit(r).alias("run"), "*") for r in ("first", "second")]
+    return runs[0].unionByName(runs[1])
+
+
+@query
+def daily_csv(spark, sf_dir):
+    """Daily series, one file group per reach and with headers in different order."""
+    path = scratch_path(spark, "daily")
+    days = views.daily_dense(spark, sf_dir)
+    sinks.write_text(days.where("reach_id < 80").select(F.lit(0).alias("index"), "date", "streamflow", "reach_id"), path, fmt="csv")
+    sinks.write_text(days.where("reach_id >= 80").select("streamflow", "reach_id", "date"), path, fmt="csv")
+    return tables.read_daily_csv(spark, path).select("reach_id", "date", r6("streamflow"))
+
+
 @query
 def hourly_csv(spark, sf_dir):
     path = scratch_path(spark, "hourly")
@@ -147,7 +190,7 @@ def text_records(spark, sf_dir):
 def indices_records_table(spark, sf_dir):
     path = scratch_path(spark, "indices")
     sinks.write_indices(indices_table(views.daily_gappy(spark, sf_dir)), path)
-    return _long_record(spark.read.parquet(path))
+    return _long_record(sinks.read_indices(spark, path))
 
 
 @query
@@ -167,9 +210,37 @@ def chunk_roundtrip(spark, sf_dir):
     return grid.flatten_chunks(chunks)
 
 
+def _sparse_roundtrip(spark, sf_dir, time_size, feature_size):
+    return grid.flatten_chunks(grid.to_chunks(views.sparse_cells(spark, sf_dir), time_size, feature_size))
+
+
+@query
+def chunk_roundtrip_small_blocks(spark, sf_dir):
+    return _sparse_roundtrip(spark, sf_dir, 5, 4)
+
+
+@query
+def chunk_roundtrip_large_blocks(spark, sf_dir):
+    return _sparse_roundtrip(spark, sf_dir, 300, 40)
+
+
+@query
+def broken_chunks(spark, sf_dir):
+    """Chunks of every other block row broken: the good cells, and the broken chunks as rows without cells."""
+    chunks = grid.to_chunks(views.cells(spark, sf_dir), time_size=48, feature_size=20)
+    cut = F.when(F.col("time_chunk") % 2 == 1, F.slice("velocity", 1, 3)).otherwise(F.col("velocity"))
+    good, bad = grid.split_chunks(chunks.withColumn("velocity", cut))
+    cells = grid.flatten_chunks(good).groupBy((F.col("feature_id") % 10).alias("part")).agg(
+        F.count("*").alias("cells"), F.count("streamflow").alias("filled"), F.lit(0).cast("long").alias("broken"))
+    broken = bad.select(F.explode("feature_ids").alias("f"), F.size("times").alias("n")).groupBy((F.col("f") % 10).alias("part")).agg(
+        F.lit(0).cast("long").alias("cells"), F.lit(0).cast("long").alias("filled"), F.sum("n").alias("broken"))
+    parts = cells.unionByName(broken).groupBy("part")
+    return parts.agg(*[F.sum(c).alias(c) for c in ("cells", "filled", "broken")])
+
+
 @query
 def grid_summary(spark, sf_dir):
-    summary = grid.grid_summary(views.cells(spark, sf_dir))
+    summary = grid.grid_summary(views.cells_missing(spark, sf_dir))
     return summary.select(*[r6(c) if c.endswith("_missing") else F.col(c) for c in summary.columns])
 
 
@@ -247,7 +318,7 @@ def flashiness_yearly(spark, sf_dir):
 
 @query
 def flashiness_yearly_missing(spark, sf_dir):
-    years = per_year(views.daily_missing, spark, sf_dir)
+    years = per_year(views.daily_missing_early, spark, sf_dir)
     return years.select("reach_id", "water_year", r6(yearly.flashiness(), "flashiness"))
 
 
@@ -284,7 +355,7 @@ def seven_day_min(spark, sf_dir):
 
 @query
 def mam7(spark, sf_dir):
-    years = per_year(views.daily_missing, spark, sf_dir)
+    years = per_year(views.daily_missing_early, spark, sf_dir)
     return years.groupBy("reach_id").agg(r6(F.avg(yearly.usable_minimum()), "mean_annual_7_day_min"))
 
 
@@ -303,6 +374,12 @@ def zero_year_probability_wide(spark, sf_dir):
     return _probability(spark, sf_dir, 0.9)
 
 
+@query
+def zero_year_probability_mixed(spark, sf_dir):
+    """A target that some reaches' share of zero years is above and others' below."""
+    return _probability(spark, sf_dir, 0.6)
+
+
 @query
 def lp3_moments(spark, sf_dir):
     moments = per_year(views.daily_gappy, spark, sf_dir).groupBy("reach_id").agg(*yearly.log_moments())
@@ -403,6 +480,14 @@ def flood_season_start(spark, sf_dir):
     return flood.flood_season_start(trimmed(views.daily_dense, spark, sf_dir))
 
 
+@query
+def flood_season_first_date(spark, sf_dir):
+    starts = flood.flood_season_start(trimmed(views.daily_missing, spark, sf_dir), "first_date")
+    return starts.withColumn("mode", F.lit("first_date")).unionByName(
+        flood.flood_season_start(trimmed(views.daily_missing, spark, sf_dir)).withColumn("mode", F.lit("skip"))
+    )
+
+
 # Baseflow.
 
 
@@ -474,7 +559,15 @@ def _long_record(records: DataFrame) -> DataFrame:
 
 @query
 def indices_record(spark, sf_dir):
-    return indices_table(views.daily_gappy(spark, sf_dir))
+    """One row per reach, with arrays as arrays; values at six digits."""
+    records = indices_table(views.daily_gappy(spark, sf_dir))
+
+    def rounded(field):
+        if field.dataType.typeName() == "array":
+            return F.transform(field.name, lambda v: r6(v, "v")).alias(field.name)
+        return F.col(field.name) if field.dataType.typeName() in ("long", "integer") else r6(field.name)
+
+    return records.select(*[rounded(f) for f in records.schema.fields])
 
 
 @query

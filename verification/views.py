@@ -28,6 +28,17 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cells_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with small flows and large velocities missing."""
+    kept = {"streamflow": F.col("streamflow") >= 20, "velocity": F.col("velocity") < 150}
+    return cells(spark, sf_dir).withColumns({c: F.when(keep, F.col(c)) for c, keep in kept.items()})
+
+
+def sparse_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few hours of few reaches, so that many blocks of a fine grid have no row."""
+    return cells(spark, sf_dir).where((F.hour("time") == F.col("feature_id") % 24) & (F.dayofmonth("time") % 2 == F.col("feature_id") % 2))
+
+
 def _daily(spark: SparkSession, sf_dir: str, reach: Column) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
@@ -66,6 +77,13 @@ def daily_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_gappy(spark, sf_dir).withColumn("streamflow", F.when(flow <= 40, flow))
 
 
+def daily_missing_early(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``daily_missing`` up to 1998-09, complete from then on."""
+    flow = F.col("streamflow")
+    kept = (flow <= 40) | (F.col("date") >= F.lit("1998-10-01").cast("date"))
+    return daily_gappy(spark, sf_dir).withColumn("streamflow", F.when(kept, flow))
+
+
 def daily_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each of six reaches lacks every flow of one water year."""
     blank = water_year(F.col("date")) == F.col("reach_id") + 1995
@@ -103,6 +121,18 @@ SQL_VIEWS = {
         "SELECT reach_id, date, greatest(streamflow - 1.5, 0) AS streamflow FROM "
         f"({_sql_daily('l_linenumber')})"
     ),
+    "daily_missing_early": (
+        "SELECT reach_id, date, CASE WHEN streamflow <= 40 OR date >= DATE '1998-10-01' THEN streamflow END AS streamflow FROM "
+        f"({_sql_daily('l_linenumber')})"
+    ),
+    "cells_missing": (
+        "SELECT user_id AS feature_id, date_trunc('hour', ts) AS time, CASE WHEN max(value) >= 20 THEN max(value) END AS streamflow, "
+        "CASE WHEN min(value) < 150 THEN min(value) END AS velocity FROM events GROUP BY 1, 2"
+    ),
+    "sparse_cells": (
+        "SELECT user_id AS feature_id, date_trunc('hour', ts) AS time, max(value) AS streamflow, min(value) AS velocity FROM events "
+        "WHERE hour(ts) = user_id % 24 AND day(ts) % 2 = user_id % 2 GROUP BY 1, 2"
+    ),
     "daily_blank": (
         "SELECT reach_id, date, CASE WHEN year(date) + CASE WHEN month(date) >= 10 THEN 1 ELSE 0 END "
         f"<> reach_id + 1995 THEN streamflow END AS streamflow FROM ({_sql_daily('l_linenumber')})"
