@@ -94,9 +94,10 @@ def _ranks(turns: DataFrame) -> DataFrame:
     """``conv, rank``: ascending in an order in which the conversations of every node are neighbours.
 
     Only nodes that several conversations pass matter for that, so a sort key is as long
-    as what a conversation shares.
+    as what a conversation shares. The shared nodes are a table of their own, so that Spark
+    can split the turns of a very common one in the join.
     """
-    passes = turns.groupBy("node").agg(F.count("*").alias("passes")).where("passes > 1")
+    passes = materialized(turns.groupBy("node").agg(F.count("*").alias("passes")).where("passes > 1"), "passes")
     shared = turns.join(passes, "node").groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("n", "node"))).alias("path"))
     path = F.array_join(F.transform("path", lambda p: p["node"]), "")
     keys = turns.where("n = 0").select("conv", F.col("node").alias("root")).join(shared, "conv", "left")
