@@ -9,7 +9,7 @@ from freshet.llm.common import materialized, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; trusted are those labelled good and not toxic."""
+    """Rejected documents go; trusted are those labelled good."""
     trusted = quality.trusted(table(spark, sf_dir, "labels"))
     return quality.assess(docs, trusted).where("quality.kept").select("row.*")
 
