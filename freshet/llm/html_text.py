@@ -25,10 +25,12 @@ UNSEEN = frozenset("head script style template noscript iframe object svg math c
 ASIDE_TAGS = frozenset("nav aside footer form button select option fieldset dialog menu".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "disqus footer header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo "
+    "ad ads advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
+    "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo "
     "promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Names that may also say what a page's frame has beside the article, as in "with-sidebar".
+FRAME_WORDS = frozenset("ad ads banner footer header menu nav navbar sidebar".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -48,7 +50,7 @@ CLOSES_PARAGRAPH = BLOCKS - frozenset("body html td th tr tbody thead tfoot".spl
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>?", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
-_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
 @dataclass(slots=True)
@@ -58,6 +60,7 @@ class Node:
     tag: str
     children: list = field(default_factory=list)
     aside: bool = False
+    framing: bool = False  # an aside by a word of FRAME_WORDS only
     chars: int = 0
     tags: int = 0
     link_chars: int = 0
@@ -66,18 +69,27 @@ class Node:
     density_sum: float = 0.0
 
 
-def _is_aside(tag: str, attributes: str, inside_article: bool) -> bool:
+def _named_words(attributes: str) -> set[str]:
+    """Words of an element's class and id names that speak of a part beside the article."""
+    words = set()
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            words.update(w.lower() for w in _WORD.findall("".join(values)))
+    return words & ASIDE_WORDS
+
+
+def _make_node(tag: str, attributes: str, inside_article: bool) -> Node:
     if tag in ASIDE_TAGS or (tag == "header" and not inside_article):
-        return True
+        return Node(tag, aside=True)
     if not attributes or tag in ("html", "body", "main", "h1"):
-        return False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        value = "".join(values)
-        if name.lower() == "role" and value.lower() in ASIDE_ROLES:
-            return True
-        if name.lower() in ("class", "id") and any(w.lower() in ASIDE_WORDS for w in _WORD.findall(value)):
-            return True
-    return "hidden" in attributes.lower().split()
+        return Node(tag)
+    roles = {"".join(v).lower() for name, *v in _ATTRIBUTE.findall(attributes) if name.lower() == "role"}
+    if roles & ASIDE_ROLES or "hidden" in attributes.lower().split():
+        return Node(tag, aside=True)
+    words = _named_words(attributes)
+    if inside_article:
+        words.discard("header")
+    return Node(tag, aside=bool(words), framing=bool(words) and words <= FRAME_WORDS)
 
 
 def parse(html: str) -> Node:
@@ -119,7 +131,11 @@ def parse(html: str) -> Node:
                 names, barrier = (x.split() for x in CLOSED_BY[tag])
                 while (i := innermost(names, barrier)) is not None:
                     close(i)
-            node = Node(tag, aside=_is_aside(tag, match[2], any(n.tag in ("article", "main") for n in stack)))
+            node = _make_node(tag, match[2], any(n.tag in ("article", "main") for n in stack))
+            if tag in ("article", "main") and not node.aside:
+                # What holds the article is no part beside it, whatever its name tells of.
+                for around in stack:
+                    around.aside = around.aside and not around.framing
             stack[-1].children.append(node)
             if tag in RAW:
                 # Their content is text up to their end tag, whatever it looks like.

@@ -26,6 +26,12 @@ def test_noise_inside_the_article():
     assert main_text(page) == "\n".join([TEXT[0], *TEXT])
 
 
+def test_frames_named_after_what_they_have_beside_the_article():
+    page = f"<body><div class='page with-sidebar'><div class=header>Site</div><article><div class='article-header'><h1>Title</h1></div>{BODY}</article><div class=sidebar>Links and such</div></div></body>"
+    assert main_text(page) == "\n".join(["Title", *TEXT])
+    assert main_text(f"<body><div class=related><article>{BODY}</article></div><article><p>Own text of the page</p></article></body>") == "Own text of the page"
+
+
 def test_broken_markup():
     assert main_text("<article><p><b>One two three four five.<br><p>Two & two<p>a < b <i>c</i><!-- <p>no --><ul><li>x<li>y</ul>") == "One two three four five.\nTwo & two\na < b c\nx\ny"
     assert main_text("just text  with\n spaces") == "just text with spaces"
