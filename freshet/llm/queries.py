@@ -41,8 +41,9 @@ def op2_packing(spark, sf_dir):
 
 @query
 def op3_quality(spark, sf_dir):
-    trusted = quality.trusted(table(spark, sf_dir, "labels"))
-    return quality.assess(table(spark, sf_dir, "documents"), trusted).select("row.doc_id", "quality.*")
+    labels = table(spark, sf_dir, "labels")
+    assessed = quality.assess(table(spark, sf_dir, "documents"), quality.trusted(labels), labelled_ids=quality.labelled(labels))
+    return assessed.select("row.doc_id", "quality.*")
 
 
 @query

@@ -104,3 +104,55 @@ def test_awkward_rows(docs, clashing, no_docs, corpus, awkward_texts):
     assert quality.assess(no_docs, ids).count() == 0
     rows = quality.assess(docs, ids.where(F.lit(False))).select("quality.*").collect()
     assert all(r["score"] == 0 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def thinly_labelled(spark):
+    """Labelled prose and junk; unlabelled: clean copies, clean near copies, a clean language, and junk."""
+    rng, known, foreign = random.Random(4), words(0, 300), [w + "ß" for w in words(21, 300)]
+    prose = lambda pool: rng.choices(pool, k=150)
+    rows = [(i, " ".join(prose(known)) if i % 4 else "%% ".join(prose(known)), "en", "s", 0) for i in range(200)]
+    copied, near = " ".join(prose(known)), prose(known)
+    rows += [(1000 + i, copied, "en", "s", 0) for i in range(90)]
+    rows += [(2000 + i, " ".join([*near[:149], f"end{i}"]), "en", "s", 0) for i in range(90)]
+    rows += [(3000 + i, " ".join(prose(foreign)), "de", "s", 0) for i in range(90)]
+    rows += [(4000 + i, "%% ".join(prose(known)), "en", "s", 0) for i in range(20)]
+    labels = [(i, int(i % 4 > 0), 0) for i in range(200)] + [(None, 0, 0), (9, None, 0)]
+    return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def kept_ids(frame):
+    return {r["doc_id"] for r in frame.where("quality.kept").select("row.doc_id").collect()}
+
+
+def test_clean_texts_stay_though_labels_do_not_cover_them(thinly_labelled):
+    docs, labels = thinly_labelled
+    kept = kept_ids(quality.assess(docs, quality.trusted(labels), labelled_ids=quality.labelled(labels)))
+    assert kept == {r["doc_id"] for r in docs.select("doc_id").collect() if r["doc_id"] >= 1000 or r["doc_id"] % 4} - set(range(4000, 4020))
+
+
+def test_query_and_stage_compare_with_labelled_texts(spark, thinly_labelled, tmp_path):
+    from corpus_pipeline import quality_rules
+    from freshet.llm.queries import op3_quality
+
+    docs, labels = thinly_labelled
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    want = kept_ids(quality.assess(docs, quality.trusted(labels), labelled_ids=quality.labelled(labels)))
+    assert {r["doc_id"] for r in op3_quality(spark, str(tmp_path)).where("kept").collect()} == want
+    assert {r["doc_id"] for r in quality_rules(spark, docs, str(tmp_path)).collect()} == want
+
+
+def test_labelled_texts_count_once_and_not_for_themselves(spark, thinly_labelled, monkeypatch):
+    docs, labels = thinly_labelled
+    ids, known = quality.trusted(labels), quality.labelled(labels)
+    scores = lambda frame: {r["doc_id"]: r["score"] for r in quality.assess(frame, ids, labelled_ids=known).select("row.doc_id", "quality.score").collect()}
+    want = scores(docs)
+    copies = docs.where("doc_id in (0, 1, 7)").crossJoin(spark.range(70)).select((F.col("id") * 1000 + 9000 + F.col("doc_id")).alias("doc_id"), "text", "lang", "source", "n_chars")
+    more = labels.where("doc_id in (0, 1, 7)").crossJoin(spark.range(70)).select((F.col("id") * 1000 + 9000 + F.col("doc_id")).alias("doc_id"), "quality", "toxic")
+    ids, known = (f(labels.unionByName(more)) for f in (quality.trusted, quality.labelled))
+    got = scores(docs.unionByName(copies))
+    assert all(got[i] == want[i] for i in want)
+    assert all(got[9000 + i] == want[i] for i in (0, 1, 7))
+    monkeypatch.setattr(quality, "BROADCAST_IDS", 0)
+    assert scores(docs.unionByName(copies)) == got
