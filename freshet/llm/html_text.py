@@ -2,9 +2,9 @@
 
 Every DOM node gets a density: its characters per tag, adjusted by how many of both are
 links. A node's density sum adds those of its children. The threshold is the least density on
-the path from the node with the greatest sum up to the body; nodes below it are no content, and
-of the others the subtree with the greatest sum is the main text. Menus, forms, comments
-and the like, told by tag, role and class names, are taken out of the tree first.
+the path from the node with the greatest sum up to the body; without an article all subtrees
+that reach it are the main text, and headings and paragraphs right below the body. Menus, forms,
+comments and the like, told by tag, role and class names, are taken out of the tree first.
 """
 
 import math
@@ -35,6 +35,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Below the body these belong to the text beside them, however short they are.
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 CONTAINERS = frozenset("div section table center".split())
 # A start tag of the first kind ends open elements of the second, up to one of the third.
 CLOSED_BY = {
@@ -194,22 +196,39 @@ def _composite(node: Node, body_share: float) -> float:
     return node.chars / tags * max(0.0, math.log(node.chars * tags / (links * linked) + 1e-9)) / base
 
 
-def _content(body: Node) -> Node:
+def _content(body: Node) -> list[Node]:
     nodes = measure(body)
     parents = {id(c): n for n in nodes for c in n.children if isinstance(c, Node)}
     best = max(nodes, key=lambda n: n.density_sum)
     if not best.density_sum:
-        return body
+        return [body]
     path = [best]
     while path[-1] is not body:
         path.append(parents[id(path[-1])])
-    threshold = min(n.density for n in path)
-    best = max((n for n in nodes if n.density >= threshold), key=lambda n: n.density_sum, default=best)
-    if best not in path:
-        return best
     # An article is taken whole, for each of its parts may have the greatest sum.
     around = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"]
-    return around[-1] if around else _with_siblings(path)
+    return [around[-1]] if around else _dense(body, _with_siblings(path), path)
+
+
+def _dense(body: Node, found: Node, path: list[Node]) -> list[Node]:
+    """``found`` and the other subtrees that reach the least density on the path, in page order."""
+    threshold = min(n.density for n in path)
+    at = next(i for i, n in enumerate(path) if n is found)
+    ancestors = {id(n) for n in path[at + 1 :]}
+    kept, waiting = [], [(found, body)] if found is body else [(c, body) for c in reversed(body.children)]
+    while waiting:
+        node, parent = waiting.pop()
+        if node is found:
+            kept.append(node)
+        elif not isinstance(node, Node) or node.aside or node.tag in UNSEEN:
+            continue
+        elif id(node) not in ancestors and node.tag in BLOCKS and node.chars > 2 * node.link_chars and (
+            node.density >= threshold or (parent is body and node.tag in TEXT_TAGS)
+        ):
+            kept.append(node)
+        else:
+            waiting.extend((c, node) for c in reversed(node.children))
+    return kept
 
 
 def _with_siblings(path: list[Node]) -> Node:
@@ -217,7 +236,7 @@ def _with_siblings(path: list[Node]) -> Node:
 
     A short paragraph has a low density and still belongs to its neighbours. The body only
     counts if it holds the paragraphs itself; else what stands beside the container of the
-    text is no part of it.
+    text is judged by its own density.
     """
     found = path[0]
     for node, parent in zip(path, path[1:]):
@@ -256,7 +275,7 @@ def main_text(html: str | None) -> str:
         return ""
     root = parse(html)
     body = next((c for c in root.children if isinstance(c, Node) and c.tag == "body"), root)
-    return "\n".join(block for block in _blocks(_content(body)) if block)
+    return "\n".join(block for content in _content(body) for block in _blocks(content) if block)
 
 
 @F.arrow_udf(T.StringType())

@@ -57,3 +57,12 @@ def test_column(spark):
     got = {r["page_id"]: r["found"] for r in frame.select("page_id", extracted("html").alias("found")).collect()}
     assert got == {1: "", 2: "", 3: "\n".join(TEXT), 4: "\n".join(TEXT * 3000)}
     assert frame.limit(0).select(extracted("html")).count() == 0
+
+
+def test_all_dense_parts_below_the_body():
+    links = "<div><ul><li><a href=/a>Something else</a></li><li><a href=/b>And one more of these</a></li></ul></div>"
+    for tag in ("section", "div"):
+        assert main_text(f"<body>{links}<{tag}>{BODY}</{tag}><{tag}>{BODY}</{tag}>{links}</body>") == "\n".join(TEXT * 2)
+        assert main_text(f"<body><{tag}>{BODY}</{tag}>{links}<{tag}>{BODY}</{tag}></body>") == "\n".join(TEXT * 2)
+    assert main_text(f"<body><h1>T</h1><div>{BODY}</div>{links}</body>") == "\n".join(["T", *TEXT])
+    assert main_text(f"<body><div>{BODY}</div><div>{links}<section>{BODY}</section></div></body>") == "\n".join(TEXT * 2)
