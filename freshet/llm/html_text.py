@@ -4,7 +4,8 @@ Every DOM node gets a density: its characters per tag, adjusted by how many of b
 links. A node's density sum adds those of its children. The threshold is the least density on
 the path from the node with the greatest sum up to the body; without an article all subtrees
 that reach it are the main text, and headings and paragraphs right below the body. Menus, forms,
-comments and the like, told by tag, role and class names, are taken out of the tree first.
+comments and the like, told by tag, role and class names, are taken out of the tree first, but
+not what holds the article or most of the text.
 """
 
 import math
@@ -63,6 +64,8 @@ class Node:
     children: list = field(default_factory=list)
     aside: bool = False
     framing: bool = False  # an aside by a word of FRAME_WORDS only
+    loose: bool = False  # an aside that is a form, or by a word that is one of several in its name
+    unseen: bool = False
     chars: int = 0
     tags: int = 0
     link_chars: int = 0
@@ -80,18 +83,28 @@ def _named_words(attributes: str) -> set[str]:
     return words & ASIDE_WORDS
 
 
+def _names(attributes: str) -> set[str]:
+    """An element's class and id names, each as a whole."""
+    found = _ATTRIBUTE.findall(attributes)
+    return {part for name, *values in found if name.lower() in ("class", "id") for part in "".join(values).lower().split()}
+
+
 def _make_node(tag: str, attributes: str, inside_article: bool) -> Node:
+    if tag == "form":
+        return Node(tag, aside=True, loose=True)
     if tag in ASIDE_TAGS or (tag == "header" and not inside_article):
         return Node(tag, aside=True)
     if not attributes or tag in ("html", "body", "main", "h1"):
         return Node(tag)
     roles = {"".join(v).lower() for name, *v in _ATTRIBUTE.findall(attributes) if name.lower() == "role"}
-    if roles & ASIDE_ROLES or "hidden" in attributes.lower().split():
-        return Node(tag, aside=True)
+    hidden = "hidden" in attributes.lower().split()
+    if roles & ASIDE_ROLES or hidden:
+        return Node(tag, aside=True, unseen=hidden)
     words = _named_words(attributes)
     if inside_article:
         words.discard("header")
-    return Node(tag, aside=bool(words), framing=bool(words) and words <= FRAME_WORDS)
+    loose = bool(words) and not words & _names(attributes)
+    return Node(tag, aside=bool(words), framing=bool(words) and words <= FRAME_WORDS, loose=loose)
 
 
 def parse(html: str) -> Node:
@@ -155,6 +168,62 @@ def parse(html: str) -> Node:
     return root
 
 
+def _pardon(body: Node) -> None:
+    """Unmarks asides that hold the article, or most of the text, whatever their names tell of.
+
+    If all articles stand in asides, those around them are unmarked: loosely named ones, and only
+    if there are none the others. Of the text of an article, or of a page without one, a
+    loosely named aside with more than half of the characters outside links is unmarked, and
+    a plainly named one only where no text is left otherwise.
+    """
+    order, waiting = [], [(body, None)]
+    while waiting:
+        node, parent = waiting.pop()
+        if node.unseen or node.tag in UNSEEN:
+            continue
+        order.append((node, parent))
+        waiting.extend((c, node) for c in reversed(node.children) if isinstance(c, Node))
+    if not any(n.aside for n, _ in order):
+        return
+    plain, holds = {}, {}
+    for node, parent in reversed(order):
+        own = sum(sum(map(len, c.split())) for c in node.children if isinstance(c, str))
+        plain[id(node)] = 0 if node.tag == "a" else plain.get(id(node), 0) + own
+        holds[id(node)] = holds.get(id(node), False) or node.tag in ("article", "main")
+        if parent is not None:
+            if not node.aside or node.loose:
+                plain[id(parent)] = plain.get(id(parent), 0) + plain[id(node)]
+            holds[id(parent)] = holds.get(id(parent), False) or holds[id(node)]
+
+    def open_articles() -> dict[int, Node | None]:
+        """The outermost open article around every node that an aside does not hide."""
+        inside = {}
+        for node, parent in order:
+            if node.aside or (parent is not None and id(parent) not in inside):
+                continue
+            above = inside[id(parent)] if parent is not None else None
+            inside[id(node)] = above or (node if node.tag in ("article", "main") else None)
+        return inside
+
+    if holds[id(body)]:
+        for loose in (True, False):
+            if any(open_articles().values()):
+                break
+            for node, _ in order:
+                if node.aside and holds[id(node)] and (node.loose or not loose):
+                    node.aside = False
+    inside = open_articles()
+    articles = any(inside.values())
+    for node, parent in order:
+        if node.aside and id(parent) in inside:
+            whole = inside[id(parent)] or (None if articles else body)
+            named = node.loose or (node.tag not in ASIDE_TAGS and not plain[id(whole or body)])
+            if whole is not None and named and 2 * plain[id(node)] > plain[id(whole)]:
+                node.aside = False
+        if parent is not None and not node.aside and id(parent) in inside:
+            inside[id(node)] = inside[id(parent)] or (node if node.tag in ("article", "main") else None)
+
+
 def _post_order(root: Node) -> list[Node]:
     """Nodes that count, children before parents; no recursion, for pages may be deep."""
     order, waiting = [], [root]
@@ -275,6 +344,7 @@ def main_text(html: str | None) -> str:
         return ""
     root = parse(html)
     body = next((c for c in root.children if isinstance(c, Node) and c.tag == "body"), root)
+    _pardon(body)
     return "\n".join(block for content in _content(body) for block in _blocks(content) if block)
 
 

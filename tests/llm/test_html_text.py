@@ -66,3 +66,22 @@ def test_all_dense_parts_below_the_body():
         assert main_text(f"<body><{tag}>{BODY}</{tag}>{links}<{tag}>{BODY}</{tag}></body>") == "\n".join(TEXT * 2)
     assert main_text(f"<body><h1>T</h1><div>{BODY}</div>{links}</body>") == "\n".join(["T", *TEXT])
     assert main_text(f"<body><div>{BODY}</div><div>{links}<section>{BODY}</section></div></body>") == "\n".join(TEXT * 2)
+
+
+def test_wrappers_that_hold_the_text_are_no_asides():
+    links = "<nav><a href=/a>Home</a></nav>"
+    wrappers = ["form id=aspnetForm", "div class=elementor-widget-container", "div class='page with-comments'", "div class=share-layout"]
+    for wrapper in wrappers:
+        end = f"</{wrapper.split()[0]}>"
+        for page in (f"<{wrapper}><article>{BODY}</article>{end}", f"<article><{wrapper}>{BODY}{end}</article>", f"<{wrapper}>{links}<div>{BODY}</div>{end}"):
+            assert main_text(f"<body>{links}{page}<footer>somebody</footer></body>") == "\n".join(TEXT), page
+    assert main_text(f"<body><div class=widget>{BODY}</div></body>") == "\n".join(TEXT)
+    assert main_text(f"<body><div class=widget><article>{BODY}</article></div></body>") == "\n".join(TEXT)
+
+
+def test_asides_beside_the_text_stay_asides():
+    small = "<form><p>Your name and mail, please</p></form><div class='share-buttons'>Share this</div><div class=comments><p>I say</p></div>"
+    for start, end in (("<article>", "</article>"), ("<div>", "</div>")):
+        assert main_text(f"<body>{start}{BODY}{small}{end}{small}</body>") == "\n".join(TEXT)
+    assert main_text(f"<body><article><p>{TEXT[0]}</p><div class=comments>{BODY * 3}</div></article><div class=related-posts>{BODY}</div></body>") == TEXT[0]
+    assert main_text(f"<body><div hidden><article>{BODY}</article></div><p>{TEXT[0]}</p></body>") == TEXT[0]
