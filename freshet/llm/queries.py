@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import chat, decontam, html_text, langid, packing, quality, secrets, sharding, simhash, warc
+from freshet.llm import chat, decontam, html_text, langid, packing, quality, secrets, sharding, simhash, substrings, warc
 from freshet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,12 @@ def op10_warc(spark, sf_dir):
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at")
 
 
+@query
+def op11_substrings(spark, sf_dir):
+    cut = substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 ORACLES: dict[str, str] = {
     "op4_chat": r"""
         WITH turns AS (
@@ -146,4 +152,21 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, item_id, n_shared, n AS n_shingles, n_shared / n AS containment
         FROM shared JOIN sizes ON id = item_id WHERE 5 * n_shared >= 4 * n
     """,
+    "op11_substrings": """
+        WITH words AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+        places AS (SELECT r, doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+        windows AS (
+            SELECT r, doc_id, i, w[i] AS word, CASE WHEN i + 19 <= len(w) THEN array_to_string(w[i:i + 19], ' ') END AS s FROM places),
+        ranked AS (
+            SELECT *, min({'known': doc_id IS NOT NULL, 'doc': coalesce(doc_id, 0), 'i': i}) OVER (PARTITION BY s) AS least FROM windows),
+        judged AS (
+            SELECT *, s IS NOT NULL AND {'known': doc_id IS NOT NULL, 'doc': coalesce(doc_id, 0), 'i': i} > least AS later FROM ranked),
+        covered AS (
+            SELECT r, i, word, max(later) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+        kept AS (
+            SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM covered GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM words LEFT JOIN kept USING (r)
+    """,
 }
