@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import chat, decontam, html_text, langid, packing, quality, secrets, sharding, simhash, substrings, warc
+from freshet.llm import chat, decontam, html_text, langid, packing, quality, ranking, secrets, sharding, simhash, substrings, warc
 from freshet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +103,12 @@ def op11_substrings(spark, sf_dir):
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op13_ranking(spark, sf_dir):
+    found = ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+
+
 ORACLES: dict[str, str] = {
     "op4_chat": r"""
         WITH turns AS (
@@ -169,4 +175,31 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM words LEFT JOIN kept USING (r)
     """,
+    "op13_ranking": """
+        WITH terms AS (
+            SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+            FROM documents
+            UNION ALL
+            SELECT 'b', row_number() OVER (), item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')
+            FROM benchmark),
+        corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM terms WHERE side = 'd' AND len(w) > 0),
+        wanted AS (SELECT DISTINCT r, id AS item_id, unnest(w) AS term FROM terms WHERE side = 'b'),
+        counts AS (
+            SELECT r, doc_id, n, term, count(*) AS tf
+            FROM (SELECT r, id AS doc_id, len(w) AS n, unnest(w) AS term FROM terms WHERE side = 'd')
+            GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM counts, corpus GROUP BY term),
+        scored AS (
+            SELECT wanted.r, item_id, counts.r AS d, doc_id,
+                sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM wanted JOIN counts USING (term) JOIN weights USING (term), corpus GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
 }
