@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm import chat, decontam, html_text, langid, packing, quality, ranking, secrets, sharding, simhash, substrings, warc
+from freshet.llm import chat, decontam, html_text, langid, packing, quality, ranking, secrets, sharding, simhash, substrings, turns, warc
 from freshet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +103,11 @@ def op11_substrings(spark, sf_dir):
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op12_repair(spark, sf_dir):
+    return turns.repair(turns.damaged(table(spark, sf_dir, "conversations")), F.col("present"))
+
+
 @query
 def op13_ranking(spark, sf_dir):
     found = ranking.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -10,106 +10,133 @@ that words are compared, not hashes.
 Strings of more than one window hold a window once only, as its minimiser has one place.
 """
 
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.common import Vocabulary, materialized, rows_of, utf8
+from freshet.llm.common import materialized, rows_of, utf8
 
 WINDOW_WORDS = 20
 MINIMISER_WORDS = 3
 
 #: A minimiser that more than one in so many strings has is spread over buckets by whole windows.
 HOT_SHARE = 1000
-#: Packed strings a task combines before it sends them.
-COMBINED_STRINGS = 100_000
+#: Passes over the texts; each sends the strings of its share of the buckets.
+WAVES = 2
 #: Windows of one minimiser that a task compares in memory; beyond that Spark sorts them.
 BUCKET_WINDOWS = 2_000_000
 #: Salt of the windows that Spark sorts.
 _SALTS = 64
+_CHUNK_TEXTS, _CHUNK_BYTES = 2000, 4_000_000
 
 _STRINGS = "key long, packed binary, doc long, text_hash long, start long, windows long"
 _STRING_SCHEMA = pa.schema([("key", pa.int64()), ("packed", pa.binary()), ("doc", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int64()), ("windows", pa.int64())])
-_MULTIPLIERS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)]
 
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: A random number for each byte at each of 64 places of a word.
+_BYTES = np.random.default_rng(11).integers(0, 2**64, 64 * 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
 
-def _mixed(words: np.ndarray, width: int) -> np.ndarray:
-    """A hash of every run of ``width`` words, from the words' hashes."""
-    runs = max(0, len(words) - width + 1)
-    total = np.zeros(runs, np.uint64)
-    for i in range(width):
-        total = total * _MULTIPLIERS[0] + words[i : i + runs]
-        total ^= total >> np.uint64(29)
-    return (total * _MULTIPLIERS[1]) ^ (total >> np.uint64(32))
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return hashes ^ (hashes >> np.uint64(29))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    powers = np.full(n, base, np.uint64)
+    powers[:1] = 1
+    return np.multiply.accumulate(powers)
+
+
+class _Hashes:
+    """A hash of any run of words from the words' hashes, as a difference of two sums."""
+
+    def __init__(self, words: np.ndarray):
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * _powers(_BASE, len(words)))])
+        self.scale = _powers(_INVERSE, len(words) + 1)
+
+    def of(self, first: np.ndarray, words) -> np.ndarray:
+        return _mixed((self.sums[first + words] - self.sums[first]) * self.scale[first])
+
+
+class _Words:
+    """The words of some texts, joined by single spaces: place, size and hash of each, ``begins`` of each text."""
+
+    def __init__(self, texts: list[bytes]):
+        raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        space = _SPACES[raw]
+        follows = np.concatenate([[True], space[:-1]])
+        starts = np.flatnonzero(~space & follows)
+        ends = np.flatnonzero(space & ~follows)
+        self.begins = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+        self.counts = np.diff(self.begins, append=len(starts))
+        joined = np.where(space, np.uint8(32), raw)[~space | ~follows]
+        self.joined = joined.tobytes()
+        self.sizes = ends - starts
+        self.places = np.cumsum(self.sizes + 1) - self.sizes - 1
+        self.hashes = np.empty(len(starts), np.uint64)
+        for low in range(0, len(starts), 65_536):  # few bytes at a time, as each takes several numbers
+            places, lengths = self.places[low : low + 65_536], self.sizes[low : low + 65_536] + 1
+            part = joined[places[0] : places[-1] + lengths[-1]]
+            inside = np.arange(len(part)) - np.repeat(places - places[0], lengths)
+            self.hashes[low : low + 65_536] = np.add.reduceat(_BYTES[(inside & 63) << 8 | part], places - places[0])
+        self.hashes = _mixed(self.hashes)
 
 
 class _Chunk:
     """Super-k-mers of some texts: ``first`` word, number of ``windows``, ``key`` and ``owner``."""
 
-    def __init__(self, texts: list, vocabulary: Vocabulary, window: int, minimiser: int):
-        parts = [utf8(t).split() for t in texts]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        self.words = [w for p in parts for w in p]
-        self.begins = np.cumsum(sizes) - sizes
-        n = max(0, len(self.words) - window + 1)
-        owner = np.repeat(np.arange(len(parts)), sizes)[:n]
-        hashes = _mixed(vocabulary.hashes(vocabulary.numbers(self.words)), minimiser)
-        places = window - minimiser + 1
+    def __init__(self, texts: list[bytes], window: int, minimiser: int):
+        self.window, self.words = window, _Words(texts)
+        self.runs = _Hashes(self.words.hashes)
+        begins, counts = self.words.begins, self.words.counts
+        n = max(0, len(self.words.hashes) - window + 1)
+        owner = np.repeat(np.arange(len(texts)), counts)[:n]
+        hashes = self.runs.of(np.arange(max(0, len(self.words.hashes) - minimiser + 1)), minimiser)
+        where = np.arange(n)
         if n:
-            where = np.lib.stride_tricks.sliding_window_view(hashes, places)[:n].argmin(axis=1) + np.arange(n)
-        else:
-            where = np.empty(0, np.int64)
-        whole = np.arange(n) + window <= (self.begins + sizes)[owner]
+            where += np.lib.stride_tricks.sliding_window_view(hashes, window - minimiser + 1)[:n].argmin(axis=1)
+        whole = np.arange(n) + window <= (begins + counts)[owner]
         new = whole.copy()
         new[1:] &= (where[1:] != where[:-1]) | ~whole[:-1]
-        run = np.cumsum(new)[whole]
         self.first = np.flatnonzero(new)
-        self.windows = np.bincount(run, minlength=len(self.first) + 1)[1:]
+        self.windows = np.bincount(np.cumsum(new)[whole], minlength=len(self.first) + 1)[1:]
         self.key = hashes[where[self.first]].view(np.int64)
         self.owner = owner[self.first]
 
-    def packed(self) -> tuple[bytes, np.ndarray, np.ndarray]:
-        """All words joined by spaces, and where each begins and ends."""
-        sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
-        ends = np.cumsum(sizes + 1) - 1
-        return b" ".join(self.words), ends - sizes, ends
-
+    def choose(self, chosen: np.ndarray) -> None:
+        self.first, self.windows, self.key, self.owner = (x[chosen] for x in (self.first, self.windows, self.key, self.owner))
 
-def _frequent(window: int, minimiser: int, share: int):
-    """Counts of a task's minimisers, less at most one ``2 * share``th of all; null counts all."""
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, total = Vocabulary(), 0
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in batches:
-            for part in _parts(batch):
-                chunk = _Chunk(part.column("text").to_pylist(), vocabulary, window, minimiser)
-                seen, n = np.unique(chunk.key, return_counts=True)
-                total += int(n.sum())
-                both, place = np.unique(np.concatenate([keys, seen]), return_inverse=True)
-                sums = np.bincount(place, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
-                if len(both) > 2 * share:
-                    sums -= np.partition(sums, -2 * share - 1)[-2 * share - 1]
-                keys, counts = both[sums > 0], sums[sums > 0]
-        yield pa.RecordBatch.from_arrays([pa.array([*keys.tolist(), None], pa.int64()), pa.array([*counts.tolist(), total], pa.int64())], schema=schema)
+    def split(self, hot: np.ndarray) -> None:
+        """Strings of hot minimisers give way to single windows, each with a key of its own."""
+        single = np.isin(self.key, hot)
+        times = np.where(single, self.windows, 1)
+        self.choose(np.repeat(np.arange(len(times)), times))
+        single = np.repeat(single, times)
+        self.first = self.first + np.arange(len(single)) - np.repeat(np.cumsum(times) - times, times)
+        self.windows = np.where(single, 1, self.windows)
+        self.key = np.where(single, self.runs.of(self.first, self.window).view(np.int64), self.key)
 
-    return tally
+    def packed(self) -> list[bytes]:
+        last = self.first + self.windows + self.window - 2
+        ends = self.words.places[last] + self.words.sizes[last]
+        return [self.words.joined[a:b] for a, b in zip(self.words.places[self.first].tolist(), ends.tolist(), strict=True)]
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of at most 500 texts and, but for single texts, four million bytes."""
+    """Parts of a batch of bounded size, but for single texts."""
     start, size = 0, 0
     for i, length in enumerate(pc.binary_length(batch.column("text")).fill_null(0).to_pylist()):
-        if i > start and (i - start == 500 or size + length > 4_000_000):
+        if i > start and (i - start == _CHUNK_TEXTS or size + length > _CHUNK_BYTES):
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += length
@@ -117,6 +144,30 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def _bytes(part: pa.RecordBatch) -> list[bytes]:
+    return part.column("text").cast(pa.binary()).fill_null(b"").to_pylist()
+
+
+def _frequent(window: int, minimiser: int, share: int):
+    """Counts of a task's minimisers, less at most one ``2 * share``th of all; null counts all."""
+    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, keys, counts = 0, np.empty(0, np.int64), np.empty(0, np.int64)
+        for part in (p for b in batches for p in _parts(b)):
+            seen, n = np.unique(_Chunk(_bytes(part), window, minimiser).key, return_counts=True)
+            total += int(n.sum())
+            both, place = np.unique(np.concatenate([keys, seen]), return_inverse=True)
+            sums = np.zeros(len(both), np.int64)
+            np.add.at(sums, place, np.concatenate([counts, n]))
+            if len(both) > 2 * share:
+                sums -= np.partition(sums, -2 * share - 1)[-2 * share - 1]
+            keys, counts = both[sums > 0], sums[sums > 0]
+        yield pa.RecordBatch.from_arrays([pa.array([*keys.tolist(), None], pa.int64()), pa.array([*counts.tolist(), total], pa.int64())], schema=schema)
+
+    return tally
+
+
 def hot_minimisers(docs: DataFrame, window: int, minimiser: int, share: int) -> list[int]:
     """All minimisers of more than one string in ``share``, and a few below; at most ``2 * share``.
 
@@ -128,64 +179,49 @@ def hot_minimisers(docs: DataFrame, window: int, minimiser: int, share: int) ->
     return [r["key"] for r in most if r["key"] is not None and 2 * share * r["n"] >= total]
 
 
-def _rank(doc: int | None, start: int) -> tuple:
-    return (doc is not None, doc or 0, start)
-
-
-def _strings(window: int, minimiser: int, hot: list[int], combined: int):
-    """Packed strings with their buckets; a row without a string is a repeat that the task saw itself.
-
-    Equal strings of a task are combined: the earliest travels, the others are repeats.
+def _combined(chunk: _Chunk, packed: list[bytes], known: np.ndarray, doc: np.ndarray, text_hash: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which strings travel, and which repeat an earlier equal one of the chunk; others equal one that travels."""
+    travel, repeat = np.ones(len(packed), bool), np.zeros(len(packed), bool)
+    name = chunk.runs.of(chunk.first, chunk.windows + chunk.window - 1)
+    order = np.lexsort((start, doc, known, name))
+    new = np.concatenate([[True], name[order][1:] != name[order][:-1]])
+    heads = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    for i, head in zip(order[~new].tolist(), heads[~new].tolist(), strict=True):
+        if packed[i] != packed[head]:
+            continue
+        if (known[i], doc[i], start[i]) != (known[head], doc[head], start[head]):
+            travel[i], repeat[i] = False, True
+        elif text_hash[i] == text_hash[head]:
+            travel[i] = False
+    return travel, repeat
+
+
+def _strings(window: int, minimiser: int, hot: list[int], wave: int, waves: int):
+    """Packed strings of a wave with their buckets; a row without a string is a repeat that the task saw itself.
+
+    Equal strings of a chunk are combined: the earliest travels, the others are repeats.
     """
-    hot_keys = np.sort(np.array(hot, np.int64))
-
-    def send(held, extra, repeats):
-        rows = [(key, packed, *at, n) for packed, (key, at, n) in held.items()] + extra
-        rows += [(at[1] ^ at[2], None, *at, n) for at, n in repeats]
-        for start in range(0, len(rows), 10_000):
-            columns = zip(*rows[start : start + 10_000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STRING_SCHEMA, strict=True)], schema=_STRING_SCHEMA)
+    hot_keys = np.array(hot, np.int64)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary()
-        held, extra, repeats = {}, [], []
-
-        def add(packed, key, at, n):
-            known = held.get(packed)
-            if known is None:
-                held[packed] = (key, at, n)
-                return
-            was = known[1]
-            if was[0] == at[0] and was[2] == at[2]:
-                if was[1] != at[1]:  # another text of the same number: neither is earlier
-                    extra.append((key, packed, *at, n))
-                return
-            if _rank(was[0], was[2]) <= _rank(at[0], at[2]):
-                repeats.append((at, n))
-            else:
-                repeats.append((was, n))
-                held[packed] = (key, at, n)
-
-        for batch in batches:
-            for part in _parts(batch):
-                docs, hashes = part.column("doc").to_pylist(), part.column("text_hash").to_pylist()
-                chunk = _Chunk(part.column("text").to_pylist(), vocabulary, window, minimiser)
-                joined, begins, ends = chunk.packed()
-                starts = chunk.first - chunk.begins[chunk.owner]
-                split = np.isin(chunk.key, hot_keys)
-                rows = zip(chunk.first.tolist(), chunk.windows.tolist(), chunk.key.tolist(), chunk.owner.tolist(), starts.tolist(), split.tolist(), strict=True)
-                for first, n, key, owner, start, single in rows:
-                    doc, text_hash = docs[owner], hashes[owner]
-                    if not single:
-                        add(joined[begins[first] : ends[first + n + window - 2]], key, (doc, text_hash, start), n)
-                        continue
-                    for i in range(n):
-                        packed = joined[begins[first + i] : ends[first + i + window - 1]]
-                        add(packed, xxhash.xxh64_intdigest(packed) - (1 << 63), (doc, text_hash, start + i), 1)
-                if len(held) + len(extra) + len(repeats) > combined:
-                    yield from send(held, extra, repeats)
-                    held.clear(), extra.clear(), repeats.clear()
-        yield from send(held, extra, repeats)
+        for part in (p for b in batches for p in _parts(b)):
+            chunk = _Chunk(_bytes(part), window, minimiser)
+            chunk.split(hot_keys)
+            chunk.choose((chunk.key.view(np.uint64) >> np.uint64(20)) % np.uint64(waves) == wave)
+            if not len(chunk.first):
+                continue
+            known = part.column("doc").is_valid().to_numpy(zero_copy_only=False)[chunk.owner]
+            doc = part.column("doc").fill_null(0).to_numpy()[chunk.owner]
+            text_hash = part.column("text_hash").to_numpy()[chunk.owner]
+            start = chunk.first - chunk.words.begins[chunk.owner]
+            packed = chunk.packed()
+            travel, repeat = _combined(chunk, packed, known, doc, text_hash, start)
+            sent = np.flatnonzero(travel | repeat)
+            strings = pa.array([packed[i] if goes else None for i, goes in zip(sent.tolist(), travel[sent].tolist(), strict=True)], pa.binary())
+            # Repeats go along to any bucket.
+            keys = np.where(travel, chunk.key, text_hash ^ start)
+            columns = [pa.array(keys[sent]), strings, pa.array(doc[sent], mask=~known[sent]), pa.array(text_hash[sent]), pa.array(start[sent]), pa.array(chunk.windows[sent])]
+            yield pa.RecordBatch.from_arrays(columns, schema=_STRING_SCHEMA)
 
     return pack
 
@@ -201,26 +237,44 @@ def _names(words: np.ndarray, window: int) -> np.ndarray:
     return names
 
 
+class _Windows:
+    """The windows of some packed strings: their row, place in it, and first word among all words."""
+
+    def __init__(self, rows: pa.RecordBatch, window: int):
+        joined = b" ".join(rows.column("packed").to_pylist()) + b" "
+        ends = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) + 1
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int64)).buffers()[1]
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, offsets, pa.py_buffer(joined)])
+        self.words = words.dictionary_encode().indices.to_numpy().astype(np.int64)
+        windows = rows.column("windows").to_numpy()
+        sizes = windows + window - 1
+        self.row = np.repeat(np.arange(len(windows)), windows)
+        self.inside = np.arange(len(self.row)) - np.repeat(np.cumsum(windows) - windows, windows)
+        self.first = np.repeat(np.cumsum(sizes) - sizes, windows) + self.inside
+
+
 def _later(rows: pa.RecordBatch, window: int) -> list[np.ndarray]:
     """Row, first window and number of windows of every run of windows that start earlier elsewhere."""
     key = rows.column("key").to_numpy()
     same = key[1:] == key[:-1]
-    shared = np.zeros(len(key), bool)
-    shared[1:] = same
-    shared[:-1] |= same
-    shared &= rows.column("packed").is_valid().to_numpy(zero_copy_only=False)
-    chosen = np.flatnonzero(shared)
+    chosen = np.zeros(len(key), bool)
+    chosen[1:] = same
+    chosen[:-1] |= same
+    chosen = np.flatnonzero(chosen & rows.column("packed").is_valid().to_numpy(zero_copy_only=False))
+    if not len(chosen):
+        return [np.empty(0, np.int64)] * 3
+    # Strings none of whose windows shares a hash need no names.
+    every = _Windows(rows.take(pa.array(chosen)), window)
+    hashes = _Hashes(_mixed(every.words.astype(np.uint64) + np.uint64(1))).of(every.first, window)
+    shared, place = np.unique(hashes, return_inverse=True)
+    often = np.bincount(place, minlength=len(shared))[place] > 1
+    chosen = chosen[np.unique(every.row[often])]
     if not len(chosen):
         return [np.empty(0, np.int64)] * 3
     some = rows.take(pa.array(chosen))
-    parts = [p.split(b" ") for p in some.column("packed").to_pylist()]
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    numbers = defaultdict(count().__next__)
-    words = np.fromiter((numbers[w] for p in parts for w in p), np.int64, int(sizes.sum()))
-    windows = sizes - window + 1
-    row = np.repeat(np.arange(len(parts)), windows)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-    name = _names(words, window)[np.repeat(np.cumsum(sizes) - sizes, windows) + inside]
+    found = _Windows(some, window)
+    row, inside = found.row, found.inside
+    name = _names(found.words, window)[found.first]
     known = some.column("doc").is_valid().to_numpy(zero_copy_only=False)[row]
     doc = some.column("doc").fill_null(0).to_numpy()[row]
     start = some.column("start").to_numpy()[row] + inside
@@ -283,7 +337,7 @@ def _repeats(window: int, limit: int):
             last = int(np.searchsorted(key, key[-1]))
             yield from done(rows.slice(0, last))
             held = rows.slice(last)
-            if held.num_rows * window > limit:  # a string has fewer windows than a window has words
+            if pc.sum(held.column("windows")).as_py() > limit:
                 flooded = int(key[-1])
                 yield from singles(held)
                 held = empty
@@ -292,6 +346,18 @@ def _repeats(window: int, limit: int):
     return search
 
 
+@contextmanager
+def _shuffles_cleared(spark: SparkSession):
+    """Shuffle files go with the query that wrote them, so that waves do not add up on disk."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _flood_repeats(marks: DataFrame) -> DataFrame:
     """Repeats among single windows, first within a salt and then among the earliest of each."""
     order = F.struct(F.col("doc").isNotNull(), F.coalesce("doc", F.lit(0)), "start")
@@ -306,7 +372,7 @@ def repeated_spans(
     window: int = WINDOW_WORDS,
     minimiser: int = MINIMISER_WORDS,
     hot_share: int = HOT_SHARE,
-    combined_strings: int = COMBINED_STRINGS,
+    waves: int = WAVES,
     bucket_windows: int = BUCKET_WINDOWS,
 ) -> DataFrame:
     """``doc, text_hash, spans``: the word ranges ``start, end`` covered by windows that also start earlier.
@@ -316,12 +382,16 @@ def repeated_spans(
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_hash"), "text")
     hot = hot_minimisers(texts, window, minimiser, hot_share)
-    strings = texts.mapInArrow(_strings(window, minimiser, hot, combined_strings), _STRINGS)
-    buckets = strings.repartition("key").sortWithinPartitions("key")
-    marks = materialized(buckets.mapInArrow(_repeats(window, bucket_windows), _STRINGS), "repeats")
-    found = marks.where("packed is null").select("doc", "text_hash", "start", "windows").unionByName(_flood_repeats(marks))
-    span = F.struct("start", (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
-    return found.distinct().groupBy("doc", "text_hash").agg(F.collect_list(span).alias("spans"))
+    found = None
+    with _shuffles_cleared(docs.sparkSession):
+        for wave in range(waves):
+            strings = texts.mapInArrow(_strings(window, minimiser, hot, wave, waves), _STRINGS)
+            buckets = strings.repartition("key").sortWithinPartitions("key")
+            marks = materialized(buckets.mapInArrow(_repeats(window, bucket_windows), _STRINGS), f"repeats-{wave}")
+            part = marks.where("packed is null").select("doc", "text_hash", "start", "windows").unionByName(_flood_repeats(marks))
+            found = part if found is None else found.unionByName(part)
+        span = F.struct("start", (F.col("start") + F.col("windows") + (window - 1)).alias("end"))
+        return materialized(found.distinct().groupBy("doc", "text_hash").agg(F.collect_list(span).alias("spans")), "spans")
 
 
 _CUT = T.StructType([

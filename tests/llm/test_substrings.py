@@ -47,11 +47,11 @@ def texts():
     return rows
 
 
-@pytest.mark.parametrize(("share", "combined", "bucket"), [(1000, 100_000, 2_000_000), (3, 50, 2_000_000), (50, 10, 100)])
-def test_equals_brute_force_at_any_limit(spark, share, combined, bucket):
+@pytest.mark.parametrize(("share", "waves", "bucket"), [(1000, 2, 2_000_000), (3, 1, 2_000_000), (50, 3, 100)])
+def test_equals_brute_force_at_any_limit(spark, share, waves, bucket):
     rows = texts()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = substrings.without_repeats(docs, hot_share=share, combined_strings=combined, bucket_windows=bucket)
+    got = substrings.without_repeats(docs, hot_share=share, waves=waves, bucket_windows=bucket)
     assert found(got) == brute(rows, 20)
 
 
@@ -87,7 +87,7 @@ def test_frequent_minimisers_are_found(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     counts = {}
     for _, text in rows:
-        chunk = substrings._Chunk([text], substrings.Vocabulary(), 20, 3)
+        chunk = substrings._Chunk([text.encode()], 20, 3)
         for key in chunk.key.tolist():
             counts[key] = counts.get(key, 0) + 1
     total = sum(counts.values())
