@@ -3,19 +3,15 @@
 ``spark.read.format("zarr_grid").load(path)`` gives long rows ``feature_id, time,
 variables``. Tasks read whole storage blocks of the variables of the schema, so name those
 that are needed with the option ``variables``. The driver reads the metadata, and the
-coordinates where there are filters on them: blocks outside are not read at all. Blocks
-may be uncompressed or zlib, gzip, bz2, lzma or zstd. A variable's block without a file
-holds fill values; a missing coordinate block or array is an error.
+coordinates where there are filters on them: blocks outside are not read at all. What
+blocks are stored as is in ``codecs``. A variable's block without a file holds fill
+values; a missing coordinate block or array is an error.
 """
 
-import bz2
-import gzip
 import itertools
 import json
 import logging
-import lzma
 import re
-import zlib
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -28,26 +24,13 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType, TimestampNTZType
 
+from freshet.sources.codecs import decoded_block
+
 DIMENSIONS = ("time", "feature_id")
 ROWS_PER_BATCH = 65_536
 UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
-def _unzstd(data: bytes) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdDecompressor().decompressobj().decompress(data)
-
-
-DECODERS = {
-    "zlib": zlib.decompress,
-    "gzip": gzip.decompress,
-    "bz2": bz2.decompress,
-    "lzma": lzma.decompress,
-    "zstd": _unzstd,
-}
-
-
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a URI or plain path, and the path on it."""
     if "://" in path or path.startswith("file:"):
@@ -97,15 +80,7 @@ class GridArray:
             data = _content(system, f"{folder}/{block}")
         except FileNotFoundError:
             return self._absent(system, folder, block)
-        if self.layout.get("filters"):
-            raise ValueError(f"filters are not supported: {self.layout['filters']}")
-        codec = (self.layout.get("compressor") or {}).get("id")
-        if codec is not None:
-            if codec not in DECODERS:
-                raise ValueError(f"compression {codec!r} is not supported")
-            data = DECODERS[codec](data)
-        kind = np.dtype(self.layout["dtype"])
-        return np.frombuffer(data, kind).reshape(self.blocks, order=self.layout.get("order", "C"))
+        return decoded_block(data, self.layout).reshape(self.blocks, order=self.layout.get("order", "C"))
 
     def read(self, *ranges: tuple[int, int]) -> np.ndarray:
         """The cells within ``[start, stop)`` of each dimension, as stored."""

@@ -453,5 +453,6 @@ ORACLES = {
 }
 
 ORACLES["retrospective_table"] = ORACLES["retrospective_rows"]
+ORACLES["zarr_blosc_scan"] = ORACLES["chunk_roundtrip"].replace("streamflow, velocity FROM grid", "streamflow, round(velocity, 2) AS velocity FROM grid")
 ORACLES["zarr_scan"] = ORACLES["chunk_roundtrip"]
 ORACLES["indices_records_table"] = ORACLES["indices_record_long"]

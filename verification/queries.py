@@ -201,6 +201,25 @@ def zarr_scan(spark, sf_dir):
     return spark.read.format("zarr_grid").load(path)
 
 
+@query
+def zarr_blosc_scan(spark, sf_dir):
+    """A store with Blosc containers of several kinds and with filters."""
+    path = scratch_path(spark, "grid.zarr")
+    storage = {
+        "streamflow": {"compressor": {"id": "blosc", "cname": "lz4", "shuffle": 1, "block_size": 8192}, "filters": None},
+        "velocity": {
+            "compressor": {"id": "blosc", "cname": "zstd", "shuffle": 2, "block_size": 10_000},
+            "filters": [{"id": "fixedscaleoffset", "dtype": "<f8", "astype": "<i8", "scale": 100, "offset": -3}],
+        },
+        "time": {"compressor": {"id": "blosc", "cname": "zlib", "shuffle": 1}, "filters": [{"id": "delta", "dtype": "<i8"}]},
+        "feature_id": {"compressor": None, "filters": [{"id": "delta", "dtype": "<i8", "astype": "<i4"}, {"id": "shuffle", "elementsize": 4}]},
+    }
+    write_grid(views.cells(spark, sf_dir), path, time_size=168, feature_size=50, storage=storage)
+    zarr.register(spark)
+    grid_rows = spark.read.format("zarr_grid").load(path)
+    return grid_rows.select("feature_id", "time", "streamflow", F.round("velocity", 2).alias("velocity"))
+
+
 # Grid chunks.
 
 

@@ -1,9 +1,12 @@
 """Writes grids as Zarr files, so that the Zarr source has something to read in checks."""
 
 import json
+import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame
 
@@ -14,10 +17,79 @@ from freshet.sources.zarr import file_system
 FILL = -999900.0
 
 
-def _layout(shape, chunks, dtype, dimensions, **attributes):
+#: How an array's blocks are stored unless something else is asked for.
+ZLIB = {"compressor": {"id": "zlib", "level": 1}, "filters": None}
+
+_INNER = {
+    "lz4": (1, lambda data: pa.compress(data, codec="lz4_raw", asbytes=True)),
+    "snappy": (2, lambda data: pa.compress(data, codec="snappy", asbytes=True)),
+    "zlib": (3, lambda data: zlib.compress(data, 1)),
+    "zstd": (4, lambda data: zstandard.ZstdCompressor(level=1).compress(data)),
+}
+
+
+def shuffled(data: bytes, width: int) -> bytes:
+    """All first bytes of the elements, then all second ones, and so on."""
+    count = len(data) // width
+    return b"".join(data[i : count * width : width] for i in range(width)) + data[count * width :]
+
+
+def bitshuffled(data: bytes, width: int) -> bytes:
+    """All lowest bits of the elements, then all second ones; eight elements at a time."""
+    count = len(data) // width
+    if count % 8:
+        return data
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, count * width).reshape(count, width), axis=1, bitorder="little")
+    return np.packbits(bits.T, axis=1, bitorder="little").tobytes() + data[count * width :]
+
+
+def blosc(data: bytes, width: int, cname: str = "lz4", shuffle: int = 1, block_size: int = 0, split: bool = True) -> bytes:
+    """A Blosc container; ``shuffle`` is 0, 1 by bytes or 2 by bits."""
+    block_size = min(block_size or 1 << 16, max(len(data), 1))
+    code, squeeze = _INNER[cname]
+    streams, starts, at = [], [], 16 + 4 * -(-len(data) // block_size)
+    for low in range(0, len(data), block_size):
+        block = data[low : low + block_size]
+        cut = split and width <= 16 and block_size // width >= 128 and len(block) == block_size
+        block = shuffled(block, width) if shuffle == 1 and width > 1 else bitshuffled(block, width) if shuffle == 2 else block
+        starts.append(at)
+        length = len(block) // width if cut else len(block)
+        for i in range(0, len(block), length):
+            part, small = block[i : i + length], squeeze(block[i : i + length])
+            part = small if len(small) < length else part
+            streams.append(struct.pack("<i", len(part)) + part)
+            at += len(streams[-1])
+    flags = {0: 0, 1: 1, 2: 4}[shuffle] | (0 if split else 16) | code << 5
+    if at >= 16 + len(data):
+        return struct.pack("<BBBBIII", 2, 1, flags | 2, width, len(data), block_size, 16 + len(data)) + data
+    return struct.pack("<BBBBIII", 2, 1, flags, width, len(data), block_size, at) + struct.pack(f"<{len(starts)}i", *starts) + b"".join(streams)
+
+
+def encoded(values: np.ndarray, storage: dict) -> bytes:
+    """The bytes of a block under a layout's filters and compressor."""
+    values = np.ascontiguousarray(values).ravel()
+    for settings in storage.get("filters") or []:
+        kind = settings["id"]
+        if kind == "delta":
+            steps = np.concatenate([values[:1], np.diff(values)])
+            values = steps.astype(settings.get("astype", settings["dtype"]))
+        elif kind == "fixedscaleoffset":
+            steps = np.round((values - settings["offset"]) * settings["scale"])
+            values = steps.astype(settings.get("astype", settings["dtype"]))
+        else:
+            values = np.frombuffer(shuffled(values.tobytes(), settings["elementsize"]), np.uint8)
+    compressor, data = storage.get("compressor"), values.tobytes()
+    if compressor is None:
+        return data
+    if compressor["id"] == "blosc":
+        return blosc(data, values.itemsize, **{k: v for k, v in compressor.items() if k in ("cname", "shuffle", "block_size", "split")})
+    return zlib.compress(data, 1)
+
+
+def _layout(shape, chunks, dtype, dimensions, storage, **attributes):
     layout = {
-        "zarr_format": 2, "shape": shape, "chunks": chunks, "dtype": dtype, "order": "C", "filters": None,
-        "fill_value": FILL if dtype == "<f8" else 0, "compressor": {"id": "zlib", "level": 1},
+        "zarr_format": 2, "shape": shape, "chunks": chunks, "dtype": dtype, "order": "C",
+        "fill_value": FILL if dtype == "<f8" else 0, **storage,
     }
     return layout, {"_ARRAY_DIMENSIONS": dimensions, **attributes}
 
@@ -27,16 +99,14 @@ def _write(system: fs.FileSystem, path: str, data: bytes) -> None:
         stream.write(data)
 
 
-def _save(system: fs.FileSystem, path: str, values: np.ndarray) -> None:
-    _write(system, path, zlib.compress(np.ascontiguousarray(values).tobytes(), 1))
-
-
-def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int) -> None:
+def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int, storage: dict[str, dict] | None = None) -> None:
     """One file per chunk and variable, written by the task that holds the chunk.
 
-    ``path`` is a URI or a path that all machines share.
+    ``path`` is a URI or a path that all machines share; ``storage`` has the compressor and
+    filters of the arrays that are not to be stored as ``ZLIB``.
     """
     system, root = file_system(path)
+    stored = lambda name: (storage or {}).get(name, ZLIB)
     names = [n for n in FLOW_VARIABLES if n in rows.columns]
     for name in [*names, "time", "feature_id"]:
         system.create_dir(f"{root}/{name}", recursive=True)
@@ -48,26 +118,26 @@ def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int) ->
             times[: len(chunk["times"])] = np.array(chunk["times"], "datetime64[us]").astype("<i8") // 60_000_000
             ids = np.zeros(feature_size, "<i8")
             ids[: len(chunk["feature_ids"])] = chunk["feature_ids"]
-            _save(system, f"{root}/time/{t}", times)
-            _save(system, f"{root}/feature_id/{f}", ids)
+            _write(system, f"{root}/time/{t}", encoded(times, stored("time")))
+            _write(system, f"{root}/feature_id/{f}", encoded(ids, stored("feature_id")))
             for name in names:
                 block = np.full((time_size, feature_size), FILL)
                 cells = np.array([FILL if v is None else v for v in chunk[name]])
                 block[: len(chunk["times"]), : len(chunk["feature_ids"])] = cells.reshape(
                     len(chunk["times"]), len(chunk["feature_ids"])
                 )
-                _save(system, f"{root}/{name}/{t}.{f}", block)
+                _write(system, f"{root}/{name}/{t}.{f}", encoded(block, stored(name)))
 
     to_chunks(rows, time_size, feature_size).foreachPartition(save_chunks)
     times = rows.select("time").distinct().count()
     features = rows.select("feature_id").distinct().count()
     arrays = {
-        "time": _layout([times], [time_size], "<i8", ["time"], units="minutes since 1970-01-01 00:00:00"),
-        "feature_id": _layout([features], [feature_size], "<i8", ["feature_id"]),
+        "time": _layout([times], [time_size], "<i8", ["time"], stored("time"), units="minutes since 1970-01-01 00:00:00"),
+        "feature_id": _layout([features], [feature_size], "<i8", ["feature_id"], stored("feature_id")),
     }
     for name in names:
         arrays[name] = _layout(
-            [times, features], [time_size, feature_size], "<f8", ["time", "feature_id"], _FillValue=FILL
+            [times, features], [time_size, feature_size], "<f8", ["time", "feature_id"], stored(name), _FillValue=FILL
         )
     metadata = {}
     for name, (layout, attributes) in arrays.items():
