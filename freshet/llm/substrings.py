@@ -33,7 +33,7 @@ WAVES = 2
 BUCKET_WINDOWS = 2_000_000
 #: Salt of the windows that Spark sorts.
 _SALTS = 64
-_CHUNK_TEXTS, _CHUNK_BYTES = 2000, 4_000_000
+_CHUNK_TEXTS, _CHUNK_BYTES = 1000, 2_000_000
 
 _STRINGS = "key long, packed binary, doc long, text_hash long, start long, windows long"
 _STRING_SCHEMA = pa.schema([("key", pa.int64()), ("packed", pa.binary()), ("doc", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int64()), ("windows", pa.int64())])
