@@ -5,6 +5,7 @@
 
 import argparse
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,7 @@ from freshet.operators.selection import select_positions, select_reaches
 from freshet.plans.indices import indices_table
 from freshet.session import build_session
 from freshet.sources import sinks, tables, zarr
+from freshet.sources.runs import Attempt, RunStore
 
 
 def read_input(spark: SparkSession, path: str, fmt: str, **options) -> DataFrame:
@@ -50,6 +52,39 @@ def run(
     return run_id
 
 
+def _stage(rows: DataFrame, attempt: Attempt, empty_year: str) -> None:
+    sinks.stage_retrospective(retrospective(rows), attempt)
+    written = sinks.staged_retrospective(attempt)
+    sinks.stage_indices(indices_table(daily_means(written), empty_year), attempt)
+
+
+def run_in_store(rows: DataFrame, root: str, mode: str = "append", run_id: str | None = None, empty_year: str = "skip") -> str:
+    """As ``run``, into a run store: both tables appear at once, or neither if the job fails."""
+    attempt = RunStore(rows.sparkSession, root).attempt(run_id or uuid.uuid4().hex, mode)
+    _stage(rows, attempt, empty_year)
+    attempt.commit()
+    return attempt.run_id
+
+
+def run_slices(
+    spark: SparkSession,
+    read: Callable[[int, int], DataFrame],
+    slices: list[tuple[int, int]],
+    root: str,
+    run_id: str,
+    mode: str = "overwrite",
+    empty_year: str = "skip",
+) -> list[str]:
+    """A run in slices of the reaches, ``read(start, stop)`` giving the rows of each.
+
+    A slice is staged by itself and noted when both its tables are written. A restart with the
+    same run id and slices does only the rest. The whole run appears at its end. Returns the
+    slices done, as ``start-stop``.
+    """
+    spans = {f"{start}-{stop}": (start, stop) for start, stop in slices}
+    return RunStore(spark, root).run_parts(run_id, spans, lambda attempt, part: _stage(read(*spans[part]), attempt, empty_year), mode)
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Streamflow indices from hourly grids")
     parser.add_argument("--input", required=True)
@@ -64,8 +99,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--on-bad-block", choices=["raise", "skip"], default="raise", help="broken blocks of a grid")
     parser.add_argument("--empty-year", choices=["skip", "first_date"], default="skip", help="years without a flood season mean")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="further reader option")
-    parser.add_argument("--retro-out", required=True, help="path or table name")
-    parser.add_argument("--indices-out", required=True, help="path or table name")
+    parser.add_argument("--retro-out", default=None, help="path or table name")
+    parser.add_argument("--indices-out", default=None, help="path or table name")
+    parser.add_argument("--store", default=None, help="run store for both tables, in place of the two targets")
+    parser.add_argument("--slice-features", type=int, default=None,
+                        help="with --store and --run-id: reaches of a grid done at once, a multiple of its block; a restart does the rest")
     parser.add_argument("--mode", choices=["append", "overwrite"], default="append")
     parser.add_argument("--run-id", default=None)
     parser.add_argument("--shuffle-partitions", type=int, default=None,
@@ -83,12 +121,21 @@ def main(argv: list[str] | None = None) -> str:
     if args.select == "reach_list" and not args.reaches:
         raise ValueError("--select reach_list needs --reaches")
     sliced = args.select == "slice"
+    if args.store is None and None in (args.retro_out, args.indices_out):
+        raise ValueError("name --store, or both --retro-out and --indices-out")
+    if args.slice_features and (args.store is None or args.run_id is None or args.format != "zarr_grid" or args.select == "reach_list"):
+        raise ValueError("--slice-features needs --store, --run-id and a grid, and no reach list")
     if args.format == "zarr_grid":
         # A grid knows its positions: slices are cut from the block list.
         options["on_bad_block"] = args.on_bad_block
         spans = {"time": (args.time_start, args.time_stop)} | ({"feature": (args.start, args.stop)} if sliced else {})
         for name, (start, stop) in spans.items():
             options |= {f"{name}_start": start} | ({} if stop is None else {f"{name}_stop": stop})
+    if args.slice_features:
+        spans = zarr.feature_slices(args.input, args.slice_features, options.get("feature_start", 0), options.get("feature_stop"))
+        read = lambda start, stop: read_input(spark, args.input, args.format, **options | {"feature_start": start, "feature_stop": stop})
+        run_slices(spark, read, spans, args.store, args.run_id, args.mode, args.empty_year)
+        return args.run_id
     rows = read_input(spark, args.input, args.format, **options)
     if args.format != "zarr_grid":
         if (args.time_start, args.time_stop) != (0, None):
@@ -100,6 +147,8 @@ def main(argv: list[str] | None = None) -> str:
             zarr.check_reaches(args.input, args.reaches)
             args.on_missing = "ignore"
         rows = select_reaches(rows, args.reaches, on_missing=args.on_missing)
+    if args.store is not None:
+        return run_in_store(rows, args.store, args.mode, args.run_id, args.empty_year)
     return run(rows, args.retro_out, args.indices_out, args.mode, args.run_id, args.empty_year)
 
 

@@ -2,7 +2,8 @@
 
 Both tables of a run are partitioned by ``run_id``. A target is a path, or the name of a
 table, which is created if needed. ``append`` adds rows; ``overwrite`` replaces all rows of
-the one run and touches no other.
+the one run and touches no other. The ``stage`` functions write the same tables into an
+attempt of a run store instead, where they appear together.
 """
 
 import re
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from freshet.schemas import INDICES_SCHEMA, RETRO_SCHEMA
+from freshet.sources.runs import Attempt, Snapshot
 
 STORED_SCHEMA = StructType(
     [*RETRO_SCHEMA.fields, StructField("run_id", StringType()), StructField("year", IntegerType())]
@@ -45,8 +47,8 @@ def _write_run(frame: DataFrame, target: str, mode: str, run_id: str, partitions
         raise ValueError(f"a run id names a folder; {run_id!r} has other characters than letters, digits, _ . -")
     if _is_path(target):
         # The run's folder is written by itself, so an overwrite replaces it whole, with
-        # all the partitions that the repeated run no longer has.
-        frame.write.mode(mode).partitionBy(*partitions).parquet(f"{target.rstrip('/')}/run_id={run_id}")
+        # all the partitions that the repeated run no longer has, whatever the session's mode.
+        frame.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(f"{target.rstrip('/')}/run_id={run_id}")
         return
     spark = frame.sparkSession
     whole = frame.withColumn("run_id", F.lit(run_id)).select(*[c for c in frame.columns if c not in partitions], "run_id", *partitions)
@@ -57,8 +59,14 @@ def _write_run(frame: DataFrame, target: str, mode: str, run_id: str, partitions
         return
     whole.drop("run_id").createOrReplaceTempView("_run_rows")
     spec = ", ".join([f"run_id = '{run_id}'", *partitions])
-    spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({spec}) SELECT * FROM _run_rows")
-    spark.catalog.dropTempView("_run_rows")
+    # Statically, so that all partitions of the run go, also those it no longer has.
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({spec}) SELECT * FROM _run_rows")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+        spark.catalog.dropTempView("_run_rows")
 
 
 def _read_run(spark: SparkSession, target: str, schema: StructType, run_id: str | None) -> DataFrame:
@@ -68,8 +76,7 @@ def _read_run(spark: SparkSession, target: str, schema: StructType, run_id: str
 
 def write_retrospective(rows: DataFrame, target: str, mode: str = "append", run_id: str = "0") -> None:
     """Write hourly rows, partitioned by run and year; narrow, rows are written where they are."""
-    shaped = _shaped(rows, RETRO_SCHEMA).withColumn("year", F.year("time"))
-    _write_run(shaped, target, mode, run_id, ["year"])
+    _write_run(_with_year(rows), target, mode, run_id, ["year"])
 
 
 def read_retrospective(spark: SparkSession, target: str, run_id: str | None = None) -> DataFrame:
@@ -87,6 +94,33 @@ def read_indices(spark: SparkSession, target: str, run_id: str | None = None) ->
     return _read_run(spark, target, STORED_INDICES_SCHEMA, run_id).select(*INDICES_SCHEMA.names)
 
 
+def _with_year(rows: DataFrame) -> DataFrame:
+    return _shaped(rows, RETRO_SCHEMA).withColumn("year", F.year("time"))
+
+
+def stage_retrospective(rows: DataFrame, attempt: Attempt) -> None:
+    attempt.write("retrospective", _with_year(rows), "year")
+
+
+def staged_retrospective(attempt: Attempt) -> DataFrame:
+    """Hourly rows of an attempt that is not committed yet."""
+    return attempt.read("retrospective", StructType([*RETRO_SCHEMA.fields]).add("year", "integer")).select(*RETRO_SCHEMA.names)
+
+
+def stage_indices(records: DataFrame, attempt: Attempt) -> None:
+    attempt.write("indices", _shaped(records, INDICES_SCHEMA))
+
+
+def retrospective_of(snapshot: Snapshot, run_id: str | None = None) -> DataFrame:
+    """Hourly rows of one run or of all, with ``run_id``."""
+    return snapshot.read("retrospective", StructType([*RETRO_SCHEMA.fields]).add("year", "integer"), run_id).drop("year")
+
+
+def indices_of(snapshot: Snapshot, run_id: str | None = None) -> DataFrame:
+    """Index records of one run or of all, with ``run_id``."""
+    return snapshot.read("indices", INDICES_SCHEMA, run_id)
+
+
 def write_text(records: DataFrame, path: str, shards: int | None = None, fmt: str = "json", mode: str = "append") -> None:
     """Write text files, by default one per partition.
 

@@ -133,6 +133,16 @@ def grid_sizes(path: str) -> dict[str, int]:
     return {name: arrays[name].shape[0] for name in DIMENSIONS}
 
 
+def _cut(start: int, stop: int, size: int) -> list[tuple[int, int]]:
+    edges = [start, *range((start // size + 1) * size, stop, size), stop]
+    return [(a, b) for a, b in zip(edges, edges[1:]) if a < b]
+
+
+def feature_slices(path: str, size: int, start: int = 0, stop: int | None = None) -> list[tuple[int, int]]:
+    """Positions ``[start, stop)`` of the reach axis cut at multiples of ``size``, so that whole blocks stay whole."""
+    return _cut(*slice(start, stop).indices(grid_sizes(path)["feature_id"])[:2], size)
+
+
 def check_reaches(path: str, ids: list[int]) -> None:
     """Raises ``KeyError`` for reaches that the grid lacks; reads the reach coordinate and no cell."""
     axis = open_store(path)["feature_id"]
@@ -185,8 +195,7 @@ class ZarrGridReader(DataSourceReader):
 
         def cuts(dimension: str, size: int):
             start, stop = self._span(dimension)
-            edges = [start, *range((start // size + 1) * size, stop, size), stop]
-            return [(a, b) for a, b in zip(edges, edges[1:]) if a < b]
+            return _cut(start, stop, size)
 
         times = cuts("time", int(self.options.get("time_size", block["time"])))
         features = cuts("feature_id", int(self.options.get("feature_size", block["feature_id"])) * group)

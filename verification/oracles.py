@@ -435,6 +435,9 @@ ORACLES = {
     "SELECT 'first' AS run, * FROM runs WHERE feature_id % 3 = 1 UNION ALL SELECT 'second', * FROM runs",
     "indices_overwrite": _record_steps("daily_gappy")
     + "SELECT 'first' AS run, * FROM placed WHERE reach_id < 3 UNION ALL SELECT 'second', * FROM placed",
+    "run_commit_log": "WITH runs AS (SELECT 'first' AS run_id, user_id, value FROM events WHERE user_id % 5 = 0 "
+    "UNION ALL SELECT 'second', user_id, value FROM events WHERE user_id % 3 < 2) "
+    "SELECT run_id, user_id AS reach_id, count(*) AS hours, round(sum(CAST(CAST(value AS FLOAT) AS DOUBLE)), 1) AS total, CAST(1 AS BIGINT) AS records FROM runs GROUP BY 1, 2",
     "daily_csv": _with("daily_dense") + "SELECT reach_id, date, " + R6("streamflow", "streamflow") + " FROM src",
     "flood_season_first_date": _trim("daily_missing", *SEASON, FIRST_DATE, _flood())
     + "SELECT reach_id, start_date_flood_season, 'skip' AS mode FROM flood UNION ALL SELECT reach_id, start_date_flood_season, 'first_date' FROM first_date",

@@ -9,9 +9,11 @@ from freshet.functions import calendar
 from freshet.operators import baseflow, daily, duration_curve, flood, grid, ingest, monthly, selection, yearly
 from freshet.operators.sanitize import sanitize_records
 from freshet.operators.water_years import reach_status, trim_water_years
+from freshet.plans import job
 from freshet.plans.indices import indices_table
 from freshet.session import scratch_path
 from freshet.sources import sinks, tables, zarr
+from freshet.sources.runs import RunStore
 from verification import views
 from verification.zarr_files import write_grid
 
@@ -160,6 +162,28 @@ def indices_overwrite(spark, sf_dir):
     return runs[0].unionByName(runs[1])
 
 
+@query
+def run_commit_log(spark, sf_dir):
+    """Both tables of three runs: one repeated with fewer reaches, one added to, and attempts that never committed."""
+    root = scratch_path(spark, "store")
+    rows, reach = views.hourly(spark, sf_dir), F.col("feature_id")
+    for run_id, mode, kept in (
+        ("first", "append", reach % 2 == 0),
+        ("second", "append", reach % 3 == 0),
+        ("first", "overwrite", reach % 5 == 0),
+        ("second", "append", reach % 3 == 1),
+    ):
+        job.run_in_store(rows.where(kept), root, mode, run_id)
+    store = RunStore(spark, root)
+    for run_id in ("first", "third"):
+        sinks.stage_retrospective(ingest.retrospective(rows), store.attempt(run_id, "overwrite"))
+    snapshot = store.snapshot()
+    hours = sinks.retrospective_of(snapshot).groupBy("run_id", F.col("feature_id").alias("reach_id")).agg(
+        F.count("*").alias("hours"), F.round(F.sum(F.col("streamflow").cast("double")), 1).alias("total"))
+    records = sinks.indices_of(snapshot).groupBy("run_id", "reach_id").agg(F.count("*").alias("records"))
+    return hours.join(records, ["run_id", "reach_id"], "full")
+
+
 @query
 def daily_csv(spark, sf_dir):
     """Daily series, one file group per reach and with headers in different order."""
