@@ -25,6 +25,16 @@ def daily_means(hourly: DataFrame, value: str = "streamflow") -> DataFrame:
     )
 
 
+def daily_means_from_sums(sums: DataFrame, value: str = "streamflow") -> DataFrame:
+    """As ``daily_means``, from sums by reach and day that a grid reader made inside its blocks.
+
+    ``sums`` has ``feature_id, date, hours`` and the sum and number of the values, one row for each
+    reach, day and block (the reader's layout ``day_sums``); a day cut by blocks comes together here.
+    """
+    total, there, hours = F.sum(f"{value}_sum"), F.sum(f"{value}_count"), F.sum("hours")
+    return sums.groupBy(F.col("feature_id").alias("reach_id"), "date").agg(F.when(there == hours, total / there).alias("streamflow"))
+
+
 def first_rows(hourly: DataFrame, count: int, *tie_breakers: str) -> DataFrame:
     """The first ``count`` rows of every reach in time order.
 

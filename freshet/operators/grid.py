@@ -1,5 +1,9 @@
 """Chunked grids: one row per (time, feature) block, and its long form."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -81,6 +85,117 @@ def _dense(cells: Column, name: str, size: Column, kind) -> Column:
     return F.coalesce(filled, gap(size))
 
 
+def _lists(column: pa.ListArray, i: int) -> pa.Array:
+    return column.slice(i, 1).flatten()
+
+
+def _as_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _cells(rows: np.ndarray, columns: np.ndarray, width: int) -> np.ndarray:
+    """Places of a rectangle's cells in a row-major array of this width."""
+    return (rows[:, None] * width + columns).ravel()
+
+
+def _cut_chunks(names: list[str], source: tuple[int, int], target: tuple[int, int]):
+    """Cuts each chunk where the target's blocks end; ``t_at, f_at`` are a piece's places in its block."""
+
+    def spans(start: int, count: int, size: int):
+        while count:
+            length = min(size - start % size, count)
+            yield start // size, start % size, length
+            start, count = start + length, count - length
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                times, ids = _lists(batch.column("times"), i), _lists(batch.column("feature_ids"), i)
+                values = [_lists(batch.column(n), i) for n in names]
+                place = [batch.column(c)[i].as_py() for c in ("time_chunk", "feature_chunk")]
+                wrong = [n for n, v in zip(names, values, strict=True) if len(v) != len(times) * len(ids)]
+                if wrong:
+                    raise ValueError(f"broken chunk {place[0]}, {place[1]}: {', '.join(wrong)}")
+                t_low = 0
+                for t_chunk, t_at, t_count in spans(place[0] * source[0], len(times), target[0]):
+                    f_low = 0
+                    for f_chunk, f_at, f_count in spans(place[1] * source[1], len(ids), target[1]):
+                        taken = pa.array(_cells(np.arange(t_low, t_low + t_count), np.arange(f_low, f_low + f_count), len(ids)))
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                *[pa.array([n], pa.int64()) for n in (t_chunk, f_chunk, t_at, f_at)],
+                                _as_list(times.slice(t_low, t_count)),
+                                _as_list(ids.slice(f_low, f_count)),
+                                *[_as_list(v.take(taken)) for v in values],
+                            ],
+                            names=["time_chunk", "feature_chunk", "t_at", "f_at", "times", "feature_ids", *names],
+                        )
+                        f_low += f_count
+                    t_low += t_count
+
+    return cut
+
+
+def _joined_axis(pieces: pa.Table, at: str, coordinate: str) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+    """A block's coordinates from those of its pieces, and where each piece's lie among them."""
+    lists = pieces.column(coordinate).combine_chunks()
+    starts = pieces.column(at).to_numpy()
+    places = [start + np.arange(n) for start, n in zip(starts, lists.value_lengths().to_numpy(), strict=True)]
+    every, first = np.unique(np.concatenate(places), return_index=True)
+    return lists.flatten().take(pa.array(first)), every, places
+
+
+def _assemble(names: list[str]):
+    """One target chunk from its pieces; cells that no piece has are null."""
+
+    def join(pieces: pa.Table) -> pa.Table:
+        times, t_every, t_places = _joined_axis(pieces, "t_at", "times")
+        ids, f_every, f_places = _joined_axis(pieces, "f_at", "feature_ids")
+        cells = np.concatenate([
+            _cells(np.searchsorted(t_every, t), np.searchsorted(f_every, f), len(ids)) for t, f in zip(t_places, f_places, strict=True)
+        ])
+        if len(np.unique(cells)) < len(cells):
+            raise ValueError("repeated grid cell")
+        source = np.zeros(len(times) * len(ids), np.int64)
+        there = np.zeros(len(source), bool)
+        source[cells], there[cells] = np.arange(len(cells)), True
+        taken = pa.array(source, mask=~there)
+        columns = [pieces.column(c).slice(0, 1).combine_chunks() for c in ("time_chunk", "feature_chunk")]
+        columns += [_as_list(times), _as_list(ids)]
+        columns += [_as_list(pieces.column(n).combine_chunks().flatten().take(taken)) for n in names]
+        return pa.Table.from_arrays(columns, names=["time_chunk", "feature_chunk", "times", "feature_ids", *names])
+
+    return join
+
+
+def chunk_pieces(chunks: DataFrame, source: tuple[int, int], target: tuple[int, int]) -> DataFrame:
+    """What each chunk gives to each target block: one row a piece, narrow, no shuffle."""
+    names = _variables(chunks)
+    kind = lambda name: chunks.schema[name].dataType.simpleString()
+    lists = ", ".join(f"{n} {kind(n)}" for n in ("times", "feature_ids", *names))
+    columns = chunks.where(_has_cells()).select("time_chunk", "feature_chunk", "times", "feature_ids", *names)
+    places = "time_chunk long, feature_chunk long, t_at long, f_at long"
+    return columns.mapInArrow(_cut_chunks(names, source, target), f"{places}, {lists}")
+
+
+def rechunk(chunks: DataFrame, source: tuple[int, int], target: tuple[int, int] = (TIME_SIZE, FEATURE_SIZE)) -> DataFrame:
+    """Chunks of other sizes, made without their long form.
+
+    ``source`` and ``target`` are (time, feature) sizes. Every chunk is cut into the pieces that
+    the target's blocks need, the pieces are shuffled, and each block is assembled by their
+    offsets. So the shuffle moves one row a piece, and a task holds the pieces of one block.
+
+    A chunk without cells gives nothing. A broken chunk or a cell that two chunks have is an
+    error. Cells of a chunk that is not there are null, where other chunks tell their
+    coordinates; rows and columns that no chunk tells are left out.
+    """
+    names = _variables(chunks)
+    pieces = chunk_pieces(chunks, source, target)
+    kind = lambda name: pieces.schema[name].dataType.simpleString()
+    columns = ", ".join(f"{n} {kind(n)}" for n in ("time_chunk", "feature_chunk", "times", "feature_ids", *names))
+    return pieces.groupBy("time_chunk", "feature_chunk").applyInArrow(_assemble(names), columns)
+
+
 def split_chunks(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Usable chunks and broken ones.
 

@@ -7,10 +7,10 @@ from freshet.functions.missing import null_if_fill
 from freshet.schemas import FILL_VALUES, FLOW_VARIABLES, RETRO_SCHEMA
 
 
-def complete_columns(rows: DataFrame) -> DataFrame:
-    """Add missing model variables as null and project to the fixed column order."""
+def complete_columns(rows: DataFrame, *further: str) -> DataFrame:
+    """Add missing model variables as null and project to the fixed column order, ``further`` columns last."""
     missing = {name: F.lit(None).cast("double") for name in FLOW_VARIABLES if name not in rows.columns}
-    return rows.withColumns(missing).select(*RETRO_SCHEMA.names)
+    return rows.withColumns(missing).select(*RETRO_SCHEMA.names, *further)
 
 
 def fills_to_null(rows: DataFrame, fills: dict[str, float] = FILL_VALUES) -> DataFrame:
@@ -20,11 +20,11 @@ def fills_to_null(rows: DataFrame, fills: dict[str, float] = FILL_VALUES) -> Dat
     )
 
 
-def typed_retrospective(rows: DataFrame) -> DataFrame:
+def typed_retrospective(rows: DataFrame, *further: str) -> DataFrame:
     """Cast to the retrospective schema."""
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in RETRO_SCHEMA.fields])
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in RETRO_SCHEMA.fields], *further)
 
 
-def retrospective(rows: DataFrame) -> DataFrame:
-    """Complete, clean and type raw rows. Narrow throughout: no shuffle."""
-    return typed_retrospective(fills_to_null(complete_columns(rows)))
+def retrospective(rows: DataFrame, *further: str) -> DataFrame:
+    """Complete, clean and type raw rows; ``further`` columns go along. Narrow throughout: no shuffle."""
+    return typed_retrospective(fills_to_null(complete_columns(rows, *further)), *further)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from freshet.operators.daily import daily_means
 from freshet.operators.ingest import retrospective
-from freshet.operators.selection import select_positions, select_reaches
+from freshet.operators.selection import select_positions, select_reaches, select_reaches_in
 from freshet.plans.indices import indices_table
 from freshet.session import build_session
 from freshet.sources import sinks, tables, zarr
@@ -53,7 +53,10 @@ def run(
 
 
 def _stage(rows: DataFrame, attempt: Attempt, empty_year: str) -> None:
-    sinks.stage_retrospective(retrospective(rows), attempt)
+    """Both tables, and that of the broken blocks where the rows mark them, from one read of the input."""
+    sinks.stage_retrospective(retrospective(rows, *[c for c in rows.columns if c == zarr.MARK]), attempt)
+    if zarr.MARK in rows.columns:
+        sinks.stage_broken_blocks(attempt)
     written = sinks.staged_retrospective(attempt)
     sinks.stage_indices(indices_table(daily_means(written), empty_year), attempt)
 
@@ -96,7 +99,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--time-stop", type=int, default=None)
     parser.add_argument("--reaches", type=int, nargs="*", default=[])
     parser.add_argument("--on-missing", choices=["raise", "ignore"], default="raise", help="reaches that the input lacks")
-    parser.add_argument("--on-bad-block", choices=["raise", "skip"], default="raise", help="broken blocks of a grid")
+    parser.add_argument("--reach-table", default=None, help="Parquet table whose feature_id names the reaches")
+    parser.add_argument("--on-bad-block", choices=["raise", "skip", "mark"], default="raise",
+                        help="broken blocks of a grid; mark, with --store, lists them in the table broken_blocks")
     parser.add_argument("--empty-year", choices=["skip", "first_date"], default="skip", help="years without a flood season mean")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="further reader option")
     parser.add_argument("--retro-out", default=None, help="path or table name")
@@ -125,6 +130,10 @@ def main(argv: list[str] | None = None) -> str:
         raise ValueError("name --store, or both --retro-out and --indices-out")
     if args.slice_features and (args.store is None or args.run_id is None or args.format != "zarr_grid" or args.select == "reach_list"):
         raise ValueError("--slice-features needs --store, --run-id and a grid, and no reach list")
+    if args.on_bad_block == "mark" and args.store is None:
+        raise ValueError("--on-bad-block mark needs --store")
+    if args.reach_table and (args.select == "reach_list" or args.slice_features):
+        raise ValueError("--reach-table goes with neither a reach list nor --slice-features")
     if args.format == "zarr_grid":
         # A grid knows its positions: slices are cut from the block list.
         options["on_bad_block"] = args.on_bad_block
@@ -136,7 +145,12 @@ def main(argv: list[str] | None = None) -> str:
         read = lambda start, stop: read_input(spark, args.input, args.format, **options | {"feature_start": start, "feature_stop": stop})
         run_slices(spark, read, spans, args.store, args.run_id, args.mode, args.empty_year)
         return args.run_id
-    rows = read_input(spark, args.input, args.format, **options)
+    if args.reach_table and args.format == "zarr_grid":
+        rows = zarr.read_reaches_in(spark, args.input, spark.read.parquet(args.reach_table), on_missing=args.on_missing, **options)
+    else:
+        rows = read_input(spark, args.input, args.format, **options)
+        if args.reach_table:
+            rows = select_reaches_in(rows, spark.read.parquet(args.reach_table), on_missing=args.on_missing)
     if args.format != "zarr_grid":
         if (args.time_start, args.time_stop) != (0, None):
             rows = select_positions(rows, "time", args.time_start, args.time_stop)

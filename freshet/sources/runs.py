@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
-_ENTRY = "version long, kind string, run_id string, mode string, part string, attempts array<string>"
+_ENTRY = "version long, kind string, run_id string, mode string, part string, attempts array<struct<name: string, tables: array<string>>>"
 
 
 def _checked(run_id: str) -> str:
@@ -32,7 +32,7 @@ class Snapshot:
 
     def __init__(self, spark: SparkSession, root: str, entries: list):
         self._spark, self._root = spark, root
-        self.attempts: dict[str, list[str]] = {}
+        self.attempts: dict[str, list] = {}
         for entry in entries:
             if entry["kind"] == "run":
                 before = [] if entry["mode"] == "overwrite" else self.attempts.get(entry["run_id"], [])
@@ -45,7 +45,8 @@ class Snapshot:
     def read(self, table: str, schema: StructType, run_id: str | None = None) -> DataFrame:
         """Rows of one run or of all, with the column ``run_id``; ``schema`` has the table's own columns."""
         runs = self.runs if run_id is None else [run_id]
-        folders = [f"{self._root}/{table}/run_id={run}/attempt={a}" for run in runs for a in self.attempts.get(run, [])]
+        made = [(run, a["name"]) for run in runs for a in self.attempts.get(run, []) if table in a["tables"]]
+        folders = [f"{self._root}/{table}/run_id={run}/attempt={name}" for run, name in made]
         stored = StructType([*schema.fields]).add("run_id", "string")
         if not folders:
             return self._spark.createDataFrame([], stored)
@@ -60,13 +61,14 @@ class Attempt:
         if mode not in ("append", "overwrite"):
             raise ValueError(f"unknown mode {mode!r}")
         self.store, self.run_id, self.mode, self.part = store, _checked(run_id), mode, part
-        self.name = uuid.uuid4().hex
+        self.name, self.tables = uuid.uuid4().hex, []
 
     def _folder(self, table: str) -> str:
         return f"{self.store.root}/{table}/run_id={self.run_id}/attempt={self.name}"
 
     def write(self, table: str, frame: DataFrame, *partitions: str) -> None:
         frame.write.mode("error").partitionBy(*partitions).parquet(self._folder(table))
+        self.tables.append(table)
 
     def read(self, table: str, schema: StructType) -> DataFrame:
         """This attempt's own rows, which nobody else sees yet."""
@@ -74,7 +76,7 @@ class Attempt:
 
     def commit(self) -> None:
         """Make all tables of the attempt count, or note the part as finished."""
-        self.store._append("run" if self.part is None else "part", self.run_id, self.mode, self.part, [self.name])
+        self.store._append("run" if self.part is None else "part", self.run_id, self.mode, self.part, [(self.name, self.tables)])
 
 
 class RunStore:
@@ -99,18 +101,18 @@ class RunStore:
     def attempt(self, run_id: str, mode: str = "append", part: str | None = None) -> Attempt:
         return Attempt(self, run_id, mode, part)
 
-    def _append(self, kind: str, run_id: str, mode: str, part: str | None, attempts: list[str]) -> None:
+    def _append(self, kind: str, run_id: str, mode: str, part: str | None, attempts: list[tuple]) -> None:
         version = 1 + max((e["version"] for e in self.entries()), default=0)
         entry = self.spark.createDataFrame([(version, kind, run_id, mode, part, attempts)], _ENTRY)
         # One file, which its job commit renames into place: the entry is there whole or not.
         entry.coalesce(1).write.mode("append").json(f"{self.root}/_log")
 
-    def finished(self, run_id: str) -> dict[str, str]:
-        """Finished parts of the run that is under way, and the attempt that made each."""
-        parts: dict[str, str] = {}
+    def finished(self, run_id: str) -> dict[str, tuple]:
+        """Finished parts of the run that is under way, and the attempt and tables of each."""
+        parts: dict[str, tuple] = {}
         for entry in self.entries():
             if entry["run_id"] == run_id:
-                parts = {} if entry["kind"] == "run" else parts | {entry["part"]: entry["attempts"][0]}
+                parts = {} if entry["kind"] == "run" else parts | {entry["part"]: tuple(entry["attempts"][0])}
         return parts
 
     def run_parts(self, run_id: str, parts: Iterable[str], work: Callable[[Attempt, str], None], mode: str = "overwrite") -> list[str]:
@@ -129,7 +131,7 @@ class RunStore:
                 attempt = self.attempt(run_id, mode, part)
                 work(attempt, part)
                 attempt.commit()
-                known[part] = attempt.name
+                known[part] = (attempt.name, attempt.tables)
                 done.append(part)
         self._append("run", run_id, mode, None, [known[part] for part in parts])
         return done

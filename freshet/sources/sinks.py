@@ -14,6 +14,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from freshet.schemas import INDICES_SCHEMA, RETRO_SCHEMA
 from freshet.sources.runs import Attempt, Snapshot
+from freshet.sources.zarr import MARK, MARK_SCHEMA
 
 STORED_SCHEMA = StructType(
     [*RETRO_SCHEMA.fields, StructField("run_id", StringType()), StructField("year", IntegerType())]
@@ -21,7 +22,7 @@ STORED_SCHEMA = StructType(
 STORED_INDICES_SCHEMA = StructType([*INDICES_SCHEMA.fields, StructField("run_id", StringType())])
 
 
-def _shaped(frame: DataFrame, schema: StructType) -> DataFrame:
+def _shaped(frame: DataFrame, schema: StructType, *further: str) -> DataFrame:
     """Columns in schema order and type; a null in a required column is an error."""
     absent = [name for name in schema.names if name not in frame.columns]
     if absent:
@@ -33,7 +34,7 @@ def _shaped(frame: DataFrame, schema: StructType) -> DataFrame:
             error = F.raise_error(F.lit(f"{field.name} is required")).cast(field.dataType)
             value = F.when(value.isNull(), error).otherwise(value)
         out.append(value.alias(field.name))
-    return frame.select(*out)
+    return frame.select(*out, *further)
 
 
 def _is_path(target: str) -> bool:
@@ -76,7 +77,7 @@ def _read_run(spark: SparkSession, target: str, schema: StructType, run_id: str
 
 def write_retrospective(rows: DataFrame, target: str, mode: str = "append", run_id: str = "0") -> None:
     """Write hourly rows, partitioned by run and year; narrow, rows are written where they are."""
-    _write_run(_with_year(rows), target, mode, run_id, ["year"])
+    _write_run(_shaped(rows, RETRO_SCHEMA).withColumn("year", F.year("time")), target, mode, run_id, ["year"])
 
 
 def read_retrospective(spark: SparkSession, target: str, run_id: str | None = None) -> DataFrame:
@@ -94,17 +95,29 @@ def read_indices(spark: SparkSession, target: str, run_id: str | None = None) ->
     return _read_run(spark, target, STORED_INDICES_SCHEMA, run_id).select(*INDICES_SCHEMA.names)
 
 
-def _with_year(rows: DataFrame) -> DataFrame:
-    return _shaped(rows, RETRO_SCHEMA).withColumn("year", F.year("time"))
+#: Staged hours; a row that marks a broken block has no time and so stands in a partition of its own.
+_STAGED_SCHEMA = StructType([*RETRO_SCHEMA.fields]).add(MARK, MARK_SCHEMA).add("year", "integer")
 
 
 def stage_retrospective(rows: DataFrame, attempt: Attempt) -> None:
-    attempt.write("retrospective", _with_year(rows), "year")
+    """Hourly rows by year, and with them the marks of broken blocks if the rows have any."""
+    shaped = _shaped(rows, RETRO_SCHEMA, *[c for c in rows.columns if c == MARK])
+    attempt.write("retrospective", shaped.withColumn("year", F.year("time")), "year")
+
+
+def _hours(staged: DataFrame, *further: str) -> DataFrame:
+    return staged.where(F.col(MARK).isNull()).select(*RETRO_SCHEMA.names, *further)
 
 
 def staged_retrospective(attempt: Attempt) -> DataFrame:
     """Hourly rows of an attempt that is not committed yet."""
-    return attempt.read("retrospective", StructType([*RETRO_SCHEMA.fields]).add("year", "integer")).select(*RETRO_SCHEMA.names)
+    return _hours(attempt.read("retrospective", _STAGED_SCHEMA))
+
+
+def stage_broken_blocks(attempt: Attempt) -> None:
+    """The table of broken blocks, from the marks among the attempt's hourly rows."""
+    marks = attempt.read("retrospective", _STAGED_SCHEMA).where(F.col("year").isNull() & F.col(MARK).isNotNull())
+    attempt.write("broken_blocks", marks.select(f"{MARK}.*"))
 
 
 def stage_indices(records: DataFrame, attempt: Attempt) -> None:
@@ -113,7 +126,7 @@ def stage_indices(records: DataFrame, attempt: Attempt) -> None:
 
 def retrospective_of(snapshot: Snapshot, run_id: str | None = None) -> DataFrame:
     """Hourly rows of one run or of all, with ``run_id``."""
-    return snapshot.read("retrospective", StructType([*RETRO_SCHEMA.fields]).add("year", "integer"), run_id).drop("year")
+    return _hours(snapshot.read("retrospective", _STAGED_SCHEMA, run_id), "run_id")
 
 
 def indices_of(snapshot: Snapshot, run_id: str | None = None) -> DataFrame:
@@ -121,6 +134,11 @@ def indices_of(snapshot: Snapshot, run_id: str | None = None) -> DataFrame:
     return snapshot.read("indices", INDICES_SCHEMA, run_id)
 
 
+def broken_blocks_of(snapshot: Snapshot, run_id: str | None = None) -> DataFrame:
+    """Place and reason of the blocks that runs with marks could not read, with ``run_id``."""
+    return snapshot.read("broken_blocks", MARK_SCHEMA, run_id)
+
+
 def write_text(records: DataFrame, path: str, shards: int | None = None, fmt: str = "json", mode: str = "append") -> None:
     """Write text files, by default one per partition.
 

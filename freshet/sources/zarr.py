@@ -18,11 +18,13 @@ from datetime import datetime, timedelta, timezone
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
 )
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DateType, DoubleType, LongType, StructField, StructType, TimestampNTZType
 
 from freshet.sources.codecs import decoded_block
 
@@ -169,7 +171,12 @@ def _stored(value) -> int:
 class ZarrGridReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.arrays = open_store(options["path"])
-        self.names = [name for name in schema.names if name not in DIMENSIONS]
+        self.layout = _layout(options)
+        if self.layout == "rows":
+            self.names = [name for name in schema.names if name not in (*DIMENSIONS, MARK)]
+        else:
+            self.names = [] if self.layout == "axis" else _variables(self.arrays, options)
+        self.schema = schema
         self.options = options
         self.kept = []
 
@@ -188,21 +195,36 @@ class ZarrGridReader(DataSourceReader):
         start, stop, _ = bounds.indices(size)
         return start, max(start, stop)
 
-    def partitions(self):
-        first = self.arrays[self.names[0]]
-        block = dict(zip(first.dimensions, first.blocks))
-        group = int(self.options.get("blocks_per_task", 1))
+    def _sizes(self) -> dict[str, int]:
+        """Storage blocks of the variables along each dimension."""
+        first = self.arrays[(self.names or _variables(self.arrays, {}))[0]]
+        return dict(zip(first.dimensions, first.blocks))
 
-        def cuts(dimension: str, size: int):
-            start, stop = self._span(dimension)
-            return _cut(start, stop, size)
+    def _planned(self, dimension: str, span: tuple[int, int]) -> bool:
+        try:
+            return bool(self._wanted(dimension, self._coordinates(dimension, span)).any())
+        except Exception:
+            # Where broken blocks are no error their tasks tell about them.
+            if self.options.get("on_bad_block", "raise") == "raise":
+                raise
+            return True
 
-        times = cuts("time", int(self.options.get("time_size", block["time"])))
-        features = cuts("feature_id", int(self.options.get("feature_size", block["feature_id"])) * group)
+    def partitions(self):
+        if self.layout == "axis":
+            blocks = _cut(*self._span("feature_id"), self.arrays["feature_id"].blocks[0])
+            return [GridBlock((0, 0), f) for f in blocks] or [GridBlock((0, 0), (0, 0))]
+        block = self._sizes()
+        group = int(self.options.get("blocks_per_task", 1))
+        times = _cut(*self._span("time"), int(self.options.get("time_size", block["time"])))
+        features = _cut(*self._span("feature_id"), int(self.options.get("feature_size", block["feature_id"])) * group)
+        if "feature_blocks" in self.options:
+            wanted = _numbers(self.options["feature_blocks"])
+            size = block["feature_id"]
+            features = [(a, b) for a, b in features if any(n in wanted for n in range(a // size, -(-b // size)))]
         if self.kept:
             # Blocks without a wanted coordinate are never planned.
-            times = [t for t in times if self._wanted("time", self._coordinates("time", t)).any()]
-            features = [f for f in features if self._wanted("feature_id", self._coordinates("feature_id", f)).any()]
+            times = [t for t in times if self._planned("time", t)]
+            features = [f for f in features if self._planned("feature_id", f)]
         return [GridBlock(t, f) for t in times for f in features] or [GridBlock((0, 0), (0, 0))]
 
     def _coordinates(self, dimension: str, span: tuple[int, int]) -> np.ndarray:
@@ -230,62 +252,199 @@ class ZarrGridReader(DataSourceReader):
                 keep &= values <= value
         return keep
 
+    def _cells(self, partition: GridBlock):
+        """Reaches, times and the stored cells of each variable, times by reaches."""
+        ids = self._coordinates("feature_id", partition.features)
+        times = self._coordinates("time", partition.times)
+        keep, hours = self._wanted("feature_id", ids), np.flatnonzero(self._wanted("time", times))
+        if not keep.any() or not len(hours):
+            return None
+        ranges = {"time": partition.times, "feature_id": partition.features}
+        stored = []
+        for name in self.names:
+            array = self.arrays[name]
+            cells = array.read(*[ranges[d] for d in array.dimensions])
+            stored.append((cells if array.dimensions == DIMENSIONS else cells.T)[hours][:, keep])
+        return ids[keep], times[hours], stored
+
     def read(self, partition: GridBlock):
-        try:
+        if self.layout == "axis":
             ids = self._coordinates("feature_id", partition.features)
-            times = self._coordinates("time", partition.times)
-            keep, hours = self._wanted("feature_id", ids), np.flatnonzero(self._wanted("time", times))
-            if not keep.any() or not len(hours):
-                return
-            ids, times = ids[keep], times[hours]
-            ranges = {"time": partition.times, "feature_id": partition.features}
-            stored = []
-            for name in self.names:
-                array = self.arrays[name]
-                cells = array.read(*[ranges[d] for d in array.dimensions])
-                stored.append((cells if array.dimensions == DIMENSIONS else cells.T)[hours][:, keep])
-        except Exception:
-            if self.options.get("on_bad_block", "raise") != "skip":
+            positions = np.arange(*partition.features)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(positions)], names=["feature_id", "position"])
+            return
+        try:
+            cells = self._cells(partition)
+        except Exception as error:
+            handling = self.options.get("on_bad_block", "raise")
+            if handling == "mark":
+                yield self._mark(partition, error)
+            elif handling == "skip":
+                logging.getLogger(__name__).exception("block %s is left out", partition)
+            else:
                 raise
-            logging.getLogger(__name__).exception("block %s is left out", partition)
             return
+        if cells is None:
+            return
+        batches = {"rows": self._rows, "chunks": self._chunk, "day_sums": self._day_sums}[self.layout](partition, *cells)
+        for columns in batches:
+            if MARK in self.schema.names:
+                columns[MARK] = pa.nulls(len(columns["feature_id" if self.layout != "chunks" else "times"]), _MARK_TYPE)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    def _mark(self, partition: GridBlock, error: Exception) -> pa.RecordBatch:
+        """One row that tells the place of a broken block and the reason, all else null."""
+        place = dict(zip(("time_start", "time_stop", "feature_start", "feature_stop"), (*partition.times, *partition.features)))
+        mark = pa.array([place | {"reason": f"{type(error).__name__}: {error}"}], _MARK_TYPE)
+        kinds = to_arrow_schema(self.schema)
+        return pa.RecordBatch.from_arrays([mark if f.name == MARK else pa.nulls(1, f.type) for f in kinds], names=kinds.names)
+
+    def _rows(self, partition, ids, times, stored):
         step = max(1, ROWS_PER_BATCH // len(ids))
         for low in range(0, len(times), step):
             part = slice(low, low + step)
             count = len(times[part])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.tile(ids, count)),
-                    pa.array(np.repeat(times[part], len(ids)), pa.timestamp("us")),
-                    # Cells stay as stored until their stretch of times is sent.
-                    *[pa.array(self.arrays[n].decoded(v[part]).ravel(), from_pandas=True) for n, v in zip(self.names, stored)],
-                ],
-                names=["feature_id", "time", *self.names],
-            )
+            # Cells stay as stored until their stretch of times is sent.
+            yield {
+                "feature_id": pa.array(np.tile(ids, count)),
+                "time": pa.array(np.repeat(times[part], len(ids)), pa.timestamp("us")),
+                **{n: pa.array(self.arrays[n].decoded(v[part]).ravel(), from_pandas=True) for n, v in zip(self.names, stored)},
+            }
+
+    def _chunk(self, partition, ids, times, stored):
+        sizes = self._sizes()
+        lists = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+        yield {
+            "time_chunk": pa.array([partition.times[0] // int(self.options.get("time_size", sizes["time"]))]),
+            "feature_chunk": pa.array([partition.features[0] // int(self.options.get("feature_size", sizes["feature_id"]))]),
+            "times": lists(pa.array(times, pa.timestamp("us"))),
+            "feature_ids": lists(pa.array(ids)),
+            **{n: lists(pa.array(self.arrays[n].decoded(v).ravel(), from_pandas=True)) for n, v in zip(self.names, stored)},
+        }
+
+    def _day_sums(self, partition, ids, times, stored):
+        """Hours, and of each variable the sum and number of its values, by reach and UTC day."""
+        day, order = times // UNIT_MICROS["day"], np.argsort(times, kind="stable")
+        days, starts, hours = np.unique(day[order], return_index=True, return_counts=True)
+        columns = {
+            "feature_id": pa.array(np.tile(ids, len(days))),
+            "date": pa.array(np.repeat(days, len(ids)).astype(np.int32), pa.date32()),
+            "hours": pa.array(np.repeat(hours, len(ids))),
+        }
+        for name, cells in zip(self.names, stored):
+            values = self.arrays[name].decoded(cells)[order]
+            there = ~np.isnan(values)
+            columns[f"{name}_sum"] = pa.array(np.add.reduceat(np.where(there, values, 0.0), starts).ravel())
+            columns[f"{name}_count"] = pa.array(np.add.reduceat(there.astype(np.int64), starts).ravel())
+        yield columns
+
+
+#: What a reader with ``on_bad_block`` = ``mark`` adds to its rows: the place and reason of a broken block, else null.
+MARK = "broken_block"
+MARK_SCHEMA = StructType([StructField(f"{d}_{e}", LongType()) for d in ("time", "feature") for e in ("start", "stop")]).add("reason", "string")
+_MARK_TYPE = pa.struct([*[(f"{d}_{e}", pa.int64()) for d in ("time", "feature") for e in ("start", "stop")], ("reason", pa.string())])
+
+LAYOUTS = ("rows", "chunks", "day_sums", "axis")
+
+
+def _layout(options: dict) -> str:
+    layout = options.get("layout", "rows")
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}, there are {', '.join(LAYOUTS)}")
+    return layout
+
+
+def _variables(arrays: dict[str, GridArray], options: dict) -> list[str]:
+    if "variables" in options:
+        return [n.strip() for n in options["variables"].split(",")]
+    names = [n for n, a in arrays.items() if sorted(a.dimensions) == sorted(DIMENSIONS)]
+    if not names:
+        raise ValueError(f"no array of the store spans {' and '.join(DIMENSIONS)}")
+    return names
+
+
+def _ranges(numbers: list[int]) -> str:
+    """``0-3,7`` for 0, 1, 2, 3 and 7."""
+    out = []
+    for n in sorted(numbers):
+        if out and out[-1][1] == n - 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return ",".join(f"{a}-{b}" if a < b else str(a) for a, b in out)
+
+
+def _numbers(ranges: str) -> set[int]:
+    pairs = [part.partition("-") for part in ranges.split(",") if part]
+    return {n for first, dash, last in pairs for n in range(int(first), int(last if dash else first) + 1)}
 
 
 class ZarrGridSource(DataSource):
     """Options: ``feature_start/stop`` and ``time_start/stop`` (positions), ``variables``,
-    ``time_size``, ``feature_size``, ``blocks_per_task``, ``on_bad_block`` (raise or skip)."""
+    ``time_size``, ``feature_size``, ``blocks_per_task``, ``feature_blocks`` (numbers of the
+    storage blocks to read along the reaches, as ``0-3,7``), ``on_bad_block`` (``raise``,
+    ``skip``, or ``mark``: one row with the place and reason), and ``layout``: ``rows`` of one
+    cell each, ``chunks`` of one block each, ``day_sums`` of one reach and day of a block, or
+    ``axis``, the positions of the reaches without any variable."""
 
     @classmethod
     def name(cls):
         return "zarr_grid"
 
     def schema(self):
-        arrays = open_store(self.options["path"])
-        names = [n for n, a in arrays.items() if sorted(a.dimensions) == sorted(DIMENSIONS)]
-        if "variables" in self.options:
-            names = [n.strip() for n in self.options["variables"].split(",")]
-        return StructType(
-            [StructField("feature_id", LongType()), StructField("time", TimestampNTZType())]
-            + [StructField(n, DoubleType()) for n in names]
-        )
+        layout = _layout(self.options)
+        if layout == "axis":
+            return StructType([StructField("feature_id", LongType()), StructField("position", LongType())])
+        names = _variables(open_store(self.options["path"]), self.options)
+        reach, time = StructField("feature_id", LongType()), StructField("time", TimestampNTZType())
+        if layout == "rows":
+            fields = [reach, time, *[StructField(n, DoubleType()) for n in names]]
+        elif layout == "chunks":
+            fields = [StructField("time_chunk", LongType()), StructField("feature_chunk", LongType())]
+            fields += [StructField("times", ArrayType(time.dataType)), StructField("feature_ids", ArrayType(reach.dataType))]
+            fields += [StructField(n, ArrayType(DoubleType())) for n in names]
+        else:
+            fields = [reach, StructField("date", DateType()), StructField("hours", LongType())]
+            fields += [f for n in names for f in (StructField(f"{n}_sum", DoubleType()), StructField(f"{n}_count", LongType()))]
+        if self.options.get("on_bad_block") == "mark":
+            fields.append(StructField(MARK, MARK_SCHEMA))
+        return StructType(fields)
 
     def reader(self, schema):
         return ZarrGridReader(self.options, schema)
 
 
+def split_broken(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of a grid read with ``on_bad_block`` = ``mark``, and its broken blocks: place and reason.
+
+    Each of the two reads the grid; write the whole frame first where it is large.
+    """
+    return frame.where(F.col(MARK).isNull()).drop(MARK), frame.where(F.col(MARK).isNotNull()).select(f"{MARK}.*")
+
+
+def read_reaches_in(spark: SparkSession, path: str, reaches: DataFrame, key: str = "feature_id", on_missing: str = "raise", **options) -> DataFrame:
+    """The grid's rows of the reaches in a table of any size; blocks without any of them are not read.
+
+    Positions come from a join of the table with the grid's axis, read block by block. The driver
+    sees the numbers of the blocks to read, which the grid's own size bounds.
+    """
+    register(spark)
+    grid = spark.read.format("zarr_grid")
+    wanted = reaches.select(F.col(key).cast("long").alias("feature_id")).where(F.col("feature_id").isNotNull()).distinct()
+    axis = grid.option("layout", "axis").load(path)
+    if on_missing == "raise":
+        absent = wanted.join(axis, "feature_id", "left_anti").take(20)
+        if absent:
+            raise KeyError(f"reaches not in the data: {[r[0] for r in absent]}")
+    arrays = open_store(path)
+    first = arrays[_variables(arrays, options)[0]]
+    size = first.blocks[first.dimensions.index("feature_id")]
+    block = F.floor(F.col("position") / size).alias("block")
+    blocks = [r["block"] for r in axis.join(wanted, "feature_id", "left_semi").select(block).distinct().collect()]
+    rows = spark.read.format("zarr_grid").options(**options).option("feature_blocks", _ranges(blocks)).load(path)
+    return rows.join(wanted, "feature_id", "left_semi")
+
+
 def register(spark: SparkSession) -> None:
     """Make the format known and let filters on the coordinates reach it."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")

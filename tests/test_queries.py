@@ -17,6 +17,9 @@ VALUES = {
     "zero_year_probability_mixed": "probability",
     "chunk_roundtrip_small_blocks": "streamflow",
     "broken_chunks": "filled",
+    "daily_mean_from_blocks": "streamflow",
+    "rechunk_blocks": "streamflow",
+    "broken_blocks": "lost",
 }
 
 
@@ -29,6 +32,8 @@ def test_values_differ_between_rows(spark, name):
 def test_queries_with_missing_values_have_some(spark):
     assert any(r["flashiness"] is None for r in QUERIES["flashiness_yearly_missing"](spark, SF_DIR).collect())
     assert any(r["probability"] == 0 for r in QUERIES["zero_year_probability_mixed"](spark, SF_DIR).collect())
+    means = QUERIES["daily_mean_from_blocks"](spark, SF_DIR)
+    assert 0 < means.where("streamflow is null").count() < means.count()
     summary = QUERIES["grid_summary"](spark, SF_DIR).first()
     assert 0 < summary["streamflow_missing"] < 1 and 0 < summary["velocity_missing"] < 1
 

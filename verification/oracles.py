@@ -456,6 +456,25 @@ ORACLES = {
 }
 
 ORACLES["retrospective_table"] = ORACLES["retrospective_rows"]
+ORACLES["rechunk_blocks"] = ORACLES["chunk_roundtrip"].replace("SELECT feature_id, time, streamflow, velocity FROM grid", "SELECT size, feature_id, time, streamflow, velocity FROM (VALUES (100), (250)) AS sizes(size), grid")
+ORACLES["daily_mean_from_blocks"] = (
+    _with("coarse_cells", "grid AS (SELECT * FROM (SELECT DISTINCT feature_id FROM src), (SELECT DISTINCT time FROM src))")
+    + "SELECT feature_id AS reach_id, CAST(time AS DATE) AS date, "
+    + R6("CASE WHEN count(*) = count(streamflow) THEN avg(streamflow) END", "streamflow")
+    + " FROM grid LEFT JOIN src USING (feature_id, time) GROUP BY 1, 2"
+)
+ORACLES["reach_table_blocks"] = ORACLES["chunk_roundtrip"] + (
+    " WHERE feature_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_custkey % 20 = 3)"
+)
+ORACLES["broken_blocks"] = _with(
+    "cells",
+    "reaches AS (SELECT feature_id, (row_number() OVER (ORDER BY feature_id) - 1) // 10 AS part FROM (SELECT DISTINCT feature_id FROM src))",
+    "times AS (SELECT time, (row_number() OVER (ORDER BY time) - 1) // 168 AS stretch FROM (SELECT DISTINCT time FROM src))",
+    "bad AS (SELECT * FROM (VALUES (0, 3), (2, 5), (3, 7)) AS bad(stretch, part))",
+) + (
+    "SELECT part, count(*) FILTER (bad.stretch IS NULL) AS cells, CASE WHEN count(bad.stretch) > 0 THEN count(DISTINCT bad.stretch) END AS blocks, "
+    "CASE WHEN count(bad.stretch) > 0 THEN count(bad.stretch) END AS lost FROM (reaches CROSS JOIN times) AS grid LEFT JOIN bad USING (stretch, part) GROUP BY 1"
+)
 ORACLES["zarr_blosc_scan"] = ORACLES["chunk_roundtrip"].replace("streamflow, velocity FROM grid", "streamflow, round(velocity, 2) AS velocity FROM grid")
 ORACLES["zarr_scan"] = ORACLES["chunk_roundtrip"]
 ORACLES["indices_records_table"] = ORACLES["indices_record_long"]

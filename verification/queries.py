@@ -244,9 +244,62 @@ def zarr_blosc_scan(spark, sf_dir):
     return grid_rows.select("feature_id", "time", "streamflow", F.round("velocity", 2).alias("velocity"))
 
 
+def _grid(spark, sf_dir, time_size=168, feature_size=50, view=views.cells):
+    path = scratch_path(spark, "grid.zarr")
+    write_grid(view(spark, sf_dir), path, time_size, feature_size)
+    zarr.register(spark)
+    return path
+
+
+@query
+def daily_mean_from_blocks(spark, sf_dir):
+    """Day sums made inside the blocks; blocks of 100 hours cut days in two, missing hours poison theirs."""
+    path = _grid(spark, sf_dir, 100, 2, views.coarse_cells)
+    sums = spark.read.format("zarr_grid").option("layout", "day_sums").load(path)
+    return daily.daily_means_from_sums(sums).select("reach_id", "date", r6("streamflow"))
+
+
+@query
+def reach_table_blocks(spark, sf_dir):
+    """Reaches in a table, here every customer's with a balance and one in twenty; other blocks stay unread."""
+    path = _grid(spark, sf_dir, feature_size=7)
+    wanted = views.table(spark, sf_dir, "customer").where((F.col("c_acctbal") > 0) & (F.col("c_custkey") % 20 == 3))
+    return zarr.read_reaches_in(spark, path, wanted, key="c_custkey", on_missing="ignore")
+
+
+@query
+def broken_blocks(spark, sf_dir):
+    """A store with cut and undecodable blocks through the job: cells and broken blocks by reach of ten."""
+    path, root = _grid(spark, sf_dir, feature_size=10), scratch_path(spark, "store")
+    system, folder = zarr.file_system(path)
+    for name, block, content in (("streamflow", "0.3", b"not compressed"), ("velocity", "2.5", b""), ("streamflow", "3.7", b"x\x9c")):
+        with system.open_output_stream(f"{folder}/{name}/{block}", compression=None) as stream:
+            stream.write(content)
+    rows = spark.read.format("zarr_grid").option("on_bad_block", "mark").load(path)
+    job.run_in_store(rows, root, run_id="a")
+    snapshot = RunStore(spark, root).snapshot()
+    # Positions of the reaches, as the marks have them.
+    axis = spark.read.format("zarr_grid").option("layout", "axis").load(path)
+    cells = sinks.retrospective_of(snapshot).join(axis, "feature_id").groupBy(F.floor(F.col("position") / 10).alias("part"))
+    marks = sinks.broken_blocks_of(snapshot).groupBy(F.floor(F.col("feature_start") / 10).alias("part"))
+    lost = (F.col("time_stop") - F.col("time_start")) * (F.col("feature_stop") - F.col("feature_start"))
+    return cells.agg(F.count("*").alias("cells")).join(
+        marks.agg(F.count("*").alias("blocks"), F.sum(lost).alias("lost")), "part", "full")
+
+
 # Grid chunks.
 
 
+@query
+def rechunk_blocks(spark, sf_dir):
+    """Production blocks cut to two other sizes, the second from the first."""
+    chunks = grid.to_chunks(views.cells(spark, sf_dir))
+    fine = grid.rechunk(chunks, (grid.TIME_SIZE, grid.FEATURE_SIZE), (100, 37))
+    coarse = grid.rechunk(fine, (100, 37), (250, 64))
+    cells = [grid.flatten_chunks(c).select(F.lit(n).alias("size"), "*") for n, c in ((100, fine), (250, coarse))]
+    return cells[0].unionByName(cells[1])
+
+
 @query
 def chunk_roundtrip(spark, sf_dir):
     chunks = grid.to_chunks(views.cells(spark, sf_dir), time_size=168, feature_size=50)

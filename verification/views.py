@@ -28,6 +28,13 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def coarse_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five reaches, some of whose days have all hours and some not."""
+    rows = hourly(spark, sf_dir)
+    hour = F.date_trunc("hour", "time").cast("timestamp_ntz").alias("time")
+    return rows.groupBy((F.col("feature_id") % 5 + 1).alias("feature_id"), hour).agg(F.max("streamflow").alias("streamflow"))
+
+
 def cells_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells with small flows and large velocities missing."""
     kept = {"streamflow": F.col("streamflow") >= 20, "velocity": F.col("velocity") < 150}
@@ -110,6 +117,9 @@ SQL_VIEWS = {
         "SELECT user_id AS feature_id, date_trunc('hour', ts) AS time, "
         "max(value) AS streamflow, min(value) AS velocity FROM events GROUP BY 1, 2"
     ),
+    "coarse_cells": (
+        "SELECT user_id % 5 + 1 AS feature_id, date_trunc('hour', ts) AS time, max(value) AS streamflow FROM events GROUP BY 1, 2"
+    ),
     "daily_dense": _sql_daily("ascii(l_returnflag)"),
     "daily_gappy": _sql_daily("l_linenumber"),
     "daily_sparse": _sql_daily("l_suppkey"),
