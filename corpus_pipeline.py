@@ -9,9 +9,8 @@ from freshet.llm.common import materialized, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; those labelled good are compared with all labelled ones."""
-    labels = table(spark, sf_dir, "labels")
-    return quality.assess(docs, quality.trusted(labels), labelled_ids=quality.labelled(labels)).where("quality.kept").select("row.*")
+    """Rejected documents go; the target are those labelled good."""
+    return quality.assess(docs, quality.trusted(table(spark, sf_dir, "labels"))).where("quality.kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ def op2_packing(spark, sf_dir):
 @query
 def op3_quality(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
-    assessed = quality.assess(table(spark, sf_dir, "documents"), quality.trusted(labels), labelled_ids=quality.labelled(labels))
+    assessed = quality.assess(table(spark, sf_dir, "documents"), quality.trusted(labels))
     return assessed.select("row.doc_id", "quality.*")
 
 

@@ -11,16 +11,15 @@ Strings of more than one window hold a window once only, as its minimiser has on
 """
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.common import materialized, rows_of, utf8
+from freshet.llm.common import materialized, rows_of, shuffles_cleared, utf8
 
 WINDOW_WORDS = 20
 MINIMISER_WORDS = 3
@@ -346,18 +345,6 @@ def _repeats(window: int, limit: int):
     return search
 
 
-@contextmanager
-def _shuffles_cleared(spark: SparkSession):
-    """Shuffle files go with the query that wrote them, so that waves do not add up on disk."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def _flood_repeats(marks: DataFrame) -> DataFrame:
     """Repeats among single windows, first within a salt and then among the earliest of each."""
     order = F.struct(F.col("doc").isNotNull(), F.coalesce("doc", F.lit(0)), "start")
@@ -383,7 +370,7 @@ def repeated_spans(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_hash"), "text")
     hot = hot_minimisers(texts, window, minimiser, hot_share)
     found = None
-    with _shuffles_cleared(docs.sparkSession):
+    with shuffles_cleared(docs.sparkSession):
         for wave in range(waves):
             strings = texts.mapInArrow(_strings(window, minimiser, hot, wave, waves), _STRINGS)
             buckets = strings.repartition("key").sortWithinPartitions("key")

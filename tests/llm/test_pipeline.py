@@ -38,7 +38,7 @@ def tables(spark, tmp_path_factory):
 
 
 def brute(rows, items, labels):
-    scores = brute_scores([r[:2] for r in rows], {d for d, q, t in labels if q == 1 and not t})
+    scores = brute_scores([r[:3] for r in rows], {d for d, q, _ in labels if q == 1})
     rows = [r for r in rows if not base(r[1])[5] and scores[r[0]] >= quality.THRESHOLD]
     groups = brute_groups([plain_simhash(r[1]) for r in rows])
     rows = [min((r for r, g in zip(rows, groups) if g == group), key=lambda r: r[0]) for group in sorted(set(groups))]

@@ -2,6 +2,7 @@ import math
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -53,31 +54,47 @@ def corpus(spark):
 
 
 def brute_scores(rows, trusted, buckets=quality.BUCKETS, smoothing=quality.SMOOTHING):
-    def grams(text):
-        hashes = np.array([xxhash.xxh64_intdigest(w.encode()) for w in WORD.findall(text or "")], np.uint64)
-        return quality.ngram_buckets(hashes, buckets).tolist() if len(hashes) else []
-
-    corpus, target = Counter(), Counter()
-    for doc_id, text in rows:
-        corpus.update(grams(text))
-        if doc_id in trusted:
-            target.update(grams(text))
-    share = sum(target.values()) / max(1, sum(corpus.values()))
+    """Score of each of ``rows(doc_id, text, lang)`` by loops over all texts; ``trusted`` are doc_ids."""
+
+    def grams(text, lang):
+        found = [w.encode() for w in WORD.findall(text or "")]
+        hashes = [xxhash.xxh64_intdigest(w) for w in found]
+        left, right = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+        grams = list(hashes)
+        data = b" " + b" ".join(found) + b" "
+        grams += [(data[i] << 16 | data[i + 1] << 8 | data[i + 2] | 1 << 24) * right for i in range(len(data) - 2)] if found else []
+        language = 0 if lang is None else xxhash.xxh64_intdigest(lang.encode())
+        mixed = [g % 2**64 ^ language for g in grams]
+        return Counter(((g ^ g >> 31) * left % 2**64 >> 32) % buckets for g in mixed)
+
+    copies, praised = Counter(text for _, text, _ in rows), {text for doc_id, text, _ in rows if doc_id in trusted}
+    corpus, target, sums = Counter(), Counter(), Counter()
+    for _, text, lang in rows:
+        for g, n in grams(text, lang).items():
+            corpus[g] += Fraction(n, copies[text])
+            sums[lang, 0] += Fraction(n, copies[text])
+            if text in praised:
+                target[g] += Fraction(n, copies[text])
+                sums[lang, 1] += Fraction(n, copies[text])
     scores = {}
-    for doc_id, text in rows:
-        own = Counter(grams(text))
-        total = sum(
-            n * math.log((target[g] + smoothing * share) / (corpus[g] - n + smoothing) / share) for g, n in own.items()
-        ) if share else 0.0
-        scores[doc_id] = total / max(1, sum(own.values()))
+    for doc_id, text, lang in rows:
+        own = grams(text, lang)
+        size, good = own.total(), text in praised
+        all_others, all_trusted = sums[lang, 0] - size, sums[lang, 1] - size * good
+        if not size or all_others <= 0 or all_trusted <= 0:
+            scores[doc_id] = 0.0
+            continue
+        share = float(all_trusted / all_others)
+        ratio = lambda g, n: (max(target[g] - n * good, 0) + smoothing * share) / (max(corpus[g] - n, 0) + smoothing) / share
+        scores[doc_id] = sum(n * math.log(ratio(g, n)) for g, n in own.items()) / size
     return scores
 
 
 def test_scores_equal_brute_force_and_junk_goes(corpus):
     docs, labels = corpus
     ids = quality.trusted(labels)
-    rows = quality.assess(docs, ids).select("row.doc_id", "row.text", "quality.*").collect()
-    want = brute_scores([(r["doc_id"], r["text"]) for r in rows], {r["doc_id"] for r in ids.collect()})
+    rows = quality.assess(docs, ids).select("row.doc_id", "row.text", "row.lang", "quality.*").collect()
+    want = brute_scores([(r["doc_id"], r["text"], r["lang"]) for r in rows], {r["doc_id"] for r in ids.collect()})
     for r in rows:
         assert r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-9)
         assert r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD)
@@ -127,32 +144,59 @@ def kept_ids(frame):
 
 def test_clean_texts_stay_though_labels_do_not_cover_them(thinly_labelled):
     docs, labels = thinly_labelled
-    kept = kept_ids(quality.assess(docs, quality.trusted(labels), labelled_ids=quality.labelled(labels)))
+    kept = kept_ids(quality.assess(docs, quality.trusted(labels)))
     assert kept == {r["doc_id"] for r in docs.select("doc_id").collect() if r["doc_id"] >= 1000 or r["doc_id"] % 4} - set(range(4000, 4020))
 
 
-def test_query_and_stage_compare_with_labelled_texts(spark, thinly_labelled, tmp_path):
+def test_query_and_stage_are_the_operator_and_equal_brute_force(spark, thinly_labelled, tmp_path):
     from corpus_pipeline import quality_rules
     from freshet.llm.queries import op3_quality
 
     docs, labels = thinly_labelled
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
-    want = kept_ids(quality.assess(docs, quality.trusted(labels), labelled_ids=quality.labelled(labels)))
-    assert {r["doc_id"] for r in op3_quality(spark, str(tmp_path)).where("kept").collect()} == want
-    assert {r["doc_id"] for r in quality_rules(spark, docs, str(tmp_path)).collect()} == want
+    found = {r["doc_id"]: r for r in op3_quality(spark, str(tmp_path)).collect()}
+    trusted = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    want = brute_scores([(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()], trusted)
+    assert {d: r["score"] for d, r in found.items()} == pytest.approx(want, abs=1e-9)
+    kept = {d for d, r in found.items() if r["kept"]}
+    assert kept == {d for d, score in want.items() if score >= quality.THRESHOLD and not found[d]["base_failed"]}
+    assert {r["doc_id"] for r in quality_rules(spark, docs, str(tmp_path)).collect()} == kept
 
 
-def test_labelled_texts_count_once_and_not_for_themselves(spark, thinly_labelled, monkeypatch):
+def test_texts_count_once_and_not_for_themselves(spark, thinly_labelled, monkeypatch):
     docs, labels = thinly_labelled
-    ids, known = quality.trusted(labels), quality.labelled(labels)
-    scores = lambda frame: {r["doc_id"]: r["score"] for r in quality.assess(frame, ids, labelled_ids=known).select("row.doc_id", "quality.score").collect()}
+    ids = quality.trusted(labels)
+    scores = lambda frame: {r["doc_id"]: r["score"] for r in quality.assess(frame, ids).select("row.doc_id", "quality.score").collect()}
     want = scores(docs)
     copies = docs.where("doc_id in (0, 1, 7)").crossJoin(spark.range(70)).select((F.col("id") * 1000 + 9000 + F.col("doc_id")).alias("doc_id"), "text", "lang", "source", "n_chars")
     more = labels.where("doc_id in (0, 1, 7)").crossJoin(spark.range(70)).select((F.col("id") * 1000 + 9000 + F.col("doc_id")).alias("doc_id"), "quality", "toxic")
-    ids, known = (f(labels.unionByName(more)) for f in (quality.trusted, quality.labelled))
+    ids = quality.trusted(labels.unionByName(more))
     got = scores(docs.unionByName(copies))
-    assert all(got[i] == want[i] for i in want)
-    assert all(got[9000 + i] == want[i] for i in (0, 1, 7))
+    assert all(got[i] == pytest.approx(want[i], abs=1e-9) for i in want)
+    assert all(got[9000 + i] == got[i] for i in (0, 1, 7))
+    monkeypatch.setattr(quality, "BROADCAST_IDS", 0)
+    assert scores(docs.unionByName(copies)) == pytest.approx(got, abs=1e-12)
+
+
+def test_texts_are_shuffled_once_at_most(thinly_labelled, monkeypatch):
+    docs, labels = thinly_labelled
     monkeypatch.setattr(quality, "BROADCAST_IDS", 0)
-    assert scores(docs.unionByName(copies)) == got
+    docs.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quality.assess(docs, quality.trusted(labels))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        docs.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in plan and plan.count("Exchange hashpartitioning") == 2  # rows and marks
+    # Below the exchange of the rows there is the struct and its text's hash, and no text beside it.
+    (columns,) = {re.search(r"Project \[(.*)\]", line)[1] for line in plan.splitlines() if "Project" in line and " AS row" in line}
+    assert re.sub(r"(named_struct|struct)\(.*?\) AS row#\d+", "row", columns).count("text#") == 1
+
+
+def test_language_without_the_column_and_without_trust(spark, thinly_labelled):
+    docs, labels = thinly_labelled
+    plain = quality.assess(docs.drop("lang"), quality.trusted(labels)).select("row.doc_id", "quality.score").collect()
+    want = brute_scores([(r["doc_id"], r["text"], None) for r in docs.collect()], {r["doc_id"] for r in labels.where("quality = 1").collect()})
+    assert {r["doc_id"]: r["score"] for r in plain} == pytest.approx(want, abs=1e-9)
+    scores = {r["doc_id"]: r["score"] for r in quality.assess(docs, quality.trusted(labels)).select("row.doc_id", "quality.score").collect()}
+    assert all(scores[3000 + i] == 0 for i in range(90))
