@@ -476,5 +476,6 @@ ORACLES["broken_blocks"] = _with(
     "CASE WHEN count(bad.stretch) > 0 THEN count(bad.stretch) END AS lost FROM (reaches CROSS JOIN times) AS grid LEFT JOIN bad USING (stretch, part) GROUP BY 1"
 )
 ORACLES["zarr_blosc_scan"] = ORACLES["chunk_roundtrip"].replace("streamflow, velocity FROM grid", "streamflow, round(velocity, 2) AS velocity FROM grid")
+ORACLES["text_shards"] = ORACLES["text_records"]
 ORACLES["zarr_scan"] = ORACLES["chunk_roundtrip"]
 ORACLES["indices_records_table"] = ORACLES["indices_record_long"]

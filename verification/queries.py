@@ -14,6 +14,7 @@ from freshet.plans.indices import indices_table
 from freshet.session import scratch_path
 from freshet.sources import sinks, tables, zarr
 from freshet.sources.runs import RunStore
+from freshet.sources.text_shards import read_shards, write_shards
 from verification import views
 from verification.zarr_files import write_grid
 
@@ -210,6 +211,16 @@ def text_records(spark, sf_dir):
     return spark.read.schema(stats.schema).json(path)
 
 
+@query
+def text_shards(spark, sf_dir):
+    """Records in five named shards, first in seven, which the second write replaces."""
+    prefix = scratch_path(spark, "shards") + "/stats"
+    stats = monthly.monthwise_stats(trimmed(views.daily_gappy, spark, sf_dir))
+    write_shards(stats.limit(2), prefix, shards=7, suffix=".json")
+    write_shards(stats, prefix, shards=5, suffix=".json", mode="overwrite")
+    return read_shards(spark, prefix, ".json", stats.schema)
+
+
 @query
 def indices_records_table(spark, sf_dir):
     path = scratch_path(spark, "indices")
