@@ -9,8 +9,10 @@ Sources: Lyne and Hollick (1979), Eckhardt (2005), Brutsaert (2008), Xie et al.
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from freshet.operators import ALL_ROWS, by_reach, ROWS_SO_FAR, series_order
 
@@ -158,40 +160,52 @@ def _calibrated_maximum(flow: np.ndarray, recedes: np.ndarray, first: float, rec
     return float(grid[np.argmin(1 - fit * (1 - held_back / len(flow)))])
 
 
-def _baseflow_share(days: pd.DataFrame) -> pd.DataFrame:
-    days = days.sort_values("date")
-    flow = days["streamflow"].to_numpy(float)
-    recession = float(days["recession"].iloc[0])
-    index = np.nan
-    if np.isfinite(recession) and flow.sum() > 0:
-        recedes = days["recedes"].to_numpy(bool)
-        first = lyne_hollick_filter(flow)[0]
-        maximum = _calibrated_maximum(flow, recedes, first, recession)
-        index = eckhardt_filter(flow, first, recession, maximum).sum() / flow.sum()
-    return pd.DataFrame({"reach_id": days["reach_id"].iloc[:1], "baseflow_index": [index]})
+def baseflow_share(flow: np.ndarray, recedes: np.ndarray, recession: float) -> float | None:
+    """Baseflow over total flow of one reach's days in order; none without a recession constant or flow."""
+    if not np.isfinite(recession) or not flow.sum() > 0:
+        return None
+    first = lyne_hollick_filter(flow)[0]
+    maximum = _calibrated_maximum(flow, recedes, first, recession)
+    return eckhardt_filter(flow, first, recession, maximum).sum() / flow.sum()
 
 
-def baseflow_inputs(daily: DataFrame) -> DataFrame:
-    """Per day: flow, recession flag and the reach's recession constant.
+@F.arrow_udf(DoubleType())
+def _shares(series: pa.Array, recessions: pa.Array) -> pa.Array:
+    """The share of each reach, from its list of days and its recession constant."""
+    days, bounds = series.flatten(), np.cumsum([0, *series.value_lengths().fill_null(0).to_pylist()])
+    date = days.field("date").cast(pa.int32()).to_numpy()
+    flow, recedes = days.field("streamflow").to_numpy(), days.field("recedes").to_numpy(zero_copy_only=False)
+    out = []
+    for start, stop, recession in zip(bounds, bounds[1:], recessions.to_pylist()):
+        order = start + np.argsort(date[start:stop])
+        out.append(baseflow_share(flow[order], recedes[order], np.nan if recession is None else recession))
+    return pa.array(out, pa.float64())
 
-    The days travel as a list next to the constant, which spares a join.
-    """
+
+def baseflow_inputs(daily: DataFrame) -> DataFrame:
+    """Per reach: its days with flow and recession flag as one list, and its recession constant."""
     return (
         recession_spells(strict_baseflow(daily))
         .groupBy("reach_id")
         .agg(
             _recession_rates().alias("_rates"),
-            F.collect_list(F.struct("date", "streamflow", "recedes")).alias("_days"),
+            F.collect_list(F.struct("date", "streamflow", "recedes")).alias("days"),
         )
-        .select("reach_id", _recession("_rates").alias("recession"), F.inline("_days"))
+        .select("reach_id", "days", _recession("_rates").alias("recession"))
     )
 
 
+def with_baseflow_index(inputs: DataFrame) -> DataFrame:
+    """``baseflow_index`` in place of ``days`` and ``recession``; null where the constant cannot be found.
+
+    Arrow batches are bounded in bytes, by ``spark.sql.execution.arrow.maxBytesPerBatch``.
+    """
+    return inputs.withColumn("baseflow_index", _shares("days", "recession")).drop("days", "recession")
+
+
 def baseflow_index(daily: DataFrame) -> DataFrame:
     """Baseflow over total flow per reach; null where the constant cannot be found."""
-    return baseflow_inputs(daily).groupBy("reach_id").applyInPandas(
-        _baseflow_share, f"reach_id {daily.schema['reach_id'].dataType.simpleString()}, baseflow_index double"
-    )
+    return with_baseflow_index(baseflow_inputs(daily))
 
 
 def _filtered(daily: DataFrame, kernel) -> DataFrame:

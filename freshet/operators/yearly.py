@@ -192,9 +192,9 @@ def half_flow_summary() -> Column:
     return F.array(F.avg(day), F.try_divide(F.stddev_pop(day) * 100, F.avg(day)))
 
 
-def yearly_indices(trimmed: DataFrame, target: float = TARGET_PROBABILITY, periods=FLASHINESS_PERIODS) -> DataFrame:
-    """All indices that come from water years, one row per reach."""
-    reaches = water_year_frame(trimmed).groupBy("reach_id").agg(
+def yearly_aggregates(trimmed: DataFrame, target: float = TARGET_PROBABILITY, periods=FLASHINESS_PERIODS) -> DataFrame:
+    """What comes from water years, one row per reach; the seven-day quantile by its parameters, see ``with_seven_q10``."""
+    return water_year_frame(trimmed).groupBy("reach_id").agg(
         flashiness_by_period(periods).alias("flashiness_index"),
         F.avg(usable_minimum()).alias("mean_annual_7_day_min"),
         zero_adjusted_probability(target).alias("_p"),
@@ -206,6 +206,10 @@ def yearly_indices(trimmed: DataFrame, target: float = TARGET_PROBABILITY, perio
         mean_event_duration("high_days", "high_events").alias("duration_high_flow_event"),
         half_flow_summary().alias("half_flow_date"),
     )
+
+
+def with_seven_q10(reaches: DataFrame) -> DataFrame:
+    """``sevenQ10`` in place of its parameters; narrow, one Python value per reach."""
     known = F.col("skew_log").isNotNull()
     quantile = seven_q10(
         F.col("mean_log"), F.col("sd_log"), frequency_factor(F.col("_p"), F.col("skew_log")), F.col("_p")
@@ -213,3 +217,8 @@ def yearly_indices(trimmed: DataFrame, target: float = TARGET_PROBABILITY, perio
     return reaches.withColumn("sevenQ10", F.when(known, quantile)).drop(
         "_p", "n", "mean_log", "sd_log", "skew_log"
     )
+
+
+def yearly_indices(trimmed: DataFrame, target: float = TARGET_PROBABILITY, periods=FLASHINESS_PERIODS) -> DataFrame:
+    """All indices that come from water years, one row per reach."""
+    return with_seven_q10(yearly_aggregates(trimmed, target, periods))

@@ -3,12 +3,12 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.baseflow import baseflow_index
+from freshet.operators.baseflow import baseflow_inputs, with_baseflow_index
 from freshet.operators.duration_curve import months_and_curve
 from freshet.operators.flood import flood_season_start
 from freshet.operators.sanitize import sanitize_records
-from freshet.operators.water_years import reach_status, trim_water_years
-from freshet.operators.yearly import yearly_indices
+from freshet.operators.water_years import marked_status, reach_status, trim_water_years
+from freshet.operators.yearly import with_seven_q10, yearly_aggregates
 from freshet.schemas import FAILED_ARRAY_LENGTHS, INDICES_SCHEMA
 
 
@@ -24,15 +24,20 @@ def streamflow_indices(daily: DataFrame, empty_year: str = "skip") -> DataFrame:
         .where(F.col("reach_id").isNotNull())
         .repartition("reach_id")
     )
-    trimmed = trim_water_years(days)
-    record = reach_status(days)
-    for branch in (
-        yearly_indices(trimmed),
-        months_and_curve(trimmed),
-        flood_season_start(trimmed, empty_year),
-        baseflow_index(trimmed),
-    ):
-        record = record.join(branch, "reach_id", "left")
+    return _records(reach_status(days), trim_water_years(days), empty_year)
+
+
+def _records(status: DataFrame, trimmed: DataFrame, empty_year: str) -> DataFrame:
+    """One row per reach of all branches, hashed where they are: no shuffle and no sort.
+
+    Spark forgets the layout of what comes out of Python, so both kernels run after the
+    joins. The lists of days stream past the hashed rows and are never held.
+    """
+    record = status
+    for branch in (yearly_aggregates(trimmed), months_and_curve(trimmed), flood_season_start(trimmed, empty_year)):
+        record = record.join(branch.hint("shuffle_hash"), "reach_id", "left")
+    record = with_baseflow_index(baseflow_inputs(trimmed).join(record.hint("shuffle_hash"), "reach_id", "right"))
+    record = with_seven_q10(record)
 
     def value(field):
         nothing = F.lit(None)
@@ -43,6 +48,12 @@ def streamflow_indices(daily: DataFrame, empty_year: str = "skip") -> DataFrame:
     return record.select(F.col("reach_id"), *[value(f) for f in INDICES_SCHEMA.fields[1:]])
 
 
+def indices_of_store(stored: DataFrame, empty_year: str = "skip") -> DataFrame:
+    """As ``indices_table``, of a daily store: its buckets and their order spare all shuffles, and most sorts."""
+    trimmed = stored.where("kept").select("reach_id", "water_year", "date", "streamflow")
+    return sanitize_records(_records(marked_status(stored), trimmed, empty_year))
+
+
 def indices_table(daily: DataFrame, empty_year: str = "skip") -> DataFrame:
     """The records as they are written: missing scalars null, missing elements -99."""
     return sanitize_records(streamflow_indices(daily, empty_year))

@@ -477,5 +477,6 @@ ORACLES["broken_blocks"] = _with(
 )
 ORACLES["zarr_blosc_scan"] = ORACLES["chunk_roundtrip"].replace("streamflow, velocity FROM grid", "streamflow, round(velocity, 2) AS velocity FROM grid")
 ORACLES["text_shards"] = ORACLES["text_records"]
+ORACLES["indices_record_from_store"] = ORACLES["indices_record"]
 ORACLES["zarr_scan"] = ORACLES["chunk_roundtrip"]
 ORACLES["indices_records_table"] = ORACLES["indices_record_long"]

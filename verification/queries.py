@@ -10,9 +10,10 @@ from freshet.operators import baseflow, daily, duration_curve, flood, grid, inge
 from freshet.operators.sanitize import sanitize_records
 from freshet.operators.water_years import reach_status, trim_water_years
 from freshet.plans import job
-from freshet.plans.indices import indices_table
+from freshet.plans.indices import indices_of_store, indices_table
 from freshet.session import scratch_path
 from freshet.sources import sinks, tables, zarr
+from freshet.sources.daily_store import read_daily_store, write_daily_store
 from freshet.sources.runs import RunStore
 from freshet.sources.text_shards import read_shards, write_shards
 from verification import views
@@ -664,11 +665,8 @@ def _long_record(records: DataFrame) -> DataFrame:
     )
 
 
-@query
-def indices_record(spark, sf_dir):
+def _rounded_records(records):
     """One row per reach, with arrays as arrays; values at six digits."""
-    records = indices_table(views.daily_gappy(spark, sf_dir))
-
     def rounded(field):
         if field.dataType.typeName() == "array":
             return F.transform(field.name, lambda v: r6(v, "v")).alias(field.name)
@@ -677,6 +675,20 @@ def indices_record(spark, sf_dir):
     return records.select(*[rounded(f) for f in records.schema.fields])
 
 
+@query
+def indices_record(spark, sf_dir):
+    return _rounded_records(indices_table(views.daily_gappy(spark, sf_dir)))
+
+
+@query
+def indices_record_from_store(spark, sf_dir):
+    """The same records from a daily table that is laid out by reach."""
+    path = scratch_path(spark, "daily")
+    name = "daily_" + path.rsplit("-", 1)[1]
+    write_daily_store(views.daily_gappy(spark, sf_dir), name, 8, path)
+    return _rounded_records(indices_of_store(read_daily_store(spark, name)))
+
+
 @query
 def indices_record_long(spark, sf_dir):
     return _long_record(indices_table(views.daily_gappy(spark, sf_dir)))
