@@ -2,10 +2,13 @@
 
 Every DOM node gets a density: its characters per tag, adjusted by how many of both are
 links. A node's density sum adds those of its children. The threshold is the least density on
-the path from the node with the greatest sum up to the body; without an article all subtrees
-that reach it are the main text, and headings and paragraphs right below the body. Menus, forms,
-comments and the like, told by tag, role and class names, are taken out of the tree first, but
-not what holds the article or most of the text.
+the path from the node with the greatest sum up to the body. All articles with more text than
+links are the main text; without one all subtrees that reach the threshold, and headings and
+paragraphs right below the body. Menus, forms, comments and the like, told by tag, role and
+class names, are taken out of the tree first, but not what holds the article or most of the
+text; and names that speak of short or linked parts only count where the density agrees.
+
+All steps take time in proportion to the page, however deep or broken it is.
 """
 
 import math
@@ -28,8 +31,10 @@ ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dial
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo "
-    "promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "promotion related replies respond response responses share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Names of parts that have few words or many links; text that is as dense as the article is none of these.
+SPARSE_WORDS = frozenset("breadcrumb breadcrumbs header login masthead menu modal nav navbar navigation overlay pager pagination signup social toolbar widget".split())
 #: Names that may also say what a page's frame has beside the article, as in "with-sidebar".
 FRAME_WORDS = frozenset("ad ads banner footer header menu nav navbar sidebar".split())
 BLOCKS = frozenset(
@@ -51,7 +56,10 @@ CLOSED_BY = {
 }
 CLOSES_PARAGRAPH = BLOCKS - frozenset("body html td th tr tbody thead tfoot".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>?", re.DOTALL)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_TAG_PART = re.compile(r"[>\"']")
+#: Start tags of a page whose quotes hide their end up to the page's; from then on quotes hide nothing.
+_OPEN_QUOTES = 3
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
@@ -65,6 +73,7 @@ class Node:
     aside: bool = False
     framing: bool = False  # an aside by a word of FRAME_WORDS only
     loose: bool = False  # an aside that is a form, or by a word that is one of several in its name
+    sparse: bool = False  # an aside by words of SPARSE_WORDS only
     unseen: bool = False
     chars: int = 0
     tags: int = 0
@@ -104,67 +113,144 @@ def _make_node(tag: str, attributes: str, inside_article: bool) -> Node:
     if inside_article:
         words.discard("header")
     loose = bool(words) and not words & _names(attributes)
-    return Node(tag, aside=bool(words), framing=bool(words) and words <= FRAME_WORDS, loose=loose)
+    some = bool(words)
+    return Node(tag, aside=some, framing=some and words <= FRAME_WORDS, loose=loose, sparse=some and words <= SPARSE_WORDS)
+
+
+class _Scanner:
+    """Text and tags of a page, one after the other; every character is looked at a few times at most."""
+
+    def __init__(self, html: str):
+        self.html, self.at = html, 0
+        self.last_end = html.rfind(">")
+        self.open_quotes = 0
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends a start tag, past quoted values; -1 if there is none."""
+        html, start = self.html, at
+        while at <= self.last_end:
+            part = _TAG_PART.search(html, at)
+            if part is None:
+                break
+            if part[0] == ">":
+                return part.start()
+            closing = html.find(part[0], part.end()) if self.open_quotes < _OPEN_QUOTES else -1
+            at = closing + 1 if closing >= 0 else part.end()
+        else:
+            if start <= self.last_end:
+                self.open_quotes += 1
+                return html.find(">", start)
+        return -1
+
+    def tokens(self) -> Iterator[tuple[str, str, str]]:
+        """``text``, ``start`` with its attributes, or ``end``. ``raw`` may be called after a start tag."""
+        html, size = self.html, len(self.html)
+        text = 0  # where text not yet given begins
+        look = 0
+        while (at := html.find("<", look)) >= 0:
+            following = html[at + 1 : at + 2]
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                token, after = None, size if end < 0 else end + 3
+            elif name := _NAME.match(html, at + 1):
+                end = self._tag_end(name.end())
+                if end < 0:
+                    look = at + 1  # text
+                    continue
+                token, after = ("start", name[0].lower(), html[name.end() : end]), end + 1
+            elif following == "/" and (name := _NAME.match(html, at + 2)) and self.last_end >= name.end():
+                token, after = ("end", name[0].lower(), ""), html.find(">", name.end()) + 1
+            elif following and following in "!?/":
+                end = html.find(">", at)
+                token, after = None, size if end < 0 else end + 1
+            else:
+                look = at + 1  # a lone "<" is text
+                continue
+            if text < at:
+                yield "text", html[text:at], ""
+            self.at = after
+            if token:
+                yield token
+            text = look = self.at
+        if text < size:
+            yield "text", html[text:], ""
+
+    def raw(self, tag: str) -> str:
+        """All up to the end tag, whatever it looks like."""
+        final = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(self.html, self.at)
+        content = self.html[self.at : final.start() if final else len(self.html)]
+        self.at = final.end() if final else len(self.html)
+        return content
+
+
+class _Open:
+    """The open elements, with the places of each tag among them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.framing: list[int] = []  # open asides that an article would unmark
+
+    def push(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in BLOCKS:
+            self.blocks.append(at)
+        if node.aside and node.framing:
+            self.framing.append(at)
+
+    def close(self, until: int) -> None:
+        while len(self.nodes) > until:
+            tag = self.nodes.pop().tag
+            self.places[tag].pop()
+        for places in (self.blocks, self.framing):
+            while places and places[-1] >= until:
+                places.pop()
+
+    def last(self, names) -> int:
+        """Place of the innermost of some tags, 0 if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def has(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
 
 
 def parse(html: str) -> Node:
     """The element tree. Unclosed, stray and implied tags are handled as browsers mostly do."""
     root = Node("html")
-    stack, at, size = [root], 0, len(html)
-
-    def close(until: int) -> None:
-        del stack[until:]
-
-    def innermost(names, barrier) -> int | None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                return i
-            if stack[i].tag in barrier:
-                return None
-        return None
-
-    while at < size:
-        match, end = None, at
-        while match is None and (end := html.find("<", end)) >= 0:
-            match = _TOKEN.match(html, end)
-            end += match is None  # a lone "<" is text
-        text = html[at : end if match else size]
-        if text:
-            stack[-1].children.append(unescape(text) if "&" in text else text)
-        if match is None:
-            break
-        at = match.end()
-        if match[1]:
-            tag = match[1].lower()
-            if tag in ("html", "body") and any(n.tag == tag for n in stack):
+    stack, scanner = _Open(root), _Scanner(html)
+    for kind, tag, attributes in scanner.tokens():
+        if kind == "text":
+            stack.nodes[-1].children.append(unescape(tag) if "&" in tag else tag)
+        elif kind == "end":
+            at = stack.last((tag,))
+            # An inline end tag reaches no further than the block it stands in.
+            if at and tag not in ("html", "body") and (tag in BLOCKS or not stack.blocks or stack.blocks[-1] < at):
+                stack.close(at)
+        else:
+            if tag == "html" or (tag == "body" and stack.has(tag)):
                 continue
-            if tag == "body" or (tag in CLOSES_PARAGRAPH and stack[-1].tag == "head"):
-                close(1)
-            if tag in CLOSES_PARAGRAPH and (p := innermost(("p",), ("table", "td", "th", "button"))):
-                close(p)
+            if tag == "body" or (tag in CLOSES_PARAGRAPH and stack.nodes[-1].tag == "head"):
+                stack.close(1)
+            if tag in CLOSES_PARAGRAPH and (p := stack.last(("p",))) > stack.last(("table", "td", "th", "button")):
+                stack.close(p)
             if tag in CLOSED_BY:
                 names, barrier = (x.split() for x in CLOSED_BY[tag])
-                while (i := innermost(names, barrier)) is not None:
-                    close(i)
-            node = _make_node(tag, match[2], any(n.tag in ("article", "main") for n in stack))
+                while (at := stack.last(names)) > stack.last(barrier):
+                    stack.close(at)
+            node = _make_node(tag, attributes, stack.has("article") or stack.has("main"))
             if tag in ("article", "main") and not node.aside:
                 # What holds the article is no part beside it, whatever its name tells of.
-                for around in stack:
-                    around.aside = around.aside and not around.framing
-            stack[-1].children.append(node)
+                for at in stack.framing:
+                    stack.nodes[at].aside = False
+                stack.framing.clear()
+            stack.nodes[-1].children.append(node)
             if tag in RAW:
-                # Their content is text up to their end tag, whatever it looks like.
-                final = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
-                node.children.append(html[at : final.start() if final else size])
-                at = final.end() if final else size
-            elif tag not in VOID and not match[2].rstrip().endswith("/"):
-                stack.append(node)
-        elif match[3]:
-            tag = match[3].lower()
-            # An inline end tag reaches no further than the block it stands in.
-            barrier = () if tag in BLOCKS else BLOCKS
-            if tag not in ("html", "body") and (i := innermost((tag,), barrier)):
-                close(i)
+                node.children.append(scanner.raw(tag))
+            elif tag not in VOID and not attributes.rstrip().endswith("/"):
+                stack.push(node)
     return root
 
 
@@ -238,6 +324,7 @@ def measure(body: Node) -> list[Node]:
     """Counts characters and tags, then sets densities and density sums."""
     nodes = _post_order(body)
     for node in nodes:
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for child in node.children:
             if isinstance(child, str):
                 node.chars += sum(map(len, child.split()))
@@ -265,18 +352,59 @@ def _composite(node: Node, body_share: float) -> float:
     return node.chars / tags * max(0.0, math.log(node.chars * tags / (links * linked) + 1e-9)) / base
 
 
-def _content(body: Node) -> list[Node]:
-    nodes = measure(body)
+def _path(body: Node, nodes: list[Node]) -> list[Node]:
+    """From the node with the greatest density sum up to the body; of equal sums the first in post-order."""
     parents = {id(c): n for n in nodes for c in n.children if isinstance(c, Node)}
-    best = max(nodes, key=lambda n: n.density_sum)
-    if not best.density_sum:
-        return [body]
-    path = [best]
+    path = [max(nodes, key=lambda n: n.density_sum)]
     while path[-1] is not body:
         path.append(parents[id(path[-1])])
-    # An article is taken whole, for each of its parts may have the greatest sum.
-    around = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"]
-    return [around[-1]] if around else _dense(body, _with_siblings(path), path)
+    return path
+
+
+def _readmit(body: Node, threshold: float) -> bool:
+    """Unmarks asides of sparse names that are as dense as the main text and hold more text than links."""
+    found, waiting = False, [body]
+    while waiting:
+        node = waiting.pop()
+        if node.unseen or node.tag in UNSEEN:
+            continue
+        if node.aside:
+            if not node.sparse:
+                continue
+            node.aside = False
+            measure(node)
+            node.aside = not (node.density >= threshold and node.chars > 2 * node.link_chars)
+            found |= not node.aside
+            continue
+        waiting.extend(c for c in node.children if isinstance(c, Node))
+    return found
+
+
+def _outermost(body: Node, tag: str) -> list[Node]:
+    """Elements of a tag that stand in no other one, with more text than links, in page order."""
+    found, waiting = [], [body]
+    while waiting:
+        node = waiting.pop()
+        if node.aside or node.tag in UNSEEN:
+            continue
+        if node.tag == tag:
+            if node.chars > 2 * node.link_chars:
+                found.append(node)
+            continue
+        waiting.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    return found
+
+
+def _content(body: Node) -> list[Node]:
+    nodes = measure(body)
+    path = _path(body, nodes)
+    if path[0].density_sum and _readmit(body, min(n.density for n in path)):
+        nodes = measure(body)
+        path = _path(body, nodes)
+    # Articles are taken whole, for each of their parts may have the greatest sum.
+    if articles := _outermost(body, "article") or _outermost(body, "main"):
+        return articles
+    return _dense(body, _with_siblings(path), path) if path[0].density_sum else [body]
 
 
 def _dense(body: Node, found: Node, path: list[Node]) -> list[Node]:
@@ -339,7 +467,12 @@ def _blocks(content: Node) -> Iterator[str]:
 
 
 def main_text(html: str | None) -> str:
-    """The article's blocks, one a line; empty for null and for pages without text."""
+    """The main text's blocks, one a line, white space joined; empty for null and for pages without text.
+
+    Deep, long and broken pages are read whole. A start tag that never ends is text; where
+    quotes hide the end of tags up to the end of the page, they are not looked at. Of nodes
+    with equal density sums the first in post-order is the centre.
+    """
     if not html:
         return ""
     root = parse(html)
@@ -355,5 +488,5 @@ def _main_texts(pages: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def extracted(html: Column | str) -> Column:
-    """Main text of a page; never null."""
+    """Main text of a page; never null. See ``main_text``."""
     return _main_texts.asNondeterministic()(html)

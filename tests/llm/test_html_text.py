@@ -1,7 +1,12 @@
+import math
+import time
+
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from freshet.llm import html_text
 from freshet.llm.html_text import extracted, main_text, parse
 
 PARAGRAPHS = ["The first paragraph has quite a few words in it.", "The second one, too, says a good deal &amp; more.", "Short.", "A last &lt;p&gt; with caf&eacute; and&#32;&#x41;."]
@@ -85,3 +90,87 @@ def test_asides_beside_the_text_stay_asides():
         assert main_text(f"<body>{start}{BODY}{small}{end}{small}</body>") == "\n".join(TEXT)
     assert main_text(f"<body><article><p>{TEXT[0]}</p><div class=comments>{BODY * 3}</div></article><div class=related-posts>{BODY}</div></body>") == TEXT[0]
     assert main_text(f"<body><div hidden><article>{BODY}</article></div><p>{TEXT[0]}</p></body>") == TEXT[0]
+
+
+SENTENCES = "".join(f"<p>Sentence number {i} of the article has some words in it, more or less.</p>" for i in range(8))
+COMMENTS = "".join(f"<p>Reader comment {i} says this and that about it, at some length and then more.</p>" for i in range(24))
+
+
+def sentences(page):
+    text = main_text(page)
+    return text.count("Sentence"), text.count("Reader")
+
+
+def test_articles_come_first_and_all_of_them():
+    short = "<article><p>A short text of the article.</p></article>"
+    assert main_text(f"<body>{short}<div id='responses'>{COMMENTS}</div></body>") == "A short text of the article."
+    assert main_text(f"<body>{short}<div class=below>{COMMENTS}</div></body>") == "A short text of the article."
+    for around in ("", "main", "div"):
+        start, end = (f"<{around}>", f"</{around}>") if around else ("", "")
+        assert sentences(f"<body>{start}<article>{SENTENCES}</article><article>{SENTENCES}</article>{end}</body>") == (16, 0)
+    cards = "<article><a href=/x>Another article that one could read</a></article>" * 3
+    assert sentences(f"<body><article>{SENTENCES}</article>{cards}</body>") == (8, 0) and "Another" not in main_text(f"<body><article>{SENTENCES}</article>{cards}</body>")
+    assert sentences(f"<body><div>{SENTENCES}</div><div id=responses>{COMMENTS}</div></body>") == (8, 0)
+
+
+def test_density_decides_on_sparse_names():
+    for part in ("section id=login", "div class=menu-of-the-day", "div class=toolbar", "div id=header"):
+        end = part.split()[0]
+        assert sentences(f"<body><article>{SENTENCES}<{part}>{SENTENCES}</{end}></article></body>") == (16, 0), part
+        assert sentences(f"<body><div>{SENTENCES}<{part}>{SENTENCES}</{end}></div></body>") == (16, 0), part
+    login = "<div id=login><label>Name</label><input><label>Password</label><input><span>Go</span></div>"
+    menu = "<div class=menu><ul><li><a href=x>One part of the site</a><li><a href=y>Another part of it</a></ul></div>"
+    for start, end in (("<article>", "</article>"), ("<div>", "</div>")):
+        page = f"<body>{menu}{start}{login}{SENTENCES}{menu}{end}{login}</body>"
+        assert sentences(page) == (8, 0) and not any(w in main_text(page) for w in ("Password", "site"))
+
+
+def counted(node):
+    """Characters, tags, link characters and link tags below a node, by plain recursion."""
+    totals = [0, 0, 0, 0]
+    for child in node.children:
+        if isinstance(child, str):
+            totals[0] += len("".join(child.split()))
+        elif not child.aside and child.tag not in html_text.UNSEEN:
+            inner = counted(child)
+            totals = [a + b for a, b in zip(totals, [inner[0], inner[1] + 1, inner[2], inner[3] + (child.tag == "a")])]
+    if node.tag == "a":
+        totals[2] = totals[0]
+    return totals
+
+
+def brute_density(node, body):
+    chars, tags, link_chars, link_tags = counted(node)
+    all_chars, _, all_links, _ = counted(body)
+    if not chars:
+        return 0.0
+    t, lc, lt = max(1, tags), max(1, link_chars), max(1, link_tags)
+    share = all_links / all_chars if all_chars else 0.0
+    base = math.log(chars / max(1, chars - link_chars) * link_chars + share * chars + math.e)
+    return chars / t * max(0.0, math.log(chars / lc * t / lt + 1e-9)) / base
+
+
+PARTS = ["<p>", "</p>", "<div>", "</div>", "<a href='x'>", "</a>", "<li>", "<ul>", "</ul>", "<nav>", "</nav>", "<b>", "</b>", "some words here ", "x", "<script>y</script>", "<td>", "<br>"]
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=40).map("".join))
+def test_densities_equal_plain_recursion(html):
+    root = parse(html)
+    for node in html_text.measure(root):
+        inner = [c for c in node.children if not isinstance(c, str) and not c.aside and c.tag not in html_text.UNSEEN]
+        assert [node.chars, node.tags, node.link_chars, node.link_tags] == counted(node)
+        assert node.density == pytest.approx(brute_density(node, root), rel=1e-12, abs=1e-12)
+        assert node.density_sum == pytest.approx(sum(brute_density(c, root) for c in inner), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("part", ["<div>", "<a ", "<ul><li>x", "<article>", "<a x=\">\" ", "<span>x</b>", "<p>word ", "<div class=sidebar><article>x", "<table><tr><td>x", "<form><p>x</p>", "<div class=menu>x", "</", "<", "<b>x"])
+def test_a_megabyte_of_awkward_markup_takes_seconds(part):
+    page = part * (1_000_000 // len(part))
+    start = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - start < 10
+
+
+def test_quotes_that_hide_the_rest():
+    assert main_text("<p>one</p><a title=\"x>two</a><p>three</p>") == "one\ntwo\nthree"
+    assert main_text("<p>a</p><b x='>' y=\">\">bold</b> end") == "a\nbold end"
