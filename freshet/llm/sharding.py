@@ -70,11 +70,12 @@ def _nearest(edges: list[int], target: float) -> tuple[int, float]:
     return min(((i, abs(edges[i] - target)) for i in (right - 1, right) if 0 <= i < len(edges)), key=lambda x: (x[1], x[0]))
 
 
-def find_splitters(keys: DataFrame, shards: int, tolerance: float, cell_rows: int) -> tuple[Histogram, list[int]]:
+def find_splitters(keys: DataFrame, shards: int, tolerance: float, cell_rows: int) -> tuple[Histogram, list[tuple[int, int]], set[Cell]]:
     """Refines the histogram of ``keys(key1, key2, size)`` until the splitters are near their targets.
 
-    Gives the cells and, for each shard but the first, how many cells precede it. A cell that
-    only equal keys share is not refined further; its splitter goes to its nearer edge.
+    Gives the cells; for each shard but the first, how many cells precede it and how many rows
+    of the next one, which is 0 but in a cell of equal rows; and the cells of equal rows
+    that are too large for one task or hold a splitter.
     """
     histogram = Histogram(_counts(keys, 0))
     cell_rows = min(cell_rows, max(16, CELL_SHARE * sum(rows for _, rows, _ in histogram.cells.values())))
@@ -87,55 +88,109 @@ def find_splitters(keys: DataFrame, shards: int, tolerance: float, cell_rows: in
         for shard in range(1, shards):
             target = edges[-1] * shard / shards
             before, distance = _nearest(edges, target)
-            splitters.append(before)
+            splitters.append((before, 0))
             if distance > tolerance * edges[-1] / shards:
                 inside = before if edges[before] < target else before - 1
-                cell, at, rows, _ = ordered[inside]
+                cell, at, rows, size = ordered[inside]
                 if at == level and rows > 1:
                     wanted.add(cell)
+                    if at + 1 == len(LEVELS):
+                        # Equal rows have equal sizes.
+                        splitters[-1] = (inside, round((target - edges[inside]) * rows / size))
         if not wanted or level + 1 == len(LEVELS):
-            return histogram, splitters
+            return histogram, splitters, wanted
         histogram.refined[level] = sorted(wanted)
         for cell in wanted:
             del histogram.cells[cell]
         histogram.cells |= _counts(keys.where(_among(level, histogram.refined[level])), level + 1)
 
 
+def _segments(histogram: Histogram, splitters: list[tuple[int, int]], shards: int) -> list[tuple]:
+    """``level, a, b, first, rows, shard, base``: the rows of a cell from ``first`` on, their shard, and the slot of the first."""
+    out, shard_rows = [], [0] * shards
+    cuts: dict[int, list[int]] = {}
+    for cell, row in splitters:
+        cuts.setdefault(cell, []).append(row)
+    home = 0
+    for number, ((a, b), level, rows, _) in enumerate(histogram.ordered()):
+        edges = sorted(cuts.get(number, []))
+        first = 0
+        for end in [*edges, rows]:
+            if end > first:
+                out.append((level, a, b, first, end - first, home, shard_rows[home]))
+                shard_rows[home] += end - first
+                first = end
+            home += 1
+        home -= 1  # the last piece ends with the cell, not with a splitter
+    return out
+
+
+def _hashable(docs: DataFrame) -> list[Column]:
+    """All columns as something that can be hashed; maps, and what holds them, as JSON."""
+    named = lambda f: F.col(f"`{f.name}`")
+    return [F.to_json(F.struct(named(f))) if "map<" in f.dataType.simpleString() else named(f) for f in docs.schema]
+
+
 def shard(docs: DataFrame, shards: int = 24, tolerance: float = TOLERANCE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Puts every row of ``docs(doc_id, text)`` into one of ``shards`` of nearly equal bytes.
 
     Gives ``row`` (the input row as a struct), ``size`` (UTF-8 bytes of the text, null: none, plus
     8), ``shard`` and ``slot``, gapless from 0 and ascending in the sort order. Equal texts
-    are in one shard unless a splitter must part them to stay within the tolerance. Rows equal
-    in all columns have equal keys and stay together. An empty table gives no rows.
+    are in one shard unless a splitter must part them to stay within the tolerance; so are rows
+    equal in all columns, which a splitter may part as well. An empty table gives no rows.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    hashable = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    hashable = _hashable(docs)
     key = [F.shiftrightunsigned(x, 1) for x in (F.xxhash64("text"), F.xxhash64(*hashable))]
-    keyed = docs.select(row.alias("row"), _size(F.col("text")).alias("size"), key[0].alias("key1"), key[1].alias("key2"))
+    keyed = docs.select(row.alias("row"), _size(F.col("text")).alias("size"), key[0].alias("key1"), key[1].alias("key2"), F.xxhash64(F.lit(3), *hashable).alias("key3"))
     keys = materialized(keyed.select("key1", "key2", "size"), "shard-keys")
-    histogram, splitters = find_splitters(keys, shards, tolerance, cell_rows)
-
-    places, before, shard_rows = [], 0, [0] * shards
-    ordered = histogram.ordered()
-    for number, ((a, b), level, rows, _) in enumerate(ordered):
-        home = sum(1 for s in splitters if s <= number)
-        places.append((level, a, b, home, shard_rows[home]))
-        shard_rows[home] += rows
-    cells = docs.sparkSession.createDataFrame(places, "level int, a long, b long, shard int, base long")
-
-    level = F.lit(len(LEVELS) - 1)
-    for depth in reversed(range(len(LEVELS) - 1)):
+    histogram, splitters, equal = find_splitters(keys, shards, tolerance, cell_rows)
+    places = _segments(histogram, splitters, shards)
+    last = len(LEVELS) - 1
+    alone = [p for p in places if p[0] < last or p[1:3] not in equal]
+    columns = "level int, a long, b long, first long, rows long, shard int, base long"
+    cells = docs.sparkSession.createDataFrame(alone, columns).select("level", "a", "b", "shard", "base")
+
+    level = F.lit(last)
+    for depth in reversed(range(last)):
         refined = histogram.refined[depth]
         level = F.when(_among(depth, refined), level).otherwise(F.lit(depth)) if refined else F.lit(depth)
-    cell = _cell(len(LEVELS) - 1)
-    for depth in reversed(range(len(LEVELS) - 1)):
+    cell = _cell(last)
+    for depth in reversed(range(last)):
         cell = F.when(level == depth, _cell(depth)).otherwise(cell)
-    placed = keyed.withColumns({"level": level, "cell": cell}).select("row", "size", "key1", "key2", "level", "cell.a", "cell.b")
-    # One row per cell: bounded by the histogram, not by the data.
-    placed = placed.join(F.broadcast(cells), ["level", "a", "b"])
+    placed = keyed.withColumns({"level": level, "cell": cell}).select("row", "size", "key1", "key2", "key3", "level", "cell.a", "cell.b")
+    # One row per cell: bounded by the histogram, not by the data. Rows of equal cells find no partner.
+    single = placed.drop("key3").join(F.broadcast(cells), ["level", "a", "b"])
     order = Window.partitionBy("level", "a", "b").orderBy("key1", "key2")
-    return placed.select("row", "size", "shard", (F.col("base") + F.row_number().over(order) - 1).alias("slot"))
+    result = single.select("row", "size", "shard", (F.col("base") + F.row_number().over(order) - 1).alias("slot"))
+    if not equal:
+        return result
+    parts = _parts_of([p for p in places if p[0] == last and p[1:3] in equal], cell_rows)
+    return result.unionByName(_multiplied(placed.where((F.col("level") == last) & _among(last, sorted(equal))), docs.sparkSession.createDataFrame(parts, columns), len(parts)))
+
+
+def _parts_of(places: list[tuple], rows: int) -> list[tuple]:
+    """Segments of equal rows cut into parts of at most ``rows``."""
+    return [
+        (*place[:3], place[3] + at, min(rows, place[4] - at), place[5], place[6] + at) for place in places for at in range(0, place[4], rows)
+    ]
+
+
+def _multiplied(rows: DataFrame, parts: DataFrame, number: int) -> DataFrame:
+    """Equal rows by their parts: counted before their shuffle, and multiplied where the parts are dealt to.
+
+    A third hash parts rows of one cell that are not equal after all; their numbers follow each other.
+    """
+    groups = rows.groupBy("level", "a", "b", "key3").agg(F.first("row").alias("row"), F.first("size").alias("size"), F.count("*").alias("copies"))
+    order = Window.partitionBy("level", "a", "b").orderBy("key3")
+    groups = groups.withColumn("until", F.sum("copies").over(order)).withColumn("start", F.col("until") - F.col("copies"))
+    met = groups.join(F.broadcast(parts), ["level", "a", "b"]).withColumns(
+        {"low": F.greatest("start", "first"), "high": F.least("until", F.col("first") + F.col("rows")) - 1}
+    )
+    # By a number of its own, else adaptive execution merges the parts, which are small until they are multiplied.
+    dealt = met.where("low <= high").repartition(number, "a", "b", "first", "key3")
+    placed = dealt.withColumn("at", F.explode(F.sequence("low", "high")))
+    return placed.select("row", "size", "shard", (F.col("base") + F.col("at") - F.col("first")).alias("slot"))
 
 
 def _size(text: Column) -> Column:

@@ -70,9 +70,34 @@ def test_awkward_rows(docs, clashing, no_docs):
     assert zlib.crc32(b"") == 0
 
 
-def test_rows_equal_in_all_columns_stay_together(spark):
-    rows = sharding.shard(spark.createDataFrame([(1, "x", "en", "s", 1)] * 40, DOCS), 4).collect()
-    assert len({r["shard"] for r in rows}) == 1 and sorted(r["slot"] for r in rows) == list(range(40))
+@pytest.mark.parametrize(("wanted", "cell_rows"), [(24, 4_000_000), (24, 100), (7, 16)])
+def test_rows_equal_in_all_columns_are_split(spark, wanted, cell_rows):
+    """Half of the rows are one row; every shard still has its part, and no row is lost."""
+    rows = [(i, " ".join(words(i, 12)), "en", "s", 1) for i in range(3000)] + [(-1, "the same row again and again", "en", "s", 1)] * 3000
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    placed = sharding.shard(docs, wanted, cell_rows=cell_rows)
+    found = placed.select("row.*", "size", "shard", "slot").collect()
+    sizes = check_law(found, wanted)
+    total = sum(sizes)
+    assert max(abs(s - total / wanted) for s in sizes) <= 2 * max(r["size"] for r in found) + 2 * sharding.TOLERANCE * total / wanted
+    assert sorted(r["doc_id"] for r in found) == sorted(r[0] for r in rows)
+    assert all(r["size"] == 8 + len(r["text"]) for r in found)
+
+
+def test_equal_rows_travel_as_one(spark):
+    """The group is counted before its shuffle: its exchange takes one row a task, not one a copy."""
+    docs = spark.createDataFrame([(1, "x", "en", "s", 1)] * 4000, DOCS).repartition(4)
+    placed = sharding.shard(docs, 4, cell_rows=100)
+    assert {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()} == dict.fromkeys(range(4), 1000)
+    assert sorted(r["slot"] for r in placed.where("shard = 2").collect()) == list(range(1000))
+    assert placed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).filter(bool).count() > 1
+
+
+def test_rows_that_differ_in_a_map_only(spark):
+    docs = spark.createDataFrame([(1, "x", {"k": i % 3}) for i in range(300)], "doc_id long, text string, m map<string,int>")
+    rows = sharding.shard(docs, 5, cell_rows=16).select("row.m", "size", "shard", "slot").collect()
+    check_law(rows, 5)
+    assert sorted(r["m"]["k"] for r in rows) == sorted(i % 3 for i in range(300))
 
 
 def test_no_python_in_the_plan(docs, capsys):
