@@ -69,12 +69,22 @@ class _Chunks(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def _added_tokens(path: str) -> dict[str, int]:
+    """The file's added tokens, which the tokenizer finds in a text before all else."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    for token in added:
+        if any(token.get(flag) for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"added token {token['content']!r} takes its surroundings into account, which is not supported")
+    return {token["content"]: token["id"] for token in added}
+
+
 class CachedTokenizer:
     """Ids of whole texts by way of a cache of their space-separated chunks.
 
     For byte-level tokenisers that attach a space to the word after it. A chunk's ids do not
     depend on its neighbours if single spaces part it from them; texts with any other
-    spacing are cut only where that holds. Chunks not seen before are encoded by tiktoken with
+    spacing are cut only where that holds. The file's added tokens are cut out first. Chunks not seen before are encoded by tiktoken with
     the file's own vocabulary where its merges are in order of its ids, which gives the same
     ids several times as fast, and by tokenizers otherwise.
     """
@@ -93,19 +103,31 @@ class CachedTokenizer:
             tokenizer.encode_special_tokens = True
             encode = lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids
         self._ids = _Chunks(encode)
+        self._added = _added_tokens(path)
+        # The first alternative wins, so longer tokens come before their beginnings.
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cut_added = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        first, *others = text.split(" ")
+        try:
+            if first and (first[0].isspace() or first[-1].isspace()) or not first and others:
+                raise _UnsafeCut
+            return self._ids.pack(first) + b"".join(map(self._ids.__getitem__, others))
+        except _UnsafeCut:
+            first, *others = _SAFE_CUT.split(text)
+            return b"".join(map(self._ids.pack, [first, *map(" ".__add__, others)]))
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         for text in texts:
             if len(self._ids) > VOCABULARY_WORDS:
                 self._ids.clear()
-            first, *others = text.split(" ")
-            try:
-                if first and (first[0].isspace() or first[-1].isspace()) or not first and others:
-                    raise _UnsafeCut
-                data = self._ids.pack(first) + b"".join(map(self._ids.__getitem__, others))
-            except _UnsafeCut:
-                first, *others = _SAFE_CUT.split(text)
-                data = b"".join(map(self._ids.pack, [first, *map(" ".__add__, others)]))
+            if self._cut_added is not None and self._cut_added.search(text):
+                parts = self._cut_added.split(text)
+                data = b"".join(struct.pack("<I", self._added[p]) if i % 2 else self._plain(p) for i, p in enumerate(parts))
+            else:
+                data = self._plain(text)
             yield np.frombuffer(data, "<u4")
 
 

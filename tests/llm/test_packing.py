@@ -14,23 +14,19 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 @functools.cache
 def both():
-    whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
-    return whole, packing.CachedTokenizer(PATH)
+    return Tokenizer.from_file(PATH), packing.CachedTokenizer(PATH)
 
 
 @given(st.lists(st.text(alphabet=" \n\t\r\x0b\x1c\x85  ab'sé1,.<|>漢"), max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_cached_tokenizer_equals_the_tokenizer(texts):
     whole, cached = both()
-    texts = [*texts, "two  spaces", " lead", "trail ", "<|endoftext|> x", "it's we'll don't", "a \n b"]
+    texts = [*texts, "two  spaces", " lead", "trail ", "<|endoftext|> x", "a<|endoftext|><|endoftext|> b <|endoftext|>", "<|endoftext|>", " <|endoftext|", "it's we'll don't", "a \n b"]
     got = [ids.tolist() for ids in cached.encode(texts)]
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
