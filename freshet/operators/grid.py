@@ -7,8 +7,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from freshet.operators.selection import dense_positions
+from freshet.operators.selection import dense_axis
 from freshet.schemas import FLOW_VARIABLES
+from freshet.session import scratch_path
 
 # Block size of the production run.
 TIME_SIZE, FEATURE_SIZE = 672, 2000
@@ -34,10 +35,17 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
     """
     names = _variables(rows)
     placed = lambda name: F.coalesce(F.col(name), F.raise_error(F.lit(f"grid cell without {name}")).cast(rows.schema[name].dataType))
-    rows = rows.select(placed("time").alias("time"), placed("feature_id").alias("feature_id"), *names)
-    times = dense_positions(rows, "time").withColumnRenamed("position", "_t")
-    features = dense_positions(rows, "feature_id").withColumnRenamed("position", "_f")
-    time_count, feature_count = times.count(), features.count()
+    once = lambda name: F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("repeated grid cell"))).otherwise(
+        F.first(name)
+    )
+    located = rows.select(placed("time").alias("time"), placed("feature_id").alias("feature_id"), *names)
+    # The input is read once, whatever it costs; both axes and the blocks come from its cells.
+    path = scratch_path(rows.sparkSession, "cells")
+    located.groupBy("time", "feature_id").agg(*[once(name).alias(name) for name in names]).write.parquet(path)
+    cells = rows.sparkSession.read.schema(located.schema).parquet(path)
+    times, time_count = dense_axis(cells, "time")
+    features, feature_count = dense_axis(cells, "feature_id")
+    times, features = times.withColumnRenamed("position", "_t"), features.withColumnRenamed("position", "_f")
 
     def sized(axis: DataFrame, count: int) -> DataFrame:
         return F.broadcast(axis) if count <= BROADCAST_COORDINATES else axis
@@ -45,10 +53,6 @@ def to_chunks(rows: DataFrame, time_size: int = TIME_SIZE, feature_size: int = F
     by_time = lambda axis: sized(axis, time_count)
     by_feature = lambda axis: sized(axis, feature_count)
 
-    once = lambda name: F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("repeated grid cell"))).otherwise(
-        F.first(name)
-    )
-    cells = rows.groupBy("time", "feature_id").agg(*[once(name).alias(name) for name in names])
     t, f = F.floor(F.col("_t") / time_size), F.floor(F.col("_f") / feature_size)
     width = F.least(F.lit(feature_size), F.lit(feature_count) - f * feature_size)
     index = (F.col("_t") % time_size * width + F.col("_f") % feature_size).cast("int")

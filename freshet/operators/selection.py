@@ -32,12 +32,17 @@ def select_reaches_in(rows: DataFrame, reaches: DataFrame, key: str = "feature_i
     """
     ids = reaches.select(key).distinct()
     if on_missing == "raise":
-        absent = ids.join(rows.select(key).distinct(), key, "left_anti").take(20)
+        absent = absent_reaches(rows, ids, key).take(20)
         if absent:
             raise KeyError(f"reaches not in the data: {[r[0] for r in absent]}")
     return rows.join(ids, key, "left_semi")
 
 
+def absent_reaches(rows: DataFrame, reaches: DataFrame, key: str = "feature_id") -> DataFrame:
+    """The wanted ids that no row has, each once; both sides combine before they meet."""
+    return reaches.select(key).where(F.col(key).isNotNull()).distinct().join(rows.select(key).distinct(), key, "left_anti")
+
+
 def _is_time(frame: DataFrame, column: str) -> bool:
     return isinstance(frame.schema[column].dataType, (TimestampType, TimestampNTZType))
 
@@ -136,8 +141,8 @@ def select(rows: DataFrame, mode: str | None, *, ids: list[int] | None = None, s
     raise ValueError(f"unknown selection mode {mode!r}")
 
 
-def dense_positions(frame: DataFrame, column: str) -> DataFrame:
-    """Each distinct value of a column with its 0-based position in ascending order.
+def dense_axis(frame: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """Each distinct value of a column with its 0-based position in ascending order, and their number.
 
     Values are range-partitioned and sorted; a checkpoint pins that layout, so that
     positions stay the same when tasks are repeated. Only one count per partition is
@@ -157,4 +162,9 @@ def dense_positions(frame: DataFrame, column: str) -> DataFrame:
         starts.append(total)
         total += sizes.get(part, 0)
     start = F.get(F.expr(f"array({', '.join(f'{s}L' for s in starts)})"), F.col("_part").cast("int"))
-    return placed.select(column, (start + F.col("_row")).alias("position"))
+    return placed.select(column, (start + F.col("_row")).alias("position")), total
+
+
+def dense_positions(frame: DataFrame, column: str) -> DataFrame:
+    """Each distinct value of a column with its 0-based position in ascending order."""
+    return dense_axis(frame, column)[0]

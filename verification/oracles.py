@@ -476,6 +476,18 @@ ORACLES["broken_blocks"] = _with(
     "CASE WHEN count(bad.stretch) > 0 THEN count(bad.stretch) END AS lost FROM (reaches CROSS JOIN times) AS grid LEFT JOIN bad USING (stretch, part) GROUP BY 1"
 )
 ORACLES["zarr_blosc_scan"] = ORACLES["chunk_roundtrip"].replace("streamflow, velocity FROM grid", "streamflow, round(velocity, 2) AS velocity FROM grid")
+ORACLES["daily_mean_unnamed"] = (
+    _with("hourly_some_unnamed") + "SELECT feature_id AS reach_id, CAST(time AS DATE) AS date, " + R6("avg(streamflow)", "streamflow") + " FROM src GROUP BY 1, 2"
+)
+ORACLES["memory_rows"] = (
+    "SELECT user_id AS feature_id, ts AS time, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS streamflow, CAST(NULL AS DOUBLE) AS velocity "
+    "FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) <= 5"
+)
+ORACLES["reach_table_absent"] = "SELECT c_custkey AS feature_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)"
+ORACLES["chunk_roundtrip_with_empty"] = ORACLES["chunk_roundtrip"]
+ORACLES["job_tables"] = (
+    _record_steps("daily_single") + "SELECT placed.*, hours FROM placed JOIN (SELECT reach_id, count(*) AS hours FROM src GROUP BY 1) USING (reach_id)"
+)
 ORACLES["text_shards"] = ORACLES["text_records"]
 ORACLES["indices_record_from_store"] = ORACLES["indices_record"]
 ORACLES["zarr_scan"] = ORACLES["chunk_roundtrip"]

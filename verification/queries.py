@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.functions import calendar
@@ -63,6 +63,21 @@ def daily_mean_with_missing(spark, sf_dir):
     return daily.daily_means(ingest.fills_to_null(marked)).select("reach_id", "date", r6("streamflow"))
 
 
+@query
+def daily_mean_unnamed(spark, sf_dir):
+    """Rows without a reach id form one series of their own."""
+    return daily.daily_means(views.hourly_some_unnamed(spark, sf_dir)).select("reach_id", "date", r6("streamflow"))
+
+
+@query
+def memory_rows(spark, sf_dir):
+    """Row dicts of a short report, the five highest flows of each kind of event, as a frame with absent fields null."""
+    best = Window.partitionBy("event_type").orderBy(F.desc("value"), "event_id")
+    top = views.table(spark, sf_dir, "events").withColumn("place", F.row_number().over(best)).where("place <= 5")
+    records = [{"feature_id": r["user_id"], "time": r["ts"], "streamflow": r["value"]} for r in top.collect()]
+    return _four_digits(tables.from_records(spark, records)).select("feature_id", "time", "streamflow", "velocity")
+
+
 def _raw_rows(spark, sf_dir):
     value = F.col("value")
     return views.table(spark, sf_dir, "events").select(
@@ -107,6 +122,13 @@ def reach_table_select(spark, sf_dir):
     return selection.select_reaches_in(views.hourly(spark, sf_dir), ids, on_missing="ignore")
 
 
+@query
+def reach_table_absent(spark, sf_dir):
+    """Customers that are no reach of the hourly rows."""
+    wanted = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("feature_id"))
+    return selection.absent_reaches(views.hourly(spark, sf_dir), wanted)
+
+
 @query
 def reach_slice_select(spark, sf_dir):
     return selection.select(views.hourly(spark, sf_dir), "slice", start=5)
@@ -164,6 +186,18 @@ def indices_overwrite(spark, sf_dir):
     return runs[0].unionByName(runs[1])
 
 
+@query
+def job_tables(spark, sf_dir):
+    """The whole job from rows at midnight to both tables; its records, and the hours of each reach beside them."""
+    retro, indices = scratch_path(spark, "retro"), scratch_path(spark, "indices")
+    days = views.daily_gappy(spark, sf_dir)
+    rows = days.select(F.col("reach_id").alias("feature_id"), F.col("date").cast("timestamp_ntz").alias("time"), "streamflow")
+    run_id = job.run(rows, retro, indices)
+    hours = sinks.read_retrospective(spark, retro, run_id).groupBy("feature_id").agg(F.count("*").alias("hours"))
+    records = _long_record(sinks.read_indices(spark, indices, run_id))
+    return records.join(hours, records["reach_id"] == hours["feature_id"]).drop("feature_id")
+
+
 @query
 def run_commit_log(spark, sf_dir):
     """Both tables of three runs: one repeated with fewer reaches, one added to, and attempts that never committed."""
@@ -332,6 +366,17 @@ def chunk_roundtrip_large_blocks(spark, sf_dir):
     return _sparse_roundtrip(spark, sf_dir, 300, 40)
 
 
+@query
+def chunk_roundtrip_with_empty(spark, sf_dir):
+    """Chunks without times or without reaches among the others give no rows and no error."""
+    chunks = grid.to_chunks(views.cells(spark, sf_dir), time_size=168, feature_size=50)
+    none = lambda *names: {n: F.slice(n, 1, 0) for n in names}
+    lists = ("streamflow", "velocity")
+    timeless = chunks.withColumns(none("times", *lists))
+    bare = chunks.withColumns(none("feature_ids", *lists))
+    return grid.flatten_chunks(chunks.unionByName(timeless).unionByName(bare))
+
+
 @query
 def broken_chunks(spark, sf_dir):
     """Chunks of every other block row broken: the good cells, and the broken chunks as rows without cells."""

@@ -28,6 +28,11 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hourly_some_unnamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh reach without its id."""
+    return hourly(spark, sf_dir).withColumn("feature_id", F.when(F.col("feature_id") % 7 != 0, F.col("feature_id")))
+
+
 def coarse_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five reaches, some of whose days have all hours and some not."""
     rows = hourly(spark, sf_dir)
@@ -117,6 +122,11 @@ SQL_VIEWS = {
         "SELECT user_id AS feature_id, date_trunc('hour', ts) AS time, "
         "max(value) AS streamflow, min(value) AS velocity FROM events GROUP BY 1, 2"
     ),
+    "hourly_some_unnamed": "SELECT CASE WHEN user_id % 7 <> 0 THEN user_id END AS feature_id, ts AS time, value AS streamflow FROM events",
+    "daily_single": (
+        "SELECT reach_id, date, CAST(CAST(streamflow AS FLOAT) AS DOUBLE) AS streamflow FROM "
+        f"({_sql_daily('l_linenumber')})"
+    ),
     "coarse_cells": (
         "SELECT user_id % 5 + 1 AS feature_id, date_trunc('hour', ts) AS time, max(value) AS streamflow FROM events GROUP BY 1, 2"
     ),
