@@ -153,13 +153,15 @@ ORACLES: dict[str, str] = {
             SELECT 'b', item_id, regexp_extract_all(
                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')
             FROM benchmark),
+        widths AS (SELECT DISTINCT least(len(w), 5) AS width FROM words WHERE side = 'b' AND len(w) > 0),
         places AS (
-            SELECT side, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0),
-        shingles AS (SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+            SELECT side, id, w, width, unnest(range(1, len(w) - width + 2)) AS i FROM words, widths
+            WHERE len(w) >= width AND (side = 'd' OR width = least(len(w), 5))),
+        shingles AS (SELECT DISTINCT side, id, width, array_to_string(w[i:i + width - 1], ' ') AS s FROM places),
         sizes AS (SELECT id, count(*) AS n FROM shingles WHERE side = 'b' GROUP BY id),
         shared AS (
             SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared
-            FROM shingles d JOIN shingles b ON d.s = b.s WHERE d.side = 'd' AND b.side = 'b' GROUP BY ALL)
+            FROM shingles d JOIN shingles b ON d.s = b.s AND d.width = b.width WHERE d.side = 'd' AND b.side = 'b' GROUP BY ALL)
         SELECT doc_id, item_id, n_shared, n AS n_shingles, n_shared / n AS containment
         FROM shared JOIN sizes ON id = item_id WHERE 5 * n_shared >= 4 * n
     """,
