@@ -6,7 +6,8 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from freshet.session import scratch_path
 
@@ -48,6 +49,12 @@ def rows_of(batch: pa.RecordBatch, columns: list[str]) -> Iterator[tuple]:
         yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
 
 
+def hashable_columns(docs: DataFrame) -> list[Column]:
+    """All columns as something that can be hashed; maps, and what holds them, as JSON."""
+    named = lambda f: F.col(f"`{f.name}`")
+    return [F.to_json(F.struct(named(f))) if "map<" in f.dataType.simpleString() else named(f) for f in docs.schema]
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.llm.common import materialized
+from freshet.llm.common import hashable_columns, materialized
 
 #: Key bits that tell cells apart, level by level; first of the text's hash, then of the row's.
 LEVELS = [(12, 0), (18, 0), (24, 0), (30, 0), (63, 0), (63, 6), (63, 12), (63, 18), (63, 63)]
@@ -125,12 +125,6 @@ def _segments(histogram: Histogram, splitters: list[tuple[int, int]], shards: in
     return out
 
 
-def _hashable(docs: DataFrame) -> list[Column]:
-    """All columns as something that can be hashed; maps, and what holds them, as JSON."""
-    named = lambda f: F.col(f"`{f.name}`")
-    return [F.to_json(F.struct(named(f))) if "map<" in f.dataType.simpleString() else named(f) for f in docs.schema]
-
-
 def shard(docs: DataFrame, shards: int = 24, tolerance: float = TOLERANCE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Puts every row of ``docs(doc_id, text)`` into one of ``shards`` of nearly equal bytes.
 
@@ -140,7 +134,7 @@ def shard(docs: DataFrame, shards: int = 24, tolerance: float = TOLERANCE, cell_
     equal in all columns, which a splitter may part as well. An empty table gives no rows.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    hashable = _hashable(docs)
+    hashable = hashable_columns(docs)
     key = [F.shiftrightunsigned(x, 1) for x in (F.xxhash64("text"), F.xxhash64(*hashable))]
     keyed = docs.select(row.alias("row"), _size(F.col("text")).alias("size"), key[0].alias("key1"), key[1].alias("key2"), F.xxhash64(F.lit(3), *hashable).alias("key3"))
     keys = materialized(keyed.select("key1", "key2", "size"), "shard-keys")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.common import materialized, utf8
+from freshet.llm.common import hashable_columns, materialized, utf8
 from freshet.llm.components import components
 
 BITS = 64
@@ -235,11 +235,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` with one document of each near-duplicate group, all columns as they were.
 
-    The document with the smallest doc_id stays; of rows with the same doc_id and
-    fingerprint one stays.
+    The document with the smallest doc_id stays; of rows with the same doc_id and fingerprint
+    that of the least hashes of the text and of all columns, whatever the layout.
     """
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").alias("id"), fingerprint("text").alias("fp"))
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    whole = F.xxhash64(*hashable_columns(docs)).alias("whole")
+    rows = docs.select(row, F.col("doc_id").alias("id"), whole, fingerprint("text").alias("fp"))
     rows = materialized(rows, "fingerprint-docs")
     groups = near_duplicate_groups(rows.select(F.col("id").alias("doc_id"), "fp"), radius)
     keepers = groups.where("fp = keeper_fp").select(
@@ -248,5 +250,5 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     # The doc_id in the join key spreads the copies of a hot fingerprint over the partitions.
     kept = rows.join(keepers, (rows.fp == keepers.keeper) & rows.id.eqNullSafe(keepers.keeper_id))
     single = kept.where("keeper_rows = 1").select("row.*")
-    tied = kept.where("keeper_rows > 1").groupBy("fp").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
+    tied = kept.where("keeper_rows > 1").groupBy("fp").agg(F.min_by("row", F.struct(F.xxhash64("row.text"), "whole")).alias("row"))
     return single.unionByName(tied.select("row.*"))

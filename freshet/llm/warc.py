@@ -31,6 +31,8 @@ RUN_RECORDS = 100_000
 READ_BYTES = 1 << 20
 #: Payloads with copies are broadcast up to this many (some 100 bytes each), and joined by a shuffle beyond.
 BROADCAST_PAYLOADS = 500_000
+#: Index rows of a range, on average: what one task merges in memory, some 200 MB.
+RANGE_ROWS = 200_000
 #: Archives are read by at most so many tasks.
 READ_TASKS = 100_000
 
@@ -234,11 +236,13 @@ INDEX = {
 }
 INDEX_DDL = ", ".join(f"{name} {'long' if kind == pa.int64() else 'string'}" for name, kind in INDEX.items())
 KEY = ["url_key", "captured_at", "page_id"]
+#: Repeated records have equal keys; their places tell them apart, so that ranges can part them.
+PLACE = ["file", "offset"]
 
 
 def _sort_key(row: tuple) -> tuple:
     url, captured_at, page_id = row[:3]
-    return url.encode("utf-8", "surrogatepass"), captured_at, page_id is not None, page_id or 0
+    return url.encode("utf-8", "surrogatepass"), captured_at, page_id is not None, page_id or 0, row[7], row[8]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -288,16 +292,19 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _batch(out)
 
 
-def capture_index(archives: DataFrame, root: str, run_records: int = RUN_RECORDS) -> DataFrame:
+def capture_index(archives: DataFrame, root: str, run_records: int = RUN_RECORDS, range_rows: int = RANGE_ROWS) -> DataFrame:
     """The global index of ``archives(file)`` below ``root``: all records by URL key, timestamp and page_id.
 
     Every record is read and its payload checked. The frame's partitions follow one another in
-    order. A URL with very many captures spans several ranges, as the timestamp is in the key.
+    order. There are as many ranges as the index has ``range_rows``, at least as many as shuffles have
+    partitions. A URL with very many captures spans several ranges, as the timestamp is
+    in the key, and so do records with equal keys, by their places in the archives.
     """
     tasks = min(READ_TASKS, max(1, archives.count()))
     files = archives.select("file").repartition(tasks, "file")
     runs = materialized(files.mapInArrow(_read(root, run_records), INDEX_DDL), "capture-runs")
-    return runs.repartitionByRange(*KEY).mapInArrow(_merge, INDEX_DDL)
+    ranges = max(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // range_rows))
+    return runs.repartitionByRange(ranges, *KEY, *PLACE).mapInArrow(_merge, INDEX_DDL)
 
 
 def archive_and_index(captures: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:

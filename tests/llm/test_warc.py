@@ -91,3 +91,24 @@ def test_runs_of_any_size_give_one_order(spark, rows):
 
 def test_no_pages(spark):
     assert warc.archive_and_index(warc.dated(spark.createDataFrame([], PAGES))).count() == 0
+
+
+def test_ranges_are_bounded_and_part_equal_records(spark):
+    """Half of the records have one key: no range holds much more than its share, and the order is whole."""
+    rows = [(i, f"http://h{i % 40}.example/{i}", f"text {i}") for i in range(300)] + [(1000, "http://same/", "the same")] * 300
+    pages = warc.dated(spark.createDataFrame(rows, PAGES).repartition(4))
+    root = f"file://{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/warc-ranges"
+    index = warc.capture_index(warc.write_archives(pages, root, 5_000), root, run_records=50, range_rows=30)
+    sizes = index.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) >= 20 and max(sizes) < 150
+    found = [(r["url_key"].encode(), r["captured_at"], r["page_id"]) for r in index.collect()]
+    assert len(found) == 600 and found == sorted(found)
+
+
+def test_one_very_long_page(spark):
+    html = "<p>" + "long page é " * 1_500_000
+    rows = [(1, "http://a/", html), (2, "http://b/", "x"), (3, "http://c/", html)]
+    found = {r["page_id"]: r for r in warc.archive_and_index(warc.dated(spark.createDataFrame(rows, PAGES))).collect()}
+    assert {p: r["payload_bytes"] for p, r in found.items()} == {1: len(html.encode()), 2: 1, 3: len(html.encode())}
+    assert found[1]["refers_to"] == 3 and found[3]["record_type"] == "response"
+    assert found[1]["payload_digest"] == hashlib.sha1(html.encode()).hexdigest()
