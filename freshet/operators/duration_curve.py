@@ -61,9 +61,13 @@ def duration_slope() -> Column:
     return (at(high) - at(low)) / (high - low)
 
 
-def duration_curve(daily: DataFrame) -> DataFrame:
-    """Vector, variability index and slope per reach."""
-    return flow_percentiles(daily).select(
+def curve_of(flows: DataFrame) -> DataFrame:
+    """Vector, variability index and slope per reach, from the ascending array ``_flows``."""
+    return _curve(_picked(flows))
+
+
+def _curve(percentiles: DataFrame) -> DataFrame:
+    return percentiles.select(
         "reach_id",
         duration_vector().alias("nth_percentile_flows"),
         variability_index().alias("variability_index"),
@@ -71,6 +75,11 @@ def duration_curve(daily: DataFrame) -> DataFrame:
     )
 
 
+def duration_curve(daily: DataFrame) -> DataFrame:
+    """Vector, variability index and slope per reach."""
+    return _curve(flow_percentiles(daily))
+
+
 def months_and_curve(daily: DataFrame) -> DataFrame:
     """Month statistics and duration curve together, from one pass over the days.
 

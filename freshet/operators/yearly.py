@@ -194,7 +194,12 @@ def half_flow_summary() -> Column:
 
 def yearly_aggregates(trimmed: DataFrame, target: float = TARGET_PROBABILITY, periods=FLASHINESS_PERIODS) -> DataFrame:
     """What comes from water years, one row per reach; the seven-day quantile by its parameters, see ``with_seven_q10``."""
-    return water_year_frame(trimmed).groupBy("reach_id").agg(
+    return aggregate_years(water_year_frame(trimmed), target, periods)
+
+
+def aggregate_years(years: DataFrame, target: float = TARGET_PROBABILITY, periods=FLASHINESS_PERIODS) -> DataFrame:
+    """As ``yearly_aggregates``, of the quantities of every water year."""
+    return years.groupBy("reach_id").agg(
         flashiness_by_period(periods).alias("flashiness_index"),
         F.avg(usable_minimum()).alias("mean_annual_7_day_min"),
         zero_adjusted_probability(target).alias("_p"),

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from freshet.operators.baseflow import baseflow_inputs, with_baseflow_index
 from freshet.operators.duration_curve import months_and_curve
 from freshet.operators.flood import flood_season_start
+from freshet.operators.monthly import monthwise_arrays, monthwise_stats
 from freshet.operators.sanitize import sanitize_records
 from freshet.operators.water_years import marked_status, reach_status, trim_water_years
 from freshet.operators.yearly import with_seven_q10, yearly_aggregates
+from freshet.operators.yearly_state import days_of, kept_states, merged_curve, merged_status, merged_yearly
 from freshet.schemas import FAILED_ARRAY_LENGTHS, INDICES_SCHEMA
 
 
@@ -28,13 +30,17 @@ def streamflow_indices(daily: DataFrame, empty_year: str = "skip") -> DataFrame:
 
 
 def _records(status: DataFrame, trimmed: DataFrame, empty_year: str) -> DataFrame:
+    return _joined(status, [yearly_aggregates(trimmed), months_and_curve(trimmed)], trimmed, empty_year)
+
+
+def _joined(status: DataFrame, branches: list[DataFrame], trimmed: DataFrame, empty_year: str) -> DataFrame:
     """One row per reach of all branches, hashed where they are: no shuffle and no sort.
 
     Spark forgets the layout of what comes out of Python, so both kernels run after the
     joins. The lists of days stream past the hashed rows and are never held.
     """
     record = status
-    for branch in (yearly_aggregates(trimmed), months_and_curve(trimmed), flood_season_start(trimmed, empty_year)):
+    for branch in (*branches, flood_season_start(trimmed, empty_year)):
         record = record.join(branch.hint("shuffle_hash"), "reach_id", "left")
     record = with_baseflow_index(baseflow_inputs(trimmed).join(record.hint("shuffle_hash"), "reach_id", "right"))
     record = with_seven_q10(record)
@@ -54,6 +60,15 @@ def indices_of_store(stored: DataFrame, empty_year: str = "skip") -> DataFrame:
     return sanitize_records(_records(marked_status(stored), trimmed, empty_year))
 
 
+def indices_of_states(states: DataFrame, empty_year: str = "skip") -> DataFrame:
+    """As ``indices_table``, merged from the states of all years of the reaches; one shuffle by reach."""
+    marked = kept_states(states.repartition("reach_id"))
+    kept = marked.where("kept")
+    trimmed = days_of(kept)
+    months = monthwise_arrays(monthwise_stats(trimmed))
+    return sanitize_records(_joined(merged_status(marked), [merged_yearly(kept), merged_curve(kept), months], trimmed, empty_year))
+
+
 def indices_table(daily: DataFrame, empty_year: str = "skip") -> DataFrame:
     """The records as they are written: missing scalars null, missing elements -99."""
     return sanitize_records(streamflow_indices(daily, empty_year))

@@ -489,6 +489,7 @@ ORACLES["job_tables"] = (
     _record_steps("daily_single") + "SELECT placed.*, hours FROM placed JOIN (SELECT reach_id, count(*) AS hours FROM src GROUP BY 1) USING (reach_id)"
 )
 ORACLES["text_shards"] = ORACLES["text_records"]
+ORACLES["indices_appended_years"] = ORACLES["indices_record"]
 ORACLES["indices_record_from_store"] = ORACLES["indices_record"]
 ORACLES["zarr_scan"] = ORACLES["chunk_roundtrip"]
 ORACLES["indices_records_table"] = ORACLES["indices_record_long"]

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from freshet.functions import calendar
 from freshet.operators import baseflow, daily, duration_curve, flood, grid, ingest, monthly, selection, yearly
 from freshet.operators.sanitize import sanitize_records
-from freshet.operators.water_years import reach_status, trim_water_years
+from freshet.operators.water_years import reach_status, tag_water_years, trim_water_years
+from freshet.operators.yearly_state import year_states
 from freshet.plans import job
-from freshet.plans.indices import indices_of_store, indices_table
+from freshet.plans.indices import indices_of_states, indices_of_store, indices_table
 from freshet.session import scratch_path
 from freshet.sources import sinks, tables, zarr
 from freshet.sources.daily_store import read_daily_store, write_daily_store
@@ -734,6 +735,17 @@ def indices_record_from_store(spark, sf_dir):
     return _rounded_records(indices_of_store(read_daily_store(spark, name)))
 
 
+@query
+def indices_appended_years(spark, sf_dir):
+    """States of the years up to 1999 as a table, later years appended one by one; the record is merged from them."""
+    path = scratch_path(spark, "states")
+    days = tag_water_years(views.daily_gappy(spark, sf_dir))
+    last = days.agg(F.max("water_year")).first()[0]
+    for kept in (F.col("water_year") < 2000, *[F.col("water_year") == y for y in range(2000, last + 1)]):
+        year_states(days.where(kept).drop("water_year")).write.mode("append").parquet(path)
+    return _rounded_records(indices_of_states(spark.read.parquet(path)))
+
+
 @query
 def indices_record_long(spark, sf_dir):
     return _long_record(indices_table(views.daily_gappy(spark, sf_dir)))
