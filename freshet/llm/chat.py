@@ -6,21 +6,24 @@ parent. The tree is laid out depth first: each node's tokens stand once, from ``
 their position ids begin at ``position``, the length of the path above; and they attend to the
 intervals of the layout in which their ancestors stand, and causally to their own node.
 
-The order comes from sorting conversations by the path of their shared nodes. A node
-belongs to the first conversation in that order that passes it, and the nodes a conversation
-owns follow one another, so offsets are running sums over the sorted conversations.
+The order comes from sorting conversations by the path of their shared nodes, of which those
+suffice that fewer conversations pass than their parent. A node belongs to the first
+conversation in that order that passes it, and the nodes a conversation owns follow one
+another, so offsets are running sums over the sorted conversations. All this works on names
+and sizes; tokens join once the layout is known.
 """
 
 import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.llm.common import materialized, rows_of
-from freshet.llm.packing import CachedTokenizer
+from freshet.llm.packing import CachedTokenizer, decoder
 
 # The template. "\" escapes itself, and "<" becomes "\l", so that no text can hold a mark.
 OPEN, HEAD_END, CLOSE = "<turn>", "\n", "</turn>\n"
@@ -57,83 +60,81 @@ def parse_turn(segment: str) -> tuple[str, str]:
     return unescape_role(turn[1]), unescape(turn[2])
 
 
-TURNS = "conv string, conv_id long, n long, node string, parent string, segment string"
+TURNS = "conv string, conv_id long, n long, node string, parent string, tokens array<int>, loss_start long, loss_end long"
+_TURN_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.int64(), pa.int64()]
 
 
-def _link_turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _link_turns(tokenizer_path: str, loss_roles: frozenset[str]):
     """Rows sorted by conversation and turn; the state is one hash, whatever the number of turns."""
-    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
     names = [f.split()[0] for f in TURNS.split(", ")]
-    last, node, n = None, None, 0
-    for batch in batches:
-        rows = []
-        for conv, conv_id, role, text in rows_of(batch, ["conv", "conv_id", "role", "text"]):
-            if conv != last:
-                last, node, n = conv, None, 0
-            segment, parent = format_turn(role, text), node
-            data = f"{parent or ''}|{segment}".encode("utf-8", "surrogatepass")
-            node = hashlib.blake2b(data, digest_size=16).hexdigest()
-            rows.append((conv, conv_id, n, node, parent, segment))
-            n += 1
-        columns = zip(*rows, strict=True) if rows else [[] for _ in names]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=names)
 
-
-def linked_turns(conversations: DataFrame) -> DataFrame:
-    """Every turn with its node, parent and segment; rows with equal turn go by role and text.
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = CachedTokenizer(tokenizer_path)
+        last, node, n = None, None, 0
+        for batch in batches:
+            rows, pieces, ends = [], [], [0]
+            for conv, conv_id, role, text in rows_of(batch, ["conv", "conv_id", "role", "text"]):
+                if conv != last:
+                    last, node, n = conv, None, 0
+                segment, parent = format_turn(role, text), node
+                data = f"{parent or ''}|{segment}".encode("utf-8", "surrogatepass")
+                node = hashlib.blake2b(data, digest_size=16).hexdigest()
+                body = segment.index(HEAD_END) + len(HEAD_END)
+                # Head, text and close are encoded apart, so that the loss mask ends where the text does.
+                parts = list(tokenizer.encode([segment[:body], segment[body : -len(CLOSE)], CLOSE]))
+                start, size = len(parts[0]), sum(map(len, parts))
+                rows.append((conv, conv_id, n, node, parent, start, start + (len(parts[1]) if (role or "") in loss_roles else 0)))
+                pieces += parts
+                ends.append(ends[-1] + size)
+                n += 1
+            if rows:
+                columns = list(zip(*rows, strict=True))
+                tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(pieces).astype(np.int32)))
+                arrays = [pa.array(c, t) for c, t in zip(columns[:5], _TURN_TYPES, strict=False)]
+                arrays += [tokens, *[pa.array(c, pa.int64()) for c in columns[5:]]]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return link
+
+
+def linked_turns(conversations: DataFrame, tokenizer_path: str, loss_roles: frozenset[str] = LOSS_ROLES) -> DataFrame:
+    """Every turn with its node, parent and tokens; rows with equal turn go by role and text.
 
     ``conv`` is a name of the conversation that also a null conv_id has.
     """
     conv = F.coalesce(F.col("conv_id").cast("string"), F.lit("none"))
     rows = conversations.select(conv.alias("conv"), "conv_id", "turn", "role", "text")
     rows = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
-    return rows.select("conv", "conv_id", "role", "text").mapInArrow(_link_turns, TURNS)
+    return rows.select("conv", "conv_id", "role", "text").mapInArrow(_link_turns(tokenizer_path, loss_roles), TURNS)
 
 
 def _ranks(turns: DataFrame) -> DataFrame:
     """``conv, rank``: ascending in an order in which the conversations of every node are neighbours.
 
-    Only nodes that several conversations pass matter for that, so a sort key is as long
-    as what a conversation shares. The shared nodes are a table of their own, so that Spark
-    can split the turns of a very common one in the join.
+    Only nodes that several conversations pass matter for that, and of these only the ones that
+    fewer pass than their parent: below them the same conversations go on together. So a sort key
+    grows with the forks on a path, not with its turns. The shared nodes are a table of
+    their own, so that Spark can split the turns of a very common one in the join.
     """
     passes = materialized(turns.groupBy("node").agg(F.count("*").alias("passes")).where("passes > 1"), "passes")
-    shared = turns.join(passes, "node").groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("n", "node"))).alias("path"))
+    shared = turns.select("conv", "n", "node").join(passes, "node")
+    above = F.lag("passes").over(Window.partitionBy("conv").orderBy("n"))
+    forks = shared.withColumn("above", above).where("above is null or passes <> above")
+    forks = forks.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("n", "node"))).alias("path"))
     path = F.array_join(F.transform("path", lambda p: p["node"]), "")
-    keys = turns.where("n = 0").select("conv", F.col("node").alias("root")).join(shared, "conv", "left")
+    keys = turns.where("n = 0").select("conv", F.col("node").alias("root")).join(forks, "conv", "left")
     keys = materialized(keys.select("conv", F.coalesce(path, "root").alias("path")), "paths")
     parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = keys.repartitionByRange(parts, "path", "conv").sortWithinPartitions("path", "conv")
     return materialized(ordered.select("conv", F.monotonically_increasing_id().alias("rank")), "ranks")
 
 
-_TOKENS = "struct<tokens:array<int>,loss_start:long,loss_end:long>"
-
-
-def _tokenized(tokenizer_path: str, loss_roles: frozenset[str]):
-    def tokenize(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = CachedTokenizer(tokenizer_path)
-        for segments in columns:
-            tokens, starts, ends = [], [], []
-            turns = [_TURN.fullmatch(s.as_py()) for s in segments]
-            # Head, text and close are encoded apart, so that the loss mask ends where the text does.
-            parts = tokenizer.encode([part for t in turns for part in (t[0][: t.start(2)], t[2], CLOSE)])
-            for turn, head, text, close in zip(turns, parts, parts, parts, strict=False):
-                tokens.append([*head.tolist(), *text.tolist(), *close.tolist()])
-                starts.append(len(head))
-                ends.append(len(head) + (len(text) if unescape_role(turn[1]) in loss_roles else 0))
-            arrays = [pa.array(tokens, pa.list_(pa.int32())), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())]
-            yield pa.StructArray.from_arrays(arrays, names=["tokens", "loss_start", "loss_end"])
-
-    return F.arrow_udf(tokenize, _TOKENS).asNondeterministic()
-
-
-_LAYOUT = "node string, tree long, position long, ancestors array<struct<start:long,end:long>>"
+_LAYOUT = "node string, start long, tree long, position long, ancestors array<struct<start:long,end:long>>"
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole paths, sorted; gives the nodes a path owns their tree, position and ancestors' intervals."""
-    types = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
     last, above, tree, position = None, [], 0, 0
     for batch in batches:
         rows = []
@@ -141,14 +142,14 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rank != last:
                 last, above, tree, position = rank, [], start, 0
             if own:
-                rows.append((node, tree, position, [{"start": s, "end": e} for s, e in above]))
+                rows.append((node, start, tree, position, [{"start": s, "end": e} for s, e in above]))
             position += size
             if above and above[-1][1] == start:
                 above[-1] = (above[-1][0], start + size)
             else:
                 above.append((start, start + size))
         columns = zip(*rows, strict=True) if rows else [[] for _ in types]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["node", "tree", "position", "ancestors"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["node", "start", "tree", "position", "ancestors"])
 
 
 def prefix_tree(conversations: DataFrame, tokenizer_path: str, loss_roles: frozenset[str] = LOSS_ROLES) -> tuple[DataFrame, DataFrame]:
@@ -161,15 +162,12 @@ def prefix_tree(conversations: DataFrame, tokenizer_path: str, loss_roles: froze
     ``ancestors`` (the ``start, end`` intervals to attend to, adjoining ones merged). Places:
     ``conv, conv_id, n, node``, one row per turn. No conversations give no nodes.
     """
-    turns = materialized(linked_turns(conversations), "turns")
-    ranked = turns.join(_ranks(turns), "conv").select("rank", "n", "node")
+    turns = materialized(linked_turns(conversations, tokenizer_path, loss_roles), "turns")
+    sized = turns.select("conv", "n", "node", F.size("tokens").cast("long").alias("size"))
+    ranked = sized.join(_ranks(turns), "conv").select("rank", "n", "node", "size")
     # Passing conversations combine before the shuffle, so a node that many share is no burden.
-    owners = ranked.groupBy("node").agg(F.min("rank").alias("owner"))
-    # All turns of a node have the same parent and segment.
-    distinct = turns.groupBy("node").agg(F.first("parent").alias("parent"), F.first("segment").alias("segment"), F.first("n").alias("n"))
-    owned = distinct.join(owners, "node").select("node", "parent", "n", "owner", _tokenized(tokenizer_path, loss_roles)("segment").alias("t"))
-    owned = owned.select("node", "parent", "n", "owner", "t.*", F.size("t.tokens").cast("long").alias("size"), F.shiftright("owner", 33).alias("part"))
-    owned = materialized(owned, "owned")
+    owned = ranked.groupBy("node").agg(F.min("rank").alias("owner"), F.first("n").alias("n"), F.first("size").alias("size"))
+    owned = materialized(owned.withColumn("part", F.shiftright("owner", 33)), "owned")
 
     # Running sums: within the parts of the sorted order, and over the totals of the parts.
     totals = owned.groupBy("part").agg(F.sum("size").alias("total")).orderBy("part").collect()
@@ -180,13 +178,15 @@ def prefix_tree(conversations: DataFrame, tokenizer_path: str, loss_roles: froze
     bases = owned.sparkSession.createDataFrame(bases, "part long, base long")
     so_far = Window.partitionBy("part").orderBy("owner", "n")
     start = F.col("base") + F.sum("size").over(so_far) - F.col("size")
-    starts = owned.select("node", "part", "owner", "n", "size").join(F.broadcast(bases), "part")
-    starts = materialized(starts.select("node", "owner", "size", start.alias("start")), "starts")
+    starts = owned.join(F.broadcast(bases), "part").select("node", "owner", start.alias("start"))
+    starts = materialized(starts, "starts")
 
     path = ranked.join(starts, "node").withColumn("own", F.col("rank") == F.col("owner"))
     walked = path.repartition("rank").sortWithinPartitions("rank", "n").select("rank", "node", "start", "size", "own")
-    layout = walked.mapInArrow(_walk, _LAYOUT).join(starts.select("node", "start"), "node")
-    nodes = owned.select("node", "parent", "tokens", "loss_start", "loss_end", "size").join(layout, "node")
+    layout = materialized(walked.mapInArrow(_walk, _LAYOUT), "layout")
+    # All turns of a node have the same parent and tokens; these are shuffled here and nowhere before.
+    distinct = turns.groupBy("node").agg(*[F.first(c).alias(c) for c in ("parent", "tokens", "loss_start", "loss_end")])
+    nodes = distinct.withColumn("size", F.size("tokens").cast("long")).join(layout, "node")
     return materialized(nodes, "nodes"), turns.select("conv", "conv_id", "n", "node")
 
 
@@ -194,8 +194,6 @@ DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 
 
 def _read_back(tokenizer_path: str):
-    from tokenizers import Tokenizer
-
     types = {"long": pa.int64(), "string": pa.string()}
     fields = [f.split() for f in DIGESTS.split(", ")]
 
@@ -204,7 +202,7 @@ def _read_back(tokenizer_path: str):
         return pa.RecordBatch.from_arrays([pa.array(list(c), types[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[name for name, _ in fields])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_file(tokenizer_path)
+        decode = decoder(tokenizer_path)
         last, state = None, None
         for batch in batches:
             rows = []
@@ -213,7 +211,7 @@ def _read_back(tokenizer_path: str):
                     if state:
                         rows.append(state.row())
                     last, state = conv, _Digest(conv_id)
-                state.add(tokenizer.decode(tokens, skip_special_tokens=False), tokenizer.decode(tokens[start:end], skip_special_tokens=False))
+                state.add(decode(tokens), decode(tokens[start:end]))
             yield batch_of(rows)
         if state:
             yield batch_of([state.row()])
@@ -242,7 +240,10 @@ class _Digest:
 
 
 def read_back(nodes: DataFrame, places: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Digests of every conversation, from the tokens of its nodes along its path."""
+    """Digests of every conversation, from the tokens of its nodes along its path.
+
+    Null conv_ids are one conversation; empty tables give an empty result.
+    """
     rows = places.join(nodes.select("node", "tokens", "loss_start", "loss_end"), "node")
     rows = rows.repartition("conv").sortWithinPartitions("conv", "n").select("conv", "conv_id", "tokens", "loss_start", "loss_end")
     return rows.mapInArrow(_read_back(tokenizer_path), DIGESTS)

@@ -131,6 +131,18 @@ class CachedTokenizer:
             yield np.frombuffer(data, "<u4")
 
 
+def decoder(path: str) -> Callable[[list[int]], str]:
+    """The text of ids; by a table of byte sequences where the file is byte-level, else by tokenizers."""
+    ranks = _byte_ranks(path)
+    if ranks is None:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        return lambda ids: tokenizer.decode(ids, skip_special_tokens=False)
+    table = {i: data for data, i in ranks.items()} | {i: token.encode() for token, i in _added_tokens(path).items()}
+    return lambda ids: b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace")
+
+
 def piece_lengths(length: int, sequence: int = SEQUENCE) -> list[int]:
     """Lengths of a document's pieces, longest first: whole sequences, then powers of two."""
     whole, rest = divmod(length, sequence)

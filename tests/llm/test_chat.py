@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from freshet.llm import chat
+from freshet.llm import chat, packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TURNS = "conv_id long, turn long, role string, text string"
@@ -95,6 +95,38 @@ def test_layout(tree, conversations):
         assert all(a < b["start"] for a, b in zip(ends, r["ancestors"][1:], strict=False))
 
 
+def test_sort_keys_do_not_grow_with_shared_turns(spark, monkeypatch):
+    """Two conversations that share 20,000 turns and then part: their keys have one name each, and one more."""
+    keys = []
+    plain = chat.materialized
+
+    def materialized(frame, name):
+        out = plain(frame, name)
+        if name == "paths":
+            keys.extend(r["path"] for r in out.collect())
+        return out
+
+    monkeypatch.setattr(chat, "materialized", materialized)
+    many = spark.range(20_000).select(F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    two = many.crossJoin(spark.createDataFrame([(1,), (2,)], "conv_id long"))
+    last = spark.createDataFrame([(1, 30_000, "user", "one"), (2, 30_000, "user", "two"), (3, 0, "user", "t0"), (3, 1, "user", "t1"), (4, 0, "user", "alone")], TURNS)
+    nodes, places = chat.prefix_tree(two.select("conv_id", "turn", "role", "text").unionByName(last), PATH)
+    assert max(map(len, keys)) == 64 and len(keys) == 4
+    assert nodes.count() == 20_000 + 3 and places.count() == 40_005
+    rows = nodes.orderBy("start").select("start", "size").collect()
+    assert all(a["start"] + a["size"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
+    got = {r["conv_id"]: r for r in chat.read_back(nodes, places, PATH).collect()}
+    text = "".join(f"user\nt{i}\n" for i in range(20_000))
+    assert got[1]["turns_sha256"] == hashlib.sha256((text + "user\none\n").encode()).hexdigest() and got[2]["n_turns"] == 20_001
+
+
+def test_decoding_by_table_is_the_tokenizers(spark):
+    decode, tokenizer = packing.decoder(PATH), Tokenizer.from_file(PATH)
+    for text in ("", "plain words", "né 漢字 \n\t <turn>", "<|endoftext|> x", "".join(map(chr, range(1, 700)))):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert decode(ids) == text == tokenizer.decode(ids, skip_special_tokens=False)
+
+
 def test_no_conversations(spark):
     nodes, places = chat.prefix_tree(spark.createDataFrame([], TURNS), PATH)
     assert nodes.count() == 0 and chat.read_back(nodes, places, PATH).count() == 0
