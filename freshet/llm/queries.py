@@ -114,7 +114,82 @@ def op13_ranking(spark, sf_dir):
     return found.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
 
 
+def _repair_sql() -> str:
+    """Damage, faults and the cheapest edits row by row; a state is its cost and audit as one text, and the lines so far."""
+
+    def add(state: str, cost: str, letter: str, line: str = "''") -> str:
+        total = f"lpad((left({state}.k, 6)::INT + {cost})::VARCHAR, 6, '0')"
+        return f"{{'k': {total} || substr({state}.k, 7) || '{letter}', 't': {state}.t || {line}}}"
+
+    def least(*states: str) -> str:
+        return f"list_sort([{', '.join(states)}])[1]"
+
+    def only(test: str, state: str) -> str:
+        return f"CASE WHEN {test} THEN {state} ELSE {{'k': '900000', 't': ''}} END"
+
+    def row(state: str, kept: str, role: str) -> tuple[str, str]:
+        keep = only(f"free AND r = '{kept}'", add(state, "cut", "K", "chr(10) || role || ':' || text"))
+        return keep, only("free", add(state, "2 + cut", "R", f"chr(10) || '{role}:' || text"))
+
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    to_user = [arc for state in ("s0", "ss", "sa") for arc in row(state, "u", "user")]
+    return f"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(
+                string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS key
+            FROM conversations),
+        harmed AS (
+            SELECT *, xor(list_reduce(
+                list_concat([4294967295::BIGINT], flatten(list_transform(key, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 20 AS harm
+            FROM keyed),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+                CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE WHEN harm = 3 THEN [1, 2] ELSE [1] END) AS again
+            FROM harmed WHERE harm <> 0),
+        marked AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS copy,
+                rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+            FROM damaged),
+        placed AS (
+            SELECT conv_id, turn, role, text, left(role, 1) AS r,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                CASE WHEN bare = '' THEN 'blank' WHEN copy > 1 THEN 'duplicate'
+                    WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM marked),
+        steps AS (
+            SELECT *, fault NOT IN ('blank', 'duplicate') AS free, (fault = 'truncated')::INT AS cut,
+                lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS before
+            FROM placed),
+        states AS (
+            SELECT conv_id, 0::BIGINT AS i, {{'k': '000000', 't': ''}} AS s0, {{'k': '900000', 't': ''}} AS ss,
+                {{'k': '000002I', 't': {user}}} AS su, {{'k': '000004II', 't': {user} || {assistant}}} AS sa
+            FROM (SELECT DISTINCT conv_id FROM conversations)
+            UNION ALL
+            SELECT conv_id, i, s0, ss, su, {least("sa", add("su", "2", "I", assistant))} AS sa FROM (
+                SELECT conv_id, i, s0, ss, sa, {least("su", *(add(s, "2", "I", user) for s in ("s0", "ss", "sa")))} AS su FROM (
+                    SELECT states.conv_id, steps.i, {add("s0", "3", "D")} AS s0,
+                        {least(add("ss", "3", "D"), row("s0", "s", "user")[0])} AS ss,
+                        {least(add("su", "3", "D"), *to_user)} AS su,
+                        {least(add("sa", "3", "D"), *row("su", "a", "assistant"))} AS sa
+                    FROM states JOIN steps ON states.conv_id IS NOT DISTINCT FROM steps.conv_id AND steps.i = states.i + 1))),
+        counted AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM steps GROUP BY conv_id),
+        ended AS (SELECT conv_id, i, {least("s0", "sa")} AS best FROM states)
+        SELECT ended.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+            coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, left(best.k, 6)::BIGINT AS cost,
+            substr(best.k, 7) AS audit, sha256(substr(best.t, 2)) AS repaired_sha256
+        FROM ended LEFT JOIN counted ON ended.conv_id IS NOT DISTINCT FROM counted.conv_id WHERE ended.i = coalesce(n, 0)
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op12_repair": _repair_sql(),
     "op4_chat": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
