@@ -47,16 +47,45 @@ class LanguageModel:
     log_probability: np.ndarray
     log_prior: np.ndarray
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Most probable language and its posterior probability."""
-        if not text or not self.languages or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        total = self.log_prior.copy()
-        for indices in ngram_buckets(text, len(self.log_probability)):
-            # The row of a sparse matrix: its entries are ones, repeated as the n-grams are.
-            total += self.log_probability.take(indices, axis=0).sum(axis=0, dtype=np.float64)
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Most probable language of each text, and its probability by the evidence of one character.
+
+        The texts are rows of a sparse matrix of n-gram counts, whose entries are ones, repeated as
+        the n-grams are; its product with the model is taken in stretches. The sum of log
+        probabilities decides; divided by the characters it gives the score, as the sum itself
+        would make any but the shortest texts certain.
+        """
+        known = [bool(t) and bool(self.languages) and any(map(str.isalpha, t)) for t in texts]
+        total = np.tile(self.log_prior, (len(texts), 1))
+        held, rows, waiting = [], [], 0
+
+        def multiply():
+            nonlocal waiting
+            if held:
+                starts = np.cumsum([0, *map(len, held[:-1])])
+                products = np.add.reduceat(self.log_probability.take(np.concatenate(held), axis=0), starts, axis=0, dtype=np.float64)
+                np.add.at(total, rows, products)
+            held.clear(), rows.clear()
+            waiting = 0
+
+        for row, text in enumerate(texts):
+            for indices in ngram_buckets(text, len(self.log_probability)) if known[row] else ():
+                held.append(indices)
+                rows.append(row)
+                waiting += len(indices)
+                if waiting > _STRETCH:
+                    multiply()
+        multiply()
+        languages, scores = [], []
+        for row, text in enumerate(texts):
+            if not known[row]:
+                languages.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            best = int(total[row].argmax())
+            languages.append(self.languages[best])
+            scores.append(float(1 / np.exp((total[row] - total[row][best]) / len(text)).sum()))
+        return languages, scores
 
 
 def _count(buckets: int):
@@ -100,8 +129,9 @@ def predict(spark, model: LanguageModel, text: Column | str) -> Column:
 
     def predict_all(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in texts:
-            found = [shared.value.predict(t.as_py()) for t in array]
-            yield pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["lang", "score"])
+            parts = [shared.value.predict(array.slice(i, 500).to_pylist()) for i in range(0, len(array), 500)]
+            found = [pa.array([x for part in parts for x in part[at]], kind) for at, kind in ((0, pa.string()), (1, pa.float64()))]
+            yield pa.StructArray.from_arrays(found, names=["lang", "score"])
 
     # The struct is read twice; a UDF is not repeated for that if it is not deterministic.
     return F.arrow_udf(predict_all, "struct<lang:string,score:double>").asNondeterministic()(text)
@@ -117,6 +147,9 @@ def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs(doc_id, text, lang)``.
 
     Learns from the rows that are not held out and have a lang; predicts from the text alone.
+    Null, empty and letterless texts are ``und`` with score 0, and so are all where nothing
+    could be learned. Ties go to the language that sorts first. Null doc_ids are not held out;
+    repeated rows count and are predicted each for itself. An empty table gives an empty result.
     """
     model = fit(docs.where(~held_out("doc_id")))
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), predict(docs.sparkSession, model, "text").alias("found"))

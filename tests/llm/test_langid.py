@@ -49,7 +49,7 @@ def brute(rows):
             size = sum(c.values()) + langid.SMOOTHING * langid.BUCKETS
             total[lang] = math.log(docs[lang] / sum(docs.values())) + sum(n * math.log((c[b] + langid.SMOOTHING) / size) for b, n in grams(text).items())
         best = max(sorted(total), key=total.get)
-        out[doc_id] = (best, 1 / sum(math.exp(v - total[best]) for v in total.values()))
+        out[doc_id] = (best, 1 / sum(math.exp((v - total[best]) / len(text)) for v in total.values()))
     return out
 
 
@@ -69,6 +69,27 @@ def test_held_out_accuracy(corpus):
     assert len(held) > 40 and np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) > 0.95
 
 
+def test_scores_tell_sure_from_unsure_texts(corpus):
+    rows, frame = corpus
+    scores = {r["doc_id"]: r["score"] for r in langid.identify(frame).collect() if r["lang_pred"] != "und"}
+    sure = [scores[r[0]] for r in rows if r[2] == "cc" and r[0] in scores]
+    close = [scores[r[0]] for r in rows if r[2] in ("aa", "bb") and r[0] in scores]
+    assert max(scores.values()) < 1 and np.mean(sure) > np.mean(close)
+
+
+def test_batches_of_any_size_predict_alike(corpus, monkeypatch):
+    rows, _ = corpus
+    model = langid.LanguageModel(["a", "b"], np.random.default_rng(1).normal(size=(langid.BUCKETS, 2)).astype(np.float32), np.log([0.5, 0.5]))
+    texts = [r[1] for r in rows]
+    want = model.predict(texts)
+    alone = [model.predict([t]) for t in texts]
+    monkeypatch.setattr(langid, "_STRETCH", 50)
+    small = model.predict(texts)
+    assert want[0] == small[0] == [a[0][0] for a in alone]
+    assert want[1] == pytest.approx(small[1], rel=1e-9) and want[1] == pytest.approx([a[1][0] for a in alone], rel=1e-9)
+    assert model.predict([]) == ([], [])
+
+
 def test_long_texts_lose_nothing_at_stretches(monkeypatch):
     text = "abcé xyz" * 500
     want = grams(text)
