@@ -17,15 +17,21 @@ def from_records(spark: SparkSession, records: list[dict], schema: StructType =
 def _read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Read by column name as text and cast, so a leading index column is ignored.
 
-    Each file's own header counts: files are grouped by their header line, and every group
-    is read with it. Headers are few, however many the files are.
+    Each file's own header counts. Where all files have one header, as is usual, they are read by
+    the given path; else they are grouped by their header lines, of which there are few,
+    however many the files are, and every group is read with its own.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
     heads = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("head"))
-    groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).orderBy("head").collect()
+    headers = [r["head"] for r in heads.select("head").distinct().orderBy("head").collect()]
+    groups = {header: path for header in headers}
+    if len(headers) > 1:
+        groups = {header: [] for header in headers}
+        for row in heads.toLocalIterator():
+            groups[row["head"]].append(row["file"])
     frames = []
-    for group in groups:
-        text = spark.read.option("header", True).option("enforceSchema", False).csv(group["files"])
+    for files in groups.values():
+        text = spark.read.option("header", True).option("enforceSchema", False).csv(files)
         columns = [
             (F.col(f.name).cast(f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields

@@ -179,7 +179,9 @@ def retrospective_overwrite(spark, sf_dir):
 def indices_overwrite(spark, sf_dir):
     """Two runs of index records; the first is repeated with fewer reaches."""
     path = scratch_path(spark, "indices")
-    records = indices_table(views.daily_gappy(spark, sf_dir)).persist()
+    source = scratch_path(spark, "records")
+    indices_table(views.daily_gappy(spark, sf_dir)).write.parquet(source)
+    records = spark.read.parquet(source)
     for run_id in ("first", "second"):
         sinks.write_indices(records, path, mode="overwrite", run_id=run_id)
     sinks.write_indices(records.where("reach_id < 3"), path, mode="overwrite", run_id="first")
