@@ -19,7 +19,7 @@ VALUES = {
     "broken_chunks": "filled",
     "daily_mean_from_blocks": "streamflow",
     "rechunk_blocks": "streamflow",
-    "broken_blocks": "lost",
+    "broken_blocks": "cells",
 }
 
 
