@@ -49,9 +49,9 @@ def rows_of(batch: pa.RecordBatch, columns: list[str]) -> Iterator[tuple]:
         yield from zip(*(part.column(c).to_pylist() for c in columns), strict=True)
 
 
-def hashable_columns(docs: DataFrame) -> list[Column]:
-    """All columns as something that can be hashed; maps, and what holds them, as JSON."""
-    named = lambda f: F.col(f"`{f.name}`")
+def hashable_columns(docs: DataFrame, inside: str = "") -> list[Column]:
+    """All columns, or the same fields of the struct ``inside``, as something that can be hashed; maps, and what holds them, as JSON."""
+    named = lambda f: F.col(f"{inside}.`{f.name}`" if inside else f"`{f.name}`")
     return [F.to_json(F.struct(named(f))) if "map<" in f.dataType.simpleString() else named(f) for f in docs.schema]
 
 

@@ -240,8 +240,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
-    whole = F.xxhash64(*hashable_columns(docs)).alias("whole")
-    rows = docs.select(row, F.col("doc_id").alias("id"), whole, fingerprint("text").alias("fp"))
+    rows = docs.select(row, F.col("doc_id").alias("id"), fingerprint("text").alias("fp"))
     rows = materialized(rows, "fingerprint-docs")
     groups = near_duplicate_groups(rows.select(F.col("id").alias("doc_id"), "fp"), radius)
     keepers = groups.where("fp = keeper_fp").select(
@@ -250,5 +249,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     # The doc_id in the join key spreads the copies of a hot fingerprint over the partitions.
     kept = rows.join(keepers, (rows.fp == keepers.keeper) & rows.id.eqNullSafe(keepers.keeper_id))
     single = kept.where("keeper_rows = 1").select("row.*")
-    tied = kept.where("keeper_rows > 1").groupBy("fp").agg(F.min_by("row", F.struct(F.xxhash64("row.text"), "whole")).alias("row"))
+    # Both branches take the same columns from the join's input, so that Spark shuffles it once.
+    order = F.struct(F.xxhash64("row.text"), F.xxhash64(*hashable_columns(docs, "row")))
+    tied = kept.where("keeper_rows > 1").groupBy("fp").agg(F.min_by("row", order).alias("row"))
     return single.unionByName(tied.select("row.*"))
