@@ -32,7 +32,7 @@ WAVES = 2
 BUCKET_WINDOWS = 2_000_000
 #: Salt of the windows that Spark sorts.
 _SALTS = 64
-_CHUNK_TEXTS, _CHUNK_BYTES = 1000, 2_000_000
+_CHUNK_TEXTS, _CHUNK_BYTES = 1000, 1_000_000
 
 _STRINGS = "key long, packed binary, doc long, text_hash long, start long, windows long"
 _STRING_SCHEMA = pa.schema([("key", pa.int64()), ("packed", pa.binary()), ("doc", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int64()), ("windows", pa.int64())])
@@ -91,6 +91,17 @@ class _Words:
         self.hashes = _mixed(self.hashes)
 
 
+def _least(values: np.ndarray, width: int, n: int) -> np.ndarray:
+    """Place of the first least value in each of ``n`` stretches of ``width``."""
+    best, place = values[:n].copy(), np.zeros(n, np.int64)
+    for i in range(1, width):
+        following = values[i : i + n]
+        less = following < best
+        np.copyto(best, following, where=less)
+        place[less] = i
+    return place
+
+
 class _Chunk:
     """Super-k-mers of some texts: ``first`` word, number of ``windows``, ``key`` and ``owner``."""
 
@@ -101,9 +112,7 @@ class _Chunk:
         n = max(0, len(self.words.hashes) - window + 1)
         owner = np.repeat(np.arange(len(texts)), counts)[:n]
         hashes = self.runs.of(np.arange(max(0, len(self.words.hashes) - minimiser + 1)), minimiser)
-        where = np.arange(n)
-        if n:
-            where += np.lib.stride_tricks.sliding_window_view(hashes, window - minimiser + 1)[:n].argmin(axis=1)
+        where = np.arange(n) + _least(hashes, window - minimiser + 1, n)
         whole = np.arange(n) + window <= (begins + counts)[owner]
         new = whole.copy()
         new[1:] &= (where[1:] != where[:-1]) | ~whole[:-1]
