@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.baseflow import baseflow_inputs, with_baseflow_index
+from freshet.operators.baseflow import baseflow_index, baseflow_inputs, with_baseflow_index
 from freshet.operators.duration_curve import months_and_curve
 from freshet.operators.flood import flood_season_start
 from freshet.operators.monthly import monthwise_arrays, monthwise_stats
@@ -29,20 +29,25 @@ def streamflow_indices(daily: DataFrame, empty_year: str = "skip") -> DataFrame:
     return _records(reach_status(days), trim_water_years(days), empty_year)
 
 
-def _records(status: DataFrame, trimmed: DataFrame, empty_year: str) -> DataFrame:
-    return _joined(status, [yearly_aggregates(trimmed), months_and_curve(trimmed)], trimmed, empty_year)
+def _records(status: DataFrame, trimmed: DataFrame, empty_year: str, in_place: bool = False) -> DataFrame:
+    return _joined(status, [yearly_aggregates(trimmed), months_and_curve(trimmed)], trimmed, empty_year, in_place)
 
 
-def _joined(status: DataFrame, branches: list[DataFrame], trimmed: DataFrame, empty_year: str) -> DataFrame:
-    """One row per reach of all branches, hashed where they are: no shuffle and no sort.
+def _joined(status: DataFrame, branches: list[DataFrame], trimmed: DataFrame, empty_year: str, in_place: bool = False) -> DataFrame:
+    """One row per reach of all branches.
 
-    Spark forgets the layout of what comes out of Python, so both kernels run after the
-    joins. The lists of days stream past the hashed rows and are never held.
+    Spark chooses the joins, and the branches run side by side; as it forgets the layout of what
+    comes out of Python, the baseflow index is shuffled once more, a number per reach.
+    ``in_place`` spares that and the joins' sorts: the rows are hashed where they are, the lists
+    of days stream past them, and both kernels run after the joins, in one stage.
     """
     record = status
     for branch in (*branches, flood_season_start(trimmed, empty_year)):
-        record = record.join(branch.hint("shuffle_hash"), "reach_id", "left")
-    record = with_baseflow_index(baseflow_inputs(trimmed).join(record.hint("shuffle_hash"), "reach_id", "right"))
+        record = record.join(branch.hint("shuffle_hash") if in_place else branch, "reach_id", "left")
+    if in_place:
+        record = with_baseflow_index(baseflow_inputs(trimmed).join(record.hint("shuffle_hash"), "reach_id", "right"))
+    else:
+        record = record.join(baseflow_index(trimmed), "reach_id", "left")
     record = with_seven_q10(record)
 
     def value(field):
@@ -57,7 +62,7 @@ def _joined(status: DataFrame, branches: list[DataFrame], trimmed: DataFrame, em
 def indices_of_store(stored: DataFrame, empty_year: str = "skip") -> DataFrame:
     """As ``indices_table``, of a daily store: its buckets and their order spare all shuffles, and most sorts."""
     trimmed = stored.where("kept").select("reach_id", "water_year", "date", "streamflow")
-    return sanitize_records(_records(marked_status(stored), trimmed, empty_year))
+    return sanitize_records(_records(marked_status(stored), trimmed, empty_year, in_place=True))
 
 
 def indices_of_states(states: DataFrame, empty_year: str = "skip") -> DataFrame:
