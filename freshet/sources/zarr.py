@@ -12,6 +12,7 @@ import itertools
 import json
 import logging
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -30,6 +31,10 @@ from freshet.sources.codecs import decoded_block
 
 DIMENSIONS = ("time", "feature_id")
 ROWS_PER_BATCH = 65_536
+# Small blocks go to tasks together: so many cells and blocks a task at most, and so many tasks at least.
+CELLS_PER_TASK, MOST_BLOCKS_PER_TASK, LEAST_TASKS = 1_000_000, 1024, 64
+# Rows of small blocks leave Python together, in batches of about this size.
+BATCH_BYTES = 2 << 20
 UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
@@ -154,13 +159,43 @@ def check_reaches(path: str, ids: list[int]) -> None:
 
 
 @dataclass
-class GridBlock(InputPartition):
+class GridBlock:
     """A range of times and a range of features."""
 
     times: tuple[int, int]
     features: tuple[int, int]
 
 
+@dataclass
+class GridBlocks(InputPartition):
+    """Blocks that one task reads one after the other, as ranges of times and of features."""
+
+    spans: list[tuple[tuple[int, int], tuple[int, int]]]
+
+    def blocks(self) -> Iterator[GridBlock]:
+        return itertools.starmap(GridBlock, self.spans)
+
+
+def _tasks(spans: Iterable[tuple[tuple[int, int], tuple[int, int]]], count: int, cells: int) -> list[GridBlocks]:
+    """Neighbouring blocks together, ``count`` blocks of up to ``cells`` cells; one empty task where there are none."""
+    together = max(1, min(CELLS_PER_TASK // max(cells, 1), MOST_BLOCKS_PER_TASK, -(-count // LEAST_TASKS)))
+    spans = iter(spans)
+    return [GridBlocks(part) for part in iter(lambda: list(itertools.islice(spans, together)), [])] or [GridBlocks([])]
+
+
+def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``BATCH_BYTES``; larger ones stay as they are."""
+    held, size = [], 0
+    for batch in batches:
+        if held and (size + batch.nbytes > BATCH_BYTES or batch.schema != held[0].schema):
+            yield held[0] if len(held) == 1 else pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield held[0] if len(held) == 1 else pa.concat_batches(held)
+
+
 def _stored(value) -> int:
     """A filter's value as the coordinates hold it: times in microseconds."""
     if isinstance(value, datetime):
@@ -212,7 +247,7 @@ class ZarrGridReader(DataSourceReader):
     def partitions(self):
         if self.layout == "axis":
             blocks = _cut(*self._span("feature_id"), self.arrays["feature_id"].blocks[0])
-            return [GridBlock((0, 0), f) for f in blocks] or [GridBlock((0, 0), (0, 0))]
+            return _tasks((((0, 0), f) for f in blocks), len(blocks), self.arrays["feature_id"].blocks[0])
         block = self._sizes()
         group = int(self.options.get("blocks_per_task", 1))
         times = _cut(*self._span("time"), int(self.options.get("time_size", block["time"])))
@@ -225,7 +260,8 @@ class ZarrGridReader(DataSourceReader):
             # Blocks without a wanted coordinate are never planned.
             times = [t for t in times if self._planned("time", t)]
             features = [f for f in features if self._planned("feature_id", f)]
-        return [GridBlock(t, f) for t in times for f in features] or [GridBlock((0, 0), (0, 0))]
+        longest = [max((b - a for a, b in spans), default=0) for spans in (times, features)]
+        return _tasks(itertools.product(times, features), len(times) * len(features), longest[0] * longest[1])
 
     def _coordinates(self, dimension: str, span: tuple[int, int]) -> np.ndarray:
         axis = self.arrays[dimension]
@@ -252,10 +288,14 @@ class ZarrGridReader(DataSourceReader):
                 keep &= values <= value
         return keep
 
-    def _cells(self, partition: GridBlock):
-        """Reaches, times and the stored cells of each variable, times by reaches."""
+    def _cells(self, partition: GridBlock, known: dict):
+        """Reaches, times and the stored cells of each variable, times by reaches; ``known`` has the task's last times."""
         ids = self._coordinates("feature_id", partition.features)
-        times = self._coordinates("time", partition.times)
+        if partition.times not in known:
+            times = self._coordinates("time", partition.times)
+            known.clear()
+            known[partition.times] = times
+        times = known[partition.times]
         keep, hours = self._wanted("feature_id", ids), np.flatnonzero(self._wanted("time", times))
         if not keep.any() or not len(hours):
             return None
@@ -267,14 +307,18 @@ class ZarrGridReader(DataSourceReader):
             stored.append((cells if array.dimensions == DIMENSIONS else cells.T)[hours][:, keep])
         return ids[keep], times[hours], stored
 
-    def read(self, partition: GridBlock):
+    def read(self, partition: GridBlocks):
+        known = {}
+        return _merged(itertools.chain.from_iterable(self._read_block(block, known) for block in partition.blocks()))
+
+    def _read_block(self, partition: GridBlock, known: dict):
         if self.layout == "axis":
             ids = self._coordinates("feature_id", partition.features)
             positions = np.arange(*partition.features)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(positions)], names=["feature_id", "position"])
             return
         try:
-            cells = self._cells(partition)
+            cells = self._cells(partition, known)
         except Exception as error:
             handling = self.options.get("on_bad_block", "raise")
             if handling == "mark":

@@ -77,6 +77,27 @@ def test_a_table_of_ids_opens_only_its_blocks(spark, wide, monkeypatch):
     assert len(opened) == 40 and {int(p.rsplit(".", 1)[1]) % 5 for p in opened} == {0}
 
 
+def test_small_blocks_share_tasks(spark, tmp_path, monkeypatch):
+    """1200 blocks of a reach and four hours: some sixty tasks, in each of them times are read once; every broken block is still told by itself."""
+    path = str(tmp_path / "small.zarr")
+    write_grid(grid_rows(spark, times=16, features=300), path, time_size=4, feature_size=1)
+    for block in ("0.0", "0.1", "3.299"):
+        with open(os.path.join(path, "streamflow", block), "wb") as handle:
+            handle.write(b"not compressed")
+    frame = load(spark, path, on_bad_block="mark")
+    assert frame.rdd.getNumPartitions() <= 65 and load(spark, path, layout="axis").rdd.getNumPartitions() <= 65
+    good, broken = zarr.split_broken(frame)
+    assert {tuple(r)[:4] for r in broken.collect()} == {(0, 4, 0, 1), (0, 4, 1, 2), (12, 16, 299, 300)}
+    lost = (F.col("feature_id").isin(7, 17) & (F.hour("time") <= 4)) | ((F.col("feature_id") == 2997) & (F.hour("time") > 12))
+    assert as_set(good) == as_set(grid_rows(spark, times=16, features=300).where(~lost)) and good.count() == 4800 - 12
+    source = zarr.ZarrGridSource({"path": path, "on_bad_block": "skip"})
+    reader, opened, read = source.reader(source.schema()), [], zarr._content
+    monkeypatch.setattr(zarr, "_content", lambda system, path: opened.append(path) or read(system, path))
+    batches = [list(reader.read(p)) for p in reader.partitions()]
+    assert len([p for p in opened if "/time/" in p]) <= len(batches) + 3 and max(map(len, batches)) == 1
+    assert len([p for p in opened if "/streamflow/" in p]) == 1200
+
+
 def test_ids_that_the_grid_lacks(spark, wide):
     wanted = spark.createDataFrame([(7,), (8,), (None,)], "c long")
     with pytest.raises(KeyError, match="8"):
