@@ -12,7 +12,7 @@ from freshet.plans import job
 from freshet.sources import sinks, zarr
 from freshet.sources.runs import RunStore
 from tests.test_sources import as_set, blocks_read, grid_rows, load
-from verification.zarr_files import write_grid
+from verification.zarr_files import ZLIB, block_files, write_grid
 
 
 @pytest.mark.parametrize(("source", "target"), [((4, 2), (3, 3)), ((4, 2), (9, 5)), ((9, 5), (1, 1)), ((2, 3), (4, 2)), ((4, 2), (4, 2)), ((3, 2), (672, 2000))])
@@ -98,6 +98,13 @@ def test_small_blocks_share_tasks(spark, tmp_path, monkeypatch):
     assert len([p for p in opened if "/streamflow/" in p]) == 1200
 
 
+def test_a_file_of_the_store_is_written_once(spark):
+    """Three by three blocks: no coordinate block is written again by each of its chunks."""
+    chunks = to_chunks(grid_rows(spark), 4, 2).collect()
+    files = [name for chunk in chunks for name, _ in block_files(chunk, ["streamflow"], 4, 2, lambda name: ZLIB)]
+    assert len(files) == len(set(files)) == 3 + 3 + 9
+
+
 def test_ids_that_the_grid_lacks(spark, wide):
     wanted = spark.createDataFrame([(7,), (8,), (None,)], "c long")
     with pytest.raises(KeyError, match="8"):

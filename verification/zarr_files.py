@@ -3,6 +3,7 @@
 import json
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +100,26 @@ def _write(system: fs.FileSystem, path: str, data: bytes) -> None:
         stream.write(data)
 
 
+def block_files(chunk, names: list[str], time_size: int, feature_size: int, stored) -> Iterator[tuple[str, bytes]]:
+    """Name and content of a chunk's files; a coordinate block comes with the first of its chunks alone."""
+    t, f = chunk["time_chunk"], chunk["feature_chunk"]
+    if f == 0:
+        times = np.zeros(time_size, "<i8")
+        times[: len(chunk["times"])] = np.array(chunk["times"], "datetime64[us]").astype("<i8") // 60_000_000
+        yield f"time/{t}", encoded(times, stored("time"))
+    if t == 0:
+        ids = np.zeros(feature_size, "<i8")
+        ids[: len(chunk["feature_ids"])] = chunk["feature_ids"]
+        yield f"feature_id/{f}", encoded(ids, stored("feature_id"))
+    for name in names:
+        block = np.full((time_size, feature_size), FILL)
+        cells = np.array([FILL if v is None else v for v in chunk[name]])
+        block[: len(chunk["times"]), : len(chunk["feature_ids"])] = cells.reshape(
+            len(chunk["times"]), len(chunk["feature_ids"])
+        )
+        yield f"{name}/{t}.{f}", encoded(block, stored(name))
+
+
 def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int, storage: dict[str, dict] | None = None) -> None:
     """One file per chunk and variable, written by the task that holds the chunk.
 
@@ -113,20 +134,8 @@ def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int, st
 
     def save_chunks(chunks):
         for chunk in chunks:
-            t, f = chunk["time_chunk"], chunk["feature_chunk"]
-            times = np.zeros(time_size, "<i8")
-            times[: len(chunk["times"])] = np.array(chunk["times"], "datetime64[us]").astype("<i8") // 60_000_000
-            ids = np.zeros(feature_size, "<i8")
-            ids[: len(chunk["feature_ids"])] = chunk["feature_ids"]
-            _write(system, f"{root}/time/{t}", encoded(times, stored("time")))
-            _write(system, f"{root}/feature_id/{f}", encoded(ids, stored("feature_id")))
-            for name in names:
-                block = np.full((time_size, feature_size), FILL)
-                cells = np.array([FILL if v is None else v for v in chunk[name]])
-                block[: len(chunk["times"]), : len(chunk["feature_ids"])] = cells.reshape(
-                    len(chunk["times"]), len(chunk["feature_ids"])
-                )
-                _write(system, f"{root}/{name}/{t}.{f}", encoded(block, stored(name)))
+            for file, data in block_files(chunk, names, time_size, feature_size, stored):
+                _write(system, f"{root}/{file}", data)
 
     to_chunks(rows, time_size, feature_size).foreachPartition(save_chunks)
     times = rows.select("time").distinct().count()
