@@ -98,6 +98,18 @@ def test_small_blocks_share_tasks(spark, tmp_path, monkeypatch):
     assert len([p for p in opened if "/streamflow/" in p]) == 1200
 
 
+def test_small_blosc_blocks_share_tasks(spark, tmp_path):
+    """260 containers in at most 65 tasks, each of which sends its blocks' rows as one batch."""
+    path, storage = str(tmp_path / "blosc.zarr"), {"compressor": {"id": "blosc", "cname": "zstd", "shuffle": 2}, "filters": None}
+    write_grid(grid_rows(spark, times=8, features=130), path, time_size=4, feature_size=1, storage={"streamflow": storage, "velocity": storage})
+    source = zarr.ZarrGridSource({"path": path})
+    reader = source.reader(source.schema())
+    batches = [list(reader.read(p)) for p in reader.partitions()]
+    assert len(batches) <= 65 and [len(b) for b in batches] == [1] * len(batches)
+    assert sum(b.num_rows for part in batches for b in part) == 8 * 130
+    assert as_set(load(spark, path)) == as_set(grid_rows(spark, times=8, features=130))
+
+
 def test_a_file_of_the_store_is_written_once(spark):
     """Three by three blocks: no coordinate block is written again by each of its chunks."""
     chunks = to_chunks(grid_rows(spark), 4, 2).collect()
