@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,27 @@ def test_a_file_of_the_store_is_written_once(spark):
     assert len(files) == len(set(files)) == 3 + 3 + 9
 
 
+def test_a_store_is_written_from_one_read(spark, tmp_path):
+    """Rows of one partition are made once for cells, axes and lengths; the store has what they have."""
+    made, path = tmp_path / "made", str(tmp_path / "once.zarr")
+    made.mkdir()
+
+    def noted(batches):
+        (made / uuid.uuid4().hex).touch()
+        yield from batches
+
+    nan = F.when(F.col("velocity") == 2.25, float("nan")).otherwise(F.col("velocity")).alias("velocity")
+    rows = grid_rows(spark).select("feature_id", "time", "streamflow", nan).where("feature_id <> 17 or streamflow > 20")
+    write_grid(rows.coalesce(1).mapInArrow(noted, rows.schema), path, time_size=4, feature_size=2)
+    assert len(list(made.iterdir())) == 1
+    assert zarr.grid_sizes(path) == {"time": 9, "feature_id": 5}
+    back, whole = load(spark, path), F.col("streamflow").isNotNull()
+    assert back.count() == 45 and back.where(~whole).where("velocity is null").count() == 45 - rows.count() > 0
+    assert as_set(back.where(whole)) == as_set(rows.withColumn("velocity", F.nanvl("velocity", F.lit(None).cast("double"))))
+    write_grid(rows.where("false"), str(tmp_path / "none.zarr"), time_size=4, feature_size=2)
+    assert zarr.grid_sizes(str(tmp_path / "none.zarr")) == {"time": 0, "feature_id": 0}
+
+
 def test_ids_that_the_grid_lacks(spark, wide):
     wanted = spark.createDataFrame([(7,), (8,), (None,)], "c long")
     with pytest.raises(KeyError, match="8"):

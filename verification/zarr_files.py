@@ -10,6 +10,7 @@ import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from freshet.operators.grid import to_chunks
 from freshet.schemas import FLOW_VARIABLES
@@ -113,16 +114,26 @@ def block_files(chunk, names: list[str], time_size: int, feature_size: int, stor
         yield f"feature_id/{f}", encoded(ids, stored("feature_id"))
     for name in names:
         block = np.full((time_size, feature_size), FILL)
-        cells = np.array([FILL if v is None else v for v in chunk[name]])
+        cells = pa.array(chunk[name], pa.float64()).fill_null(FILL).to_numpy()
         block[: len(chunk["times"]), : len(chunk["feature_ids"])] = cells.reshape(
             len(chunk["times"]), len(chunk["feature_ids"])
         )
         yield f"{name}/{t}.{f}", encoded(block, stored(name))
 
 
+def _chunks(batch: pa.RecordBatch, names: list[str]) -> Iterator[dict]:
+    """The chunks of a batch with their lists as Arrow arrays, times as UTC whatever their zone."""
+    for i in range(batch.num_rows):
+        chunk = {c: batch.column(c)[i].as_py() for c in ("time_chunk", "feature_chunk")}
+        lists = {c: batch.column(c)[i].values for c in ("times", "feature_ids", *names)}
+        lists["times"] = lists["times"].cast(pa.timestamp("us"))
+        yield chunk | lists
+
+
 def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int, storage: dict[str, dict] | None = None) -> None:
     """One file per chunk and variable, written by the task that holds the chunk.
 
+    The rows are read once: the lengths of the axes are those of the chunks at their edges.
     ``path`` is a URI or a path that all machines share; ``storage`` has the compressor and
     filters of the arrays that are not to be stored as ``ZLIB``.
     """
@@ -132,14 +143,16 @@ def write_grid(rows: DataFrame, path: str, time_size: int, feature_size: int, st
     for name in [*names, "time", "feature_id"]:
         system.create_dir(f"{root}/{name}", recursive=True)
 
-    def save_chunks(chunks):
-        for chunk in chunks:
-            for file, data in block_files(chunk, names, time_size, feature_size, stored):
-                _write(system, f"{root}/{file}", data)
+    def save_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in _chunks(batch, names):
+                for file, data in block_files(chunk, names, time_size, feature_size, stored):
+                    _write(system, f"{root}/{file}", data)
+                edges = [len(chunk["times"]) * (chunk["feature_chunk"] == 0), len(chunk["feature_ids"]) * (chunk["time_chunk"] == 0)]
+                yield pa.RecordBatch.from_pydict({"times": [edges[0]], "features": [edges[1]]})
 
-    to_chunks(rows, time_size, feature_size).foreachPartition(save_chunks)
-    times = rows.select("time").distinct().count()
-    features = rows.select("feature_id").distinct().count()
+    saved = to_chunks(rows, time_size, feature_size).mapInArrow(save_chunks, "times long, features long")
+    times, features = (n or 0 for n in saved.agg(F.sum("times"), F.sum("features")).first())
     arrays = {
         "time": _layout([times], [time_size], "<i8", ["time"], stored("time"), units="minutes since 1970-01-01 00:00:00"),
         "feature_id": _layout([features], [feature_size], "<i8", ["feature_id"], stored("feature_id")),
