@@ -13,6 +13,7 @@ from freshet.plans import job
 from freshet.sources import sinks, zarr
 from freshet.sources.runs import RunStore
 from tests.test_sources import as_set, blocks_read, grid_rows, load
+from verification.queries import QUERIES
 from verification.zarr_files import ZLIB, block_files, write_grid
 
 
@@ -224,6 +225,16 @@ def test_job_lists_broken_blocks(spark, tmp_path):
         job.main(["--input", path, "--retro-out", "/r", "--indices-out", "/i", "--on-bad-block", "mark"])
 
 
+def test_cells_of_broken_blocks_stay_off_the_driver(spark, tmp_path):
+    """700 hours of 80 reaches, most cells without a flow: no side of a join is sent whole, as small as the files look."""
+    hours = spark.range(700).select("id", (F.col("id") % 80).alias("user_id"), F.lit(1.5).alias("value"))
+    hours.withColumn("ts", F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz")).write.parquet(str(tmp_path / "events.parquet"))
+    found = QUERIES["broken_blocks"](spark, str(tmp_path))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    lost = {part: 168 * 10 for part in (3, 5, 7)}
+    assert as_set(found) == {(part, 7000 - lost.get(part, 0), 1 if part in lost else None, lost.get(part)) for part in range(8)}
+
+
 def test_job_with_a_reach_table(spark, tmp_path, wide):
     ids, root, hours = str(tmp_path / "ids"), str(tmp_path / "store"), str(tmp_path / "hours")
     spark.createDataFrame([(7,), (17,), (9000 * 10 + 7,)], "feature_id long").write.parquet(ids)

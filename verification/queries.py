@@ -327,12 +327,14 @@ def broken_blocks(spark, sf_dir):
     rows = spark.read.format("zarr_grid").option("on_bad_block", "mark").load(path)
     job.run_in_store(rows, root, run_id="a")
     snapshot = RunStore(spark, root).snapshot()
-    # Positions of the reaches, as the marks have them.
-    axis = spark.read.format("zarr_grid").option("layout", "axis").load(path)
-    cells = sinks.retrospective_of(snapshot).join(axis, "feature_id").groupBy(F.floor(F.col("position") / 10).alias("part"))
+    # Positions of the reaches, as the marks have them. Cells meet them counted by reach, and both sides are
+    # shuffled: from files of mostly missing flows Spark takes the cells for few and would send them to the driver.
+    axis = spark.read.format("zarr_grid").option("layout", "axis").load(path).hint("merge")
+    reaches = sinks.retrospective_of(snapshot).groupBy("feature_id").agg(F.count("*").alias("cells"))
+    cells = reaches.join(axis, "feature_id").groupBy(F.floor(F.col("position") / 10).alias("part"))
     marks = sinks.broken_blocks_of(snapshot).groupBy(F.floor(F.col("feature_start") / 10).alias("part"))
     lost = (F.col("time_stop") - F.col("time_start")) * (F.col("feature_stop") - F.col("feature_start"))
-    return cells.agg(F.count("*").alias("cells")).join(
+    return cells.agg(F.sum("cells").alias("cells")).join(
         marks.agg(F.count("*").alias("blocks"), F.sum(lost).alias("lost")), "part", "full")
 
 
